@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES, in the order of their operators.
-MODULES = ("quality", "licenses", "bpe", "ogg")
+MODULES = ("quality", "licenses", "bpe", "packing", "chat", "ogg")
 
 
 def queries() -> dict:

@@ -134,7 +134,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "
         ranks = spark.sparkContext.broadcast(f.read())
     kept = docs.drop("ids", "decoded")
     names = kept.columns
-    source = kept.withColumn("__text", F.col(text) if text in names else F.lit(None).cast("string"))
+    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks.value, pattern)
