@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES, in the order of their operators.
-MODULES = ("quality", "licenses", "bpe", "packing", "toxicity", "chat", "ogg", "langid")
+MODULES = ("quality", "licenses", "bpe", "packing", "toxicity", "chat", "ngram_join", "ogg", "langid")
 
 
 def queries() -> dict:
