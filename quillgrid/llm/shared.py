@@ -49,7 +49,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and lost executors cost nothing that came before."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quillgrid-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    # The frame runs this once, so its shuffle files can go as soon as the table is written.
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
