@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, table, texts
+from .shared import prepare, table, texts
 
 #: Bytes up to which a piece is a leaf of the tree.
 LEAF = 16
@@ -129,7 +129,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "
     repeated rows get the same ids each; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     with open(ranks_path, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
     kept = docs.drop("ids", "decoded")

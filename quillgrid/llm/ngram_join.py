@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import bounded_batches, settle, table, texts
+from .shared import prepare, settle, table, texts
 
 #: Words of a shingle, and the similarity of a link as a fraction.
 WORDS, SIMILAR = 5, (4, 5)
@@ -262,7 +262,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     that repeat it with another text share one class and count of links. An empty table gives an empty table. Further
     columns of docs are ignored.
     """
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     real = named.filter("doc_id IS NOT NULL")
     hashed = settle(real.mapInArrow(_hash_documents, "doc_id long, set_key binary, bands array<long>"), "hashed")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import bounded_batches, table, texts
+from .shared import prepare, table, texts
 
 CAPACITY, END_ID = 1024, 2
 #: Bins that are open at a time, and pieces that arrive together (longest first); both bound a task's memory.
@@ -77,7 +77,7 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
     that clash with the new ones are replaced. The vocabulary file is sent to the executors, under 2 MB.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     with open(ranks_path, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
     new = PIECES + (", ids array<int>" if keep_ids else "")
@@ -117,6 +117,7 @@ def best_fit(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY
     single packer are its last open bins. Within a task the pieces come in a fixed order, so a task that runs again packs
     alike. Lengths of 0 or null and above capacity raise ValueError. Clashing columns are replaced.
     """
+    prepare(pieces.sparkSession)
     kept = pieces.drop("sequence_id", "offset")
     where = kept.columns.index(length)
     names = [*kept.columns, "sequence_id", "offset"]

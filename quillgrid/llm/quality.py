@@ -101,7 +101,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "word_chars": (F.length("__t") - counts[1]).cast("long"),
             "n_symbols": counts[5].cast("long"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-            "class_hist": F.array(*[c.cast("double") for c in (*counts, n[6])]),
+            # Never null; a filter on what is derived from it stays above, instead of a copy of all this per use.
+            "class_hist": F.when(F.monotonically_increasing_id() >= 0, F.array(*[c.cast("double") for c in (*counts, n[6])])),
             "__common": F.filter(F.transform("__words", lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))), lambda w: w.isin(*common)),
         }
     ).withColumn("n_repeat_words", repeated_words(F.col("__words"), F.size("__words")))

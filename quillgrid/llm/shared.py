@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Rows of one Arrow batch handed to Python: bounds what a worker holds when texts are long.
 ROWS_PER_BATCH = 1000
 
@@ -19,8 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Make Arrow batches small enough for long texts; a smaller setting of the user's stays."""
+def prepare(spark: SparkSession) -> None:
+    """Before Python runs on the executors: they get this package, and Arrow batches small enough for long texts (a
+    smaller setting of the user's stays)."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ROWS_PER_BATCH:
@@ -90,7 +94,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
 
     A column of df whose name clashes with one of schema gives way to it.
     """
-    bounded_batches(df.sparkSession)
+    prepare(df.sparkSession)
     added = df.sparkSession.createDataFrame([], schema).schema
     names = {f.name for f in added}
     kept = [f for f in df.schema if f.name not in names]
