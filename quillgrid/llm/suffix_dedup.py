@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, map_rows, settle, table, utf8
+from .shared import prepare, map_rows, settle, table, utf8
 
 LENGTH, GRAM = 400, 128
 #: Anchors that a window may have.
@@ -28,7 +28,7 @@ SHALLOW = 12
 #: Different contexts of one anchor up to which one task sorts them.
 GROUP = 256
 #: Bytes that are hashed together; a longer text is cut into overlapping parts.
-CHUNK_BITS = 20
+CHUNK_BITS = 19
 CHUNK = 1 << CHUNK_BITS
 
 _rng = np.random.default_rng(20240777)
@@ -331,7 +331,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     key is doc_id, or a hash of the text where doc_id is null.
     """
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     keyed = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= LENGTH)
     found = settle(keyed.mapInArrow(_find_anchors, "key long, lo long, n short, da short, kh long, ch long"), "anchors")
     same = found.groupBy("kh").agg(F.count("*").alias("c"), F.min("ch").alias("x"), F.max("ch").alias("y")).filter("c > 1").select("kh", (F.col("x") != F.col("y")).alias("mixed"))
