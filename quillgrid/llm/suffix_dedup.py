@@ -129,12 +129,34 @@ def _parts(raws: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two sorts. Contexts: once for each text, with the times that they occur in it. Spans (kh null): what the
+    contexts cover that occur more than once in a text; periodic texts have very many of these, which end here."""
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         for rows, bases, held in _parts(utf8(batch.column(1))):
             part, lo, n, da, kh, ch = anchors(held)
-            cols = [keys[np.array(rows)[part]], (lo + np.array(bases)[part]), n.astype(np.int16), da.astype(np.int16), kh.view(np.int64), ch.view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "lo", "n", "da", "kh", "ch"])
+            order = np.lexsort((lo, ch, kh, part))
+            differs = lambda x: x[order][1:] != x[order][:-1]
+            first = np.concatenate([[True], differs(part) | differs(kh) | differs(ch)])[: len(order)]
+            group = np.cumsum(first) - 1
+            times = np.bincount(group)
+            one = order[first]
+            again = np.sort(order[times[group] > 1])
+            start, end = lo[again], lo[again] + n[again] - 1 + LENGTH
+            new = np.concatenate([[True], (part[again][1:] != part[again][:-1]) | (start[1:] > end[:-1])])[: len(again)]
+            last = np.concatenate([new[1:], [True]])[: len(again)]
+            key, base = keys[np.array(rows)], np.array(bases)
+            m, k = len(one), int(new.sum())
+            at = np.concatenate([part[one], part[again][new]])
+            cols = [
+                pa.array(key[at]),
+                pa.array(np.concatenate([lo[one], start[new]]) + base[at]),
+                pa.array(np.concatenate([n[one], (end[last] - start[new])])),
+                pa.array(np.concatenate([da[one], np.zeros(k, np.int64)])),
+                *(pa.array(np.concatenate([x[one].view(np.int64), np.zeros(k, np.int64)]), mask=np.arange(m + k) >= m) for x in (kh, ch)),
+                pa.array(np.concatenate([times, np.zeros(k, np.int64)])),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, ["key", "lo", "n", "da", "kh", "ch", "times"])
 
 
 # ---- deep-shallow sorting
@@ -275,7 +297,7 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for w in wanted:
                 for col, v in zip(out, (w["kh"], w["ch"], w["many"], w["key"], w["lo"], w["n"], w["da"], raw[w["lo"] : w["lo"] + w["n"] - 1 + LENGTH])):
                     col.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary()))], ["kh", "ch", "many", "key", "lo", "n", "da", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["kh", "ch", "many", "key", "lo", "n", "da", "bytes"])
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,27 +355,29 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     prepare(docs.sparkSession)
     keyed = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= LENGTH)
-    found = settle(keyed.mapInArrow(_find_anchors, "key long, lo long, n short, da short, kh long, ch long"), "anchors")
-    same = found.groupBy("kh").agg(F.count("*").alias("c"), F.min("ch").alias("x"), F.max("ch").alias("y")).filter("c > 1").select("kh", (F.col("x") != F.col("y")).alias("mixed"))
-    twins = settle(found.join(settle(same, "same"), "kh"), "twins")
+    found = settle(keyed.mapInArrow(_find_anchors, "key long, lo long, n long, da long, kh long, ch long, times long"), "anchors")
+    within = found.filter("kh IS NULL").select("key", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("end"))
+    once = found.filter("kh IS NOT NULL")
+    same = once.groupBy("kh").agg(F.sum("times").alias("c"), F.min("ch").alias("x"), F.max("ch").alias("y")).filter("c > 1").select("kh", (F.col("x") != F.col("y")).alias("mixed"))
+    twins = settle(once.join(settle(same, "same"), "kh"), "twins")
     span = lambda df: df.select("key", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + LENGTH).alias("end"))
     plain = span(twins.filter("NOT mixed"))
 
     mixed = twins.filter("mixed").drop("mixed")
-    entries = settle(mixed.groupBy("kh", "ch").agg(F.count("*").alias("times"), F.min(F.struct("key", "lo", "n", "da")).alias("one")), "entries")
-    whole = span(mixed.join(entries.filter("times > 1").select("kh", "ch"), ["kh", "ch"]))
+    entries = settle(mixed.groupBy("kh", "ch").agg(F.sum("times").alias("times"), F.min(F.struct("key", "lo", "n", "da")).alias("one")), "entries")
+    whole = span(mixed.drop("times").join(entries.filter("times > 1").select("kh", "ch"), ["kh", "ch"]))
     sizes = settle(entries.groupBy("kh").agg((F.count("*") > group).alias("many")), "sizes")
     wanted = entries.join(sizes, "kh").select("one.key", F.struct("kh", "ch", "many", "one.key", "one.lo", "one.n", "one.da").alias("w"))
     wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("wanted"))
     cut = keyed.join(wanted.hint("shuffle_hash"), "key").select("text", "wanted")
-    contexts = settle(cut.mapInArrow(_cut_contexts, "kh long, ch long, many boolean, key long, lo long, n short, da short, bytes binary"), "contexts")
+    contexts = settle(cut.mapInArrow(_cut_contexts, "kh long, ch long, many boolean, key long, lo long, n long, da long, bytes binary"), "contexts")
     few = contexts.filter("NOT many").select("kh", "ch", "key", "lo", "n", "da", "bytes").repartition("kh").sortWithinPartitions("kh", "ch")
     few = few.mapInArrow(_sort_groups, "key long, start long, end long")
     many = contexts.filter("many").select("key", "lo", "bytes").repartition("key", "lo").mapInArrow(_digest_windows, "key long, at long, d1 long, d2 long")
     windows = settle(many, "windows")
     equal = settle(windows.groupBy("d1", "d2").agg(F.count("*").alias("c")).filter("c > 1").select("d1", "d2"), "equal")
     dealt = windows.join(equal, ["d1", "d2"]).select("key", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
-    return plain.unionByName(whole).unionByName(few).unionByName(dealt)
+    return within.unionByName(plain).unionByName(whole).unionByName(few).unionByName(dealt)
 
 
 def _key(doc_id: str, text: str):

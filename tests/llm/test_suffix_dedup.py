@@ -29,7 +29,7 @@ def corpus(seed):
     prose = lambda n: "".join(rng.choice("abcdé fgh\n") for _ in range(n))
     passages = [prose(n) for n in (390, 399, 400, 401, 450, 700, 1500)]
     texts = [prose(rng.randint(0, 900)) + rng.choice(passages)[rng.randint(0, 30) :] + prose(rng.randint(0, 700)) for _ in range(60)]
-    texts += [texts[0], texts[1], texts[1], passages[6], passages[6] * 2, "ab" * 700, "x" * 401, "x" * 400, "ab" * 300]
+    texts += [texts[0], texts[1], texts[1], passages[6], passages[6] * 2, "ab" * 700, "x" * 401, "x" * 400, "ab" * 300, "Word " * 300, "Word " * 200 + passages[3], "x" * 5000, "long line of words\n" * 90]
     base = prose(1500)
     for _ in range(25):
         t = list(base)
