@@ -26,7 +26,7 @@ REACH = LENGTH - GRAM + 1
 #: Depth at which multikey quicksort hands over to blind tries.
 SHALLOW = 12
 #: Different contexts of one anchor up to which one task sorts them.
-GROUP = 256
+GROUP = 32
 #: Bytes that are hashed together; a longer text is cut into overlapping parts.
 CHUNK_BITS = 19
 CHUNK = 1 << CHUNK_BITS
