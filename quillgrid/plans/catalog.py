@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
 
+from . import queries as q
 
-def queries() -> dict:
-    return {}
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.ingest_summary(spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(q.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(q.SQL)
