@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .catalogs import FACILITIES
-from .rules import first_word
+from .rules import first_word, let
 
 NAME_AGE = r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,4})\s*\((\d{1,3})\)"
 AGE_NAME = r"(\d{1,3})-year-old\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,4})"
@@ -65,7 +65,8 @@ def _people(text: Column, pattern: str, name: int, age: int, bounded: bool) -> C
 
 def _once(people: Column) -> Column:
     """The first of each name."""
-    return F.filter(people, lambda p, i: F.array_position(F.transform(people, lambda q: q["name"]), p["name"]) == i + 1)
+    pick = lambda all_: let(F.transform(all_, lambda q: q["name"]), lambda names: F.filter(all_, lambda p, i: F.array_position(names, p["name"]) == i + 1))
+    return let(people, pick)
 
 
 def suspects(text: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 Rules = Sequence[tuple[str, Sequence[str]]]
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def contains_any(text: Column, words: Iterable[str]) -> Column:
     """Whether text (already in the case of words) has one of words as a substring; null text has none."""
     return F.coalesce(reduce(lambda a, b: a | b, (text.contains(w) for w in words)), F.lit(False))

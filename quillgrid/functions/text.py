@@ -16,7 +16,7 @@ SCRIPT, STYLE, TAG, SPACE = r"(?i)<script[\s\S]*?</script>", r"(?i)<style[\s\S]*
 #: Shares and bounds of a snippet.
 SNIPPET_SHARE, SNIPPET_LEAST, SNIPPET_MOST = 0.10, 300, 1000
 #: Entities that unescape_basic decodes; &amp; comes last, so that nothing is decoded twice.
-BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 
 
 def _unescape(s: pd.Series) -> pd.Series:
@@ -108,8 +108,8 @@ def join_parts(sep: str, *parts: Column) -> Column:
 def heal_xml(text: Column, entities: dict[str, str] | None = None) -> Column:
     """Text of a broken feed made parsable: byte-order mark and control characters out, named entities decoded, bare
     ampersands escaped, in this order."""
-    healed = strip_controls(F.regexp_replace(text, "^﻿", ""))
-    for name, char in (entities or {"nbsp": " ", "ndash": "–", "mdash": "—", "rsquo": "’", "lsquo": "‘", "ldquo": "“", "rdquo": "”", "hellip": "…", "eacute": "é"}).items():
+    healed = strip_controls(F.regexp_replace(text, "^\ufeff", ""))
+    for name, char in (entities or {"nbsp": "\u00a0", "ndash": "–", "mdash": "—", "rsquo": "’", "lsquo": "‘", "ldquo": "“", "rdquo": "”", "hellip": "…", "eacute": "é"}).items():
         healed = F.replace(healed, F.lit(f"&{name};"), F.lit(char))
     return F.regexp_replace(healed, r"&(?!(?:amp|lt|gt|apos|quot|#[0-9]+|#x[0-9a-fA-F]+);)", "&amp;")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .catalogs import NO_ARTICLE
-from .rules import contains_any
+from .rules import contains_any, let
 
 LINKS = "array<struct<title:string,link:string>>"
 
@@ -64,13 +64,13 @@ def page_links(page: Column, base: Column) -> Column:
 
 
 def article_links(links: Column, base: Column, least_title: int = 15, longer: int = 10, most: int = 15) -> Column:
-    """The first most links that look like articles, each link once."""
+    """The first most of links (a column of the frame, as page_links runs Python) that look like articles, each once."""
     good = F.filter(
         links,
         lambda x: (F.length(x["title"]) >= least_title) & x["link"].startswith("http") & ~contains_any(F.lower(x["link"]), NO_ARTICLE) & (F.length(x["link"]) > F.length(base) + longer),
     )
-    urls = F.transform(good, lambda x: x["link"])
-    return F.slice(F.filter(good, lambda x, i: F.array_position(urls, x["link"]) == i + 1), 1, most)
+    once = lambda g: let(F.transform(g, lambda x: x["link"]), lambda u: F.filter(g, lambda x, i: F.array_position(u, x["link"]) == i + 1))
+    return F.slice(let(good, once), 1, most)
 
 
 def domain(url: Column) -> Column:

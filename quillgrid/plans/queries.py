@@ -492,12 +492,12 @@ def contains_first_join(spark, d):
     return joins.contains_first(p, words, "t", "w", "w", "p_partkey").select("p_partkey", F.col("w").alias("matched"))
 
 
-@query("""SELECT s_suppkey, bal AS nearest, c_custkey FROM (SELECT s_suppkey, c_acctbal AS bal, c_custkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(c_acctbal - s_acctbal) NULLS LAST, c_acctbal) AS n
+@query("""SELECT s_suppkey, bal AS nearest, coalesce(c_custkey, -1) AS c_custkey FROM (SELECT s_suppkey, c_acctbal AS bal, c_custkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(c_acctbal - s_acctbal) NULLS LAST, c_acctbal) AS n
   FROM supplier LEFT JOIN customer ON c_nationkey = s_nationkey AND abs(c_acctbal - s_acctbal) <= 150) WHERE n = 1""")
 def nearest_within(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("k"), "s_acctbal")
     c = table(spark, d, "customer").select(F.col("c_nationkey").alias("k"), "c_acctbal", "c_custkey")
-    return joins.nearest(s, c, ["k"], "s_acctbal", "c_acctbal", ["c_custkey"], 150.0, "s_suppkey").select("s_suppkey", "nearest", "c_custkey")
+    return joins.nearest(s, c, ["k"], "s_acctbal", "c_acctbal", ["c_custkey"], 150.0, "s_suppkey").select("s_suppkey", "nearest", F.coalesce("c_custkey", F.lit(-1)).alias("c_custkey"))
 
 
 @query("""SELECT p_partkey, CASE WHEN a % 2 = 0 THEN a WHEN b % 2 = 0 THEN b ELSE -1 END AS place FROM (SELECT p_partkey, length(string_split(p_name,' ')[1]) AS a, length(string_split(p_name,' ')[2]) AS b FROM part)""")
