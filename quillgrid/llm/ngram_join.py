@@ -271,7 +271,7 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     # Members of a band's bucket hang on its least member; the components of these stars hold all candidate pairs. One
     # doc_id may stand for several sets (rows that share it), so nodes are numbered by a set's own representative.
     keys = sets.select("rep", F.explode("bands").alias("band"))
-    hubs = keys.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1").select("band", "hub")
+    hubs = settle(keys.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1").select("band", "hub"), "hubs")
     stars = keys.join(hubs, "band").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     candidates = settle(components(stars), "candidates")
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
