@@ -107,7 +107,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     ).withColumn("n_repeat_words", repeated_words(F.col("__words"), F.size("__words")))
     found = F.array_distinct("__common")
-    df = df.withColumn("common_hist", F.map_from_arrays(found, F.transform(found, lambda w: F.size("__common") - F.size(F.array_remove("__common", w)))))
+    hist = F.map_from_arrays(found, F.transform(found, lambda w: F.size("__common") - F.size(F.array_remove("__common", w))))
+    df = df.withColumn("common_hist", F.when(F.monotonically_increasing_id() >= 0, hist))
     return df.drop("__t", "__words", "__common", *[f"__r{k}" for k in range(1, 7)])
 
 
