@@ -625,3 +625,73 @@ def ingest_summary(spark, d):
     df = documents(spark, d).filter(filters.is_web_link(F.col("link")))
     once = merge.keep_first(df.select("seq", "category", "source", keys.text_key(F.col("summary")).alias("k")), ["k"])
     return aggregates.summary_counts(once, "category", "source")
+
+
+# ---- places, producers, the whole batch
+
+
+@query("""SELECT id, route, lat FROM (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'parks highway' WHEN 1 THEN 'old road' END AS route, c_custkey % 200 AS m FROM customer)
+  LEFT JOIN (SELECT r, m2, (m2 / 10)::DOUBLE AS lat FROM (SELECT unnest(range(0, 200, 10)) AS m2), (SELECT unnest(['parks highway', 'old road']) AS r)) ON r = route AND abs(m2 - m) <= 2""")
+def milepost_geocode(spark, d):
+    k = F.col("c_custkey")
+    df = table(spark, d, "customer").select(k.alias("id"), F.when(k % 3 == 0, "Old Parks Highway").when(k % 3 == 1, "Old Road").otherwise("Nowhere").alias("h"), (k % 200).alias("m"))
+    posts = spark.range(0, 200, 10).select(F.explode(F.array(F.lit("parks highway"), F.lit("old road"))).alias("route"), F.col("id").alias("mile"), (F.col("id") / 10).alias("lat"), F.lit(0.0).alias("lng"))
+    from ..operators.places import mileposts
+
+    # The catalog's aliases name other routes, so the loose match is what this binds.
+    return mileposts(df.withColumn("h", F.replace("h", F.lit("Old Parks"), F.lit("the parks"))), posts.withColumn("route", F.replace("route", F.lit("parks highway"), F.lit("george parks highway"))), F.col("h"), F.col("m")).select("id", F.replace("route", F.lit("george "), F.lit("")).alias("route"), "lat")
+
+
+@query("""SELECT id, CASE k WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 ELSE -1 END AS tier, CASE k WHEN 0 THEN 60.0 WHEN 1 THEN 65.0 WHEN 2 THEN 10.0 WHEN 3 THEN 64.83 ELSE -1.0 END::DOUBLE AS lat FROM (SELECT c_custkey AS id, c_custkey % 5 AS k FROM customer)""")
+def tiered_places(spark, d):
+    from ..operators.places import resolve
+
+    k = F.col("c_custkey") % 5
+    where = F.when(k == 0, "mile 3 seward highway").when(k == 1, "Seward Hwy mile 80").when(k == 2, "Nowhere / Town").otherwise("x")
+    df = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), where.alias("location"), F.when(k == 3, "").otherwise(None).alias("region"), F.when(k == 3, "[Region: Interior] [Category: x]").alias("dataTag"))
+    posts = spark.range(0, 11).select(F.lit("seward highway").alias("route"), F.col("id").alias("mile"), F.when(F.col("id") == 3, 60.0).when(F.col("id") == 5, 65.0).otherwise(1.0).alias("lat"), F.lit(0.0).alias("lng"))
+    cities = spark.range(1).select(F.lit("Town").alias("name"), F.lit(10.0).alias("lat"), F.lit(20.0).alias("lng"))
+    return resolve(df, posts, cities).select("id", F.coalesce("tier", F.lit(-1)).alias("tier"), F.coalesce("lat", F.lit(-1.0)).alias("lat"))
+
+
+@query("""SELECT conv_id, turn, chamber, type FROM (SELECT conv_id, turn, role, last_value(CASE WHEN role='user' THEN 'House '||turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS chamber,
+  CASE turn % 3 WHEN 0 THEN 'committee' WHEN 1 THEN 'passage' ELSE 'general' END AS type FROM conversations) WHERE role = 'assistant'""")
+def legislative_rows(spark, d):
+    from ..sources.verticals import legislative_actions
+
+    said = F.when(F.col("turn") % 3 == 0, "Referred to Finance").when(F.col("turn") % 3 == 1, "Approved").otherwise("noted")
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.concat(F.lit("House "), "turn")).alias("chamber"), F.when(F.col("role") == "assistant", "HB 1").alias("bill"), said.alias("text"))
+    rows = legislative_actions(c.withColumn("position", F.col("turn")), "conv_id")
+    return rows.select("conv_id", "turn", F.coalesce("chamber", F.lit("")).alias("chamber"), "type")
+
+
+SQL["legislative_rows"] = SQL["legislative_rows"].replace("SELECT conv_id, turn, chamber, type FROM (", "SELECT conv_id, turn, coalesce(chamber, '') AS chamber, type FROM (", 1)
+
+
+@query("""SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM (SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source, substring(text,1,60))) WHERE n <= 5""")
+def news_caps(spark, d):
+    from ..sources.verticals import news
+
+    return news(table(spark, d, "documents").select("source", "doc_id", F.substring("text", 1, 60).alias("title")), "source", "doc_id", "title", 5).select("source", "doc_id")
+
+
+@query("""SELECT page_id, count(*) AS n, sum(length(c)) AS chars FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS c FROM pages) GROUP BY page_id""")
+def table_rows(spark, d):
+    from ..sources.verticals import table_rows as rows
+
+    html = F.replace(F.replace("html", F.lit("<li>"), F.lit("<tr><td>")), F.lit("</li>"), F.lit("</td></tr>"))
+    p = table(spark, d, "pages").select("page_id", F.concat(F.lit("<table>"), html, F.lit("</table>")).alias("value"), F.regexp_extract_all("html", F.lit("<li>(.*?)</li>"), 1).alias("raw"))
+    found = rows(p, least=1).select("page_id", F.get("raw", F.col("position")).alias("c"))
+    return found.groupBy("page_id").agg(F.count("*").alias("n"), F.sum(F.length("c")).alias("chars"))
+
+
+@query(f"""SELECT 'category' AS kind, lang AS value, count(*) AS n FROM (SELECT lang, row_number() OVER (PARTITION BY doc_id) AS r FROM documents WHERE length(trim(substring(text,1,60))) > 0) WHERE r = 1 GROUP BY lang
+  UNION ALL SELECT 'source', source, count(*) FROM documents WHERE length(trim(substring(text,1,60))) > 0 GROUP BY source UNION ALL SELECT 'total', NULL, count(*) FROM documents WHERE length(trim(substring(text,1,60))) > 0""")
+def engine_summary(spark, d):
+    """The batch over documents as feed entries: enriched, merged, linked, summed up."""
+    from .engine import SignalEngine
+
+    engine = SignalEngine("2024-01-30 00:00:00")
+    e = documents(spark, d).select("seq", "title", "link", F.concat("summary", F.lit(" more")).alias("description"), "category", "source", F.lit("2024-01-20T00:00:00Z").alias("published"))
+    signals = engine.enrich(e, spark.range(0).select(F.lit("").alias("hash")))
+    return engine.summary(engine.rolling(signals))
