@@ -695,3 +695,140 @@ def engine_summary(spark, d):
     e = documents(spark, d).select("seq", "title", "link", F.concat("summary", F.lit(" more")).alias("description"), "category", "source", F.lit("2024-01-20T00:00:00Z").alias("published"))
     signals = engine.enrich(e, spark.range(0).select(F.lit("").alias("hash")))
     return engine.summary(engine.rolling(signals))
+
+
+# ---- sources, over documents in each producer's form made of the test tables
+
+
+def _features(df: DataFrame, feature, group) -> DataFrame:
+    """One GeoJSON document for each group."""
+    return df.groupBy(group.alias("g")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+
+
+@query(f"""SELECT seq::VARCHAR AS id, value AS magnitude, lat, lng, value > 100 AS tsunami FROM (SELECT *, row_number() OVER (ORDER BY date_trunc('millisecond', ts) DESC, seq::VARCHAR) AS n FROM {EVENTS} WHERE value >= 1.5 AND lat BETWEEN 60.1 AND 60.4) WHERE n <= 200""")
+def quake_source(spark, d):
+    from ..sources.signals import quakes
+
+    e = events(spark, d)
+    geometry = F.struct(F.lit("Point").alias("type"), F.array("lng", "lat", F.lit(1.0)).alias("coordinates"))
+    f = F.struct(F.col("seq").cast("string").alias("id"), F.struct(F.col("value").alias("mag"), F.unix_millis("ts").alias("time"), F.when(F.col("value") > 100, 1).otherwise(0).alias("tsunami")).alias("properties"), geometry.alias("geometry"))
+    return quakes(_features(e, f, F.floor(F.col("seq") / 200)), south=60.1, north=60.4).select("id", "magnitude", "lat", "lng", "tsunami")
+
+
+@query(f"""SELECT md5(seq::VARCHAR) AS hash, CASE seq % 3 WHEN 0 THEN 100 WHEN 1 THEN 20 ELSE 40 END AS "impactScore", CASE WHEN seq % 2 = 0 THEN 'now' ELSE 'background' END AS urgency, CASE WHEN seq % 4 = 0 THEN 'Statewide' ELSE 'Area' END AS region, lat + 1 AS lat
+  FROM {EVENTS} WHERE NOT (seq % 5 = 0 AND seq % 3 = 1)""")
+def alert_source(spark, d):
+    from ..sources.signals import alert_signals, alerts
+
+    e = events(spark, d)
+    k = F.col("seq")
+    corner = lambda dy: F.array(F.col("lng"), F.col("lat") + dy)
+    p = F.struct(k.cast("string").alias("id"), F.when(k % 5 == 0, "Small Craft").otherwise("Gale").alias("event"), F.when(k % 3 == 0, "Extreme").when(k % 3 == 1, "Minor").otherwise("Odd").alias("severity"), F.when(k % 2 == 0, "Expected").otherwise("Past").alias("urgency"), F.when(k % 4 == 0, F.repeat(F.lit("area "), F.lit(12))).otherwise("Area").alias("areaDesc"))
+    f = F.struct(p.alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(F.array(corner(0.0), corner(1.0), corner(2.0))).alias("coordinates")).alias("geometry"))
+    got = alert_signals(alerts(_features(e, f, F.floor(k / 200))), ["Small Craft"])
+    return got.select("hash", "impactScore", "urgency", "region", F.round("lat", 9).alias("lat"))
+
+
+SQL["alert_source"] = SQL["alert_source"].replace("lat + 1 AS lat", "round(((lat + (lat + 1)) + (lat + 2)) / 3, 9) AS lat")
+
+
+@query("""SELECT o_orderkey::VARCHAR AS id, CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN o_totalprice ELSE 7.5 END::DOUBLE AS acres, o_orderkey % 101 AS contained, CASE WHEN o_orderkey % 2 = 0 THEN 'Human' ELSE 'Unknown' END AS cause FROM orders""")
+def fire_source(spark, d):
+    from ..sources.signals import fires
+
+    k = F.col("o_orderkey")
+    a = F.struct(k.cast("string").alias("IrwinID"), F.when(k % 3 == 1, F.col("o_totalprice")).otherwise(0.0).alias("DailyAcres"), F.when(k % 3 == 2, 7.5).alias("CalculatedAcres"), (k % 101).alias("PercentContained"), F.when(k % 2 == 0, "Human").alias("FireCause"))
+    got = fires(_features(table(spark, d, "orders"), F.struct(a.alias("attributes")), F.floor(k / 200)))
+    return got.select("id", "acres", F.col("contained").cast("long").alias("contained"), "cause")
+
+
+@query("""SELECT '511-'||md5(o_orderkey::VARCHAR) AS hash, CASE WHEN o_orderkey % 3 = 0 THEN 'now' ELSE 'background' END AS urgency, CASE WHEN o_orderkey % 3 = 0 THEN 70 ELSE 40 END AS "impactScore", CASE WHEN o_orderkey % 2 = 0 THEN 'Mat-Su' ELSE 'Statewide' END AS region, 61.5::DOUBLE AS lat FROM orders""")
+def road_source(spark, d):
+    from ..sources.signals import road_events
+
+    k = F.col("o_orderkey")
+    e = F.struct(k.cast("string").alias("id"), F.when(k % 3 == 0, "closure").otherwise("roadwork").alias("eventType"), F.when(k % 2 == 0, "Palmer Road").otherwise("Road").alias("road"), F.struct(F.lit(61.5).alias("latitude"), F.lit(-149.0).alias("longitude")).alias("startPoint"))
+    rows = table(spark, d, "orders").groupBy(F.floor(k / 200).alias("g")).agg(F.collect_list(e).alias("x"))
+    wrapped = F.when(F.col("g") % 2 == 0, F.to_json("x")).otherwise(F.to_json(F.struct(F.col("x").alias("events"))))
+    return road_events(rows.select(wrapped.alias("value"))).select("hash", "urgency", "impactScore", "region", "lat")
+
+
+@query("""SELECT g, count(*) AS n, md5(string_agg(link, ',' ORDER BY link)) AS links FROM (SELECT doc_id // 50 AS g, 'http://x/'||doc_id AS link FROM documents) GROUP BY g""")
+def feed_source(spark, d):
+    from ..sources.pages import feed_entries
+
+    item = F.concat(F.lit("<item><title>A&nbsp;& B "), "doc_id", F.lit("</title><link>http://x/"), "doc_id", F.lit("</link></item>"))
+    feeds = table(spark, d, "documents").groupBy(F.floor(F.col("doc_id") / 50).alias("g")).agg(F.concat(F.lit("<rss><channel><title>t</title>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("value"))
+    return feed_entries(feeds).groupBy("g").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("link")), ",").cast("binary")).alias("links"))
+
+
+@query("""SELECT count(*) AS n, count(DISTINCT url) AS urls FROM (SELECT regexp_replace(url, '[?#].*$', '') AS url FROM pages)""")
+def sitemap_source(spark, d):
+    from ..sources.pages import sitemap_locations
+
+    loc = F.concat(F.lit("<url><loc>"), F.regexp_replace("url", "[?#].*$", ""), F.lit("</loc></url>"))
+    maps = table(spark, d, "pages").groupBy(F.floor(F.col("page_id") / 50).alias("g")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(loc), ""), F.lit("</urlset>")).alias("value"))
+    return sitemap_locations(maps).agg(F.count("*").alias("n"), F.count_distinct("location").alias("urls"))
+
+
+@query("""SELECT c_name AS location, 'Theft' AS type, strftime(TIMESTAMP '2021-01-02 15:04:05' + to_days((c_custkey % 20)::INT), '%Y-%m-%d %H:%M:%S') AS posted, CASE WHEN c_custkey % 2 = 0 THEN 'arrested' ELSE 'unknown' END AS outcome FROM customer""")
+def dispatch_source(spark, d):
+    from ..sources.pages import dispatch_blocks
+
+    day = F.date_format(F.date_add(F.lit("2021-01-02"), (F.col("c_custkey") % 20).cast("int")), "M/d/yyyy")
+    block = F.concat(F.lit("Location: "), "c_name", F.lit("\nType: Theft\nDispatch Text: A person was "), F.when(F.col("c_custkey") % 2 == 0, "arrested").otherwise("seen"), F.lit(". Posted on "), day, F.lit(" 3:04:05 PM by DPS\\\\x\n"))
+    pages_ = table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 50).alias("g")).agg(F.array_join(F.collect_list(block), "").alias("value"))
+    return dispatch_blocks(pages_).select("location", "type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("posted"), F.col("entities.outcome").alias("outcome"))
+
+
+@query("""SELECT url, strftime(min(o_orderdate), '%Y-%m-%d') AS first FROM (SELECT 'x.com/'||(o_orderkey // 4) AS url, o_orderdate, row_number() OVER (PARTITION BY o_orderkey // 4 ORDER BY o_orderkey) AS n FROM orders) WHERE n = 1 GROUP BY url""")
+def archive_manifest_source(spark, d):
+    from ..sources.pages import archive_manifest
+
+    k = F.col("o_orderkey")
+    url = F.concat(F.when(k % 2 == 0, "http://www.x.com/").otherwise("https://x.com/"), F.floor(k / 4), F.when(k % 3 == 0, "/").otherwise(""))
+    row = F.array(F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyyMMddHHmmss"), url)
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), row.alias("r")))), lambda x: x["r"])
+    doc = table(spark, d, "orders").groupBy(F.floor(k / 200)).agg(F.to_json(F.concat(F.array(F.array(F.lit("timestamp"), F.lit("original"))), rows)).alias("value"))
+    got = archive_manifest(doc)
+    return got.select(F.regexp_replace(F.regexp_replace("original", "^https?://(www[.])?", ""), "/$", "").alias("url"), F.date_format("ts", "yyyy-MM-dd").alias("first"))
+
+
+@query(f"""SELECT hash, link, summary, ts_has FROM (SELECT hash, link, md5(summary) AS summary, seq % 2 = 0 AS ts_has FROM {DOCUMENTS})""")
+def adapted_producers(spark, d):
+    from ..sources.signals import adapt, union
+
+    df = documents(spark, d)
+    a = df.filter("seq % 2 = 0").select(F.col("hash").alias("id"), "title", F.col("link").alias("articleUrl"), F.col("summary").alias("content"), F.lit("2024-01-01T00:00:00Z").alias("published"))
+    b = df.filter("seq % 2 = 1").select("hash", "title", F.lit("").alias("link"), F.col("link").alias("url"), "summary", F.lit("2024-01-01T00:00:00").alias("timestamp"))
+    return union([adapt(a, "a"), adapt(b, "b")]).select("hash", "link", F.md5(F.col("summary").cast("binary")).alias("summary"), F.col("ts_has_offset").alias("ts_has"))
+
+
+@query("""SELECT s_suppkey AS code, CASE WHEN s_suppkey % 4 = 0 THEN 'delayed' WHEN s_suppkey % 4 = 1 THEN 'unknown' ELSE 'normal' END AS status FROM supplier""")
+def airport_status(spark, d):
+    from ..sources.signals import airport_status as status
+
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("code"))
+    k = F.col("code") % 4
+    answers = s.filter(k < 3).select("code", F.when(k == 0, 200).when(k == 2, 500).alias("http"), F.lit(True).alias("delay"), (k == 1).alias("failed"))
+    return status(s, answers).select("code", "status")
+
+
+@query(f"""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN {C.PLACES["palmer"][0]!r} WHEN 1 THEN {dict(C.AGENCY_PLACES)["KENAI"][0]!r} WHEN 2 THEN 5.0 ELSE -1.0 END::DOUBLE AS lat FROM customer""")
+def agency_points(spark, d):
+    from ..operators.places import fill_places
+
+    k = F.col("c_custkey") % 4
+    name = F.when(k == 0, "Palmer PD").when(k == 1, "Kenai Police").when(k == 2, "Nome PD").otherwise("FBI")
+    df = table(spark, d, "customer").select("c_custkey", name.alias("n"), F.when(k == 2, 5.0).alias("lat"), F.when(k == 2, 6.0).alias("lng"))
+    filled = fill_places(df, F.col("n")).withColumn("p", geo.agency_point(F.col("n")))
+    return filled.select("c_custkey", F.coalesce(F.when(k == 1, F.col("p.lat")), F.col("lat"), F.lit(-1.0)).alias("lat"))
+
+
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'M' ELSE 'N' END AS title, CASE page_id % 3 WHEN 0 THEN 'cell' WHEN 1 THEN 'body' ELSE 'text' END AS body FROM pages""")
+def era_articles(spark, d):
+    from ..sources.pages import article_of
+
+    html = F.lit('<h1>H</h1><td>cell</td><meta property="og:title" content="M"><article>body</article><script type="application/ld+json">{"headline":"N","articleBody":"text"}</script>')
+    year = F.when(F.col("page_id") % 3 == 0, 2001).when(F.col("page_id") % 3 == 1, 2015).otherwise(2023)
+    return table(spark, d, "pages").select("page_id", article_of(html, year).alias("a")).select("page_id", "a.title", "a.body")
