@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -35,7 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which the cluster shares; a temporary one only where it is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='quillgrid-')}"
+        own = tempfile.mkdtemp(prefix="quillgrid-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        found = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
