@@ -141,72 +141,84 @@ def _field(docs: list[tuple[list[str], int]]) -> Model:
     """The random field of (words, label) documents, without a document score."""
     n = Counter(y for _, y in docs)
     held: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    known: dict[str, list[str]] = {}
     for words, y in docs:
-        held[y].update({f for w in set(words) for f in features(w)})
+        for w in set(words):
+            if w not in known:
+                known[w] = features(w)
+        held[y].update({f for w in set(words) for f in known[w]})
 
     def odds(f: str) -> float:
         return math.log((held[1][f] + 0.5) / (n[1] + 1)) - math.log((held[0][f] + 0.5) / (n[0] + 1))
 
     chosen = [f for f, c in held[1].items() if c >= LEAST_DOCS and odds(f) >= LEAST_LOG_ODDS]
     index = {f: i + 1 for i, f in enumerate(sorted(chosen))}
-    x, y = _windows(docs, index)
-    theta, bias, trans = _train(x, y, len(index) + 1)
+    theta, bias, trans = _train(*_windows(docs, index), len(index) + 1)
     return Model({f: float(theta[i]) for f, i in index.items()}, float(bias), tuple(tuple(map(float, r)) for r in trans))
 
 
-def _windows(docs: list[tuple[list[str], int]], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature indices (windows, tokens, features) with 0 for none and -1 past the end, and token labels."""
-    rng, width = _rng("windows"), 1 + len(PREFIXES)
+def _windows(docs: list[tuple[list[str], int]], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token kinds (windows, tokens) with 0 for no feature and -1 past the end, token labels, and each kind's features
+    (0 for none)."""
+    rng = _rng("windows")
+    kinds: dict[tuple[int, ...], int] = {(): 0}
+    known: dict[str, int] = {}
     xs, ys = [], []
     for words, label in docs:
-        ids = [[index[f] for f in features(w) if f in index] for w in words]
-        at = [i for i, f in enumerate(ids) if f]
+        for w in set(words):
+            if w not in known:
+                known[w] = kinds.setdefault(tuple(index[f] for f in features(w) if f in index), len(kinds))
+        ids = [known[w] for w in words]
+        at = [i for i, k in enumerate(ids) if k]
         starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in at[:8]} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
-        for s in starts:
-            x, y = np.full((WINDOW, width), -1, np.int32), np.zeros(WINDOW, np.int8)
-            for k, f in enumerate(ids[s : s + WINDOW]):
-                x[k] = 0
-                x[k, : len(f)] = f
-                y[k] = bool(f) and label == 1
+        for s in sorted(starts):
+            x, y = np.full(WINDOW, -1, np.int32), np.zeros(WINDOW, np.int8)
+            part = ids[s : s + WINDOW]
+            x[: len(part)] = part
+            y[: len(part)] = [bool(k) and label == 1 for k in part]
             xs.append(x)
             ys.append(y)
-    return np.array(xs), np.array(ys)
+    of = np.zeros((len(kinds), 1 + len(PREFIXES)), np.int32)
+    for fs, k in kinds.items():
+        of[k, : len(fs)] = fs
+    return np.array(xs), np.array(ys), of
 
 
-def _train(x: np.ndarray, y: np.ndarray, n_features: int, steps: int = 100, rate: float = 0.2, decay: float = 1e-3):
+def _train(x: np.ndarray, y: np.ndarray, of: np.ndarray, n_features: int, steps: int = 100, rate: float = 0.2, decay: float = 1e-3):
     """Adam on the field's conditional log-likelihood, with forward-backward over all windows at once."""
     theta = np.zeros(n_features + 5)  # features, bias, transitions 00 01 10 11
     theta[n_features] = -3.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    n, length, _ = x.shape
-    there = x[:, :, 0] >= 0
-    flat = np.maximum(x, 0)
+    n, length = x.shape
+    on, label, kind = (x >= 0).T.copy(), y.T.astype(float), np.maximum(x, 0)
+    kind_t = kind.T.ravel()
+    steps_seen = [((label[:-1] == a) & (label[1:] == b) & on[1:]).sum() for a in (0, 1) for b in (0, 1)]
     for step in range(1, steps + 1):
         w = np.concatenate([[0.0], theta[1:n_features]])
-        trans = theta[n_features + 1 :].reshape(2, 2)
-        score = w[flat].sum(2) + theta[n_features]
-        emit = np.stack([np.zeros_like(score), score], 2)
-        alpha, beta = np.zeros((n, length, 2)), np.zeros((n, length, 2))
-        alpha[:, 0] = emit[:, 0]
+        score = w[of].sum(1)[kind] + theta[n_features]
+        (t00, t01), (t10, t11) = np.exp(theta[n_features + 1 :].reshape(2, 2))
+        e = np.exp(np.clip(score, -30, 30)).T.copy()  # token by window
+        # Forward and backward passes, scaled to sum 1 at each token; past the end nothing changes.
+        f0, f1, b0, b1 = np.empty_like(e), np.empty_like(e), np.ones_like(e), np.ones_like(e)
+        f0[0], f1[0] = 1 / (1 + e[0]), e[0] / (1 + e[0])
         for t in range(1, length):
-            moved = np.logaddexp(alpha[:, t - 1, :1] + trans[0], alpha[:, t - 1, 1:] + trans[1]) + emit[:, t]
-            alpha[:, t] = np.where(there[:, t, None], moved, alpha[:, t - 1])
+            x0, x1 = f0[t - 1] * t00 + f1[t - 1] * t10, (f0[t - 1] * t01 + f1[t - 1] * t11) * e[t]
+            z = x0 + x1
+            f0[t], f1[t] = np.where(on[t], x0 / z, f0[t - 1]), np.where(on[t], x1 / z, f1[t - 1])
         for t in range(length - 2, -1, -1):
-            on = beta[:, t + 1] + emit[:, t + 1]
-            moved = np.logaddexp(trans[:, 0] + on[:, :1], trans[:, 1] + on[:, 1:])
-            beta[:, t] = np.where(there[:, t + 1, None], moved, beta[:, t + 1])
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p1 = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None])
-        error = np.where(there, y - p1, 0.0)
+            x0, x1 = t00 * b0[t + 1] + t01 * e[t + 1] * b1[t + 1], t10 * b0[t + 1] + t11 * e[t + 1] * b1[t + 1]
+            z = x0 + x1
+            b0[t], b1[t] = np.where(on[t + 1], x0 / z, b0[t + 1]), np.where(on[t + 1], x1 / z, b1[t + 1])
+        p1 = f1 * b1 / (f0 * b0 + f1 * b1)
+        error = np.where(on, label - p1, 0.0)
         grad = np.zeros_like(theta)
-        grad[:n_features] = np.bincount(flat.ravel(), np.repeat(error.ravel(), flat.shape[2]), n_features)
+        by_kind = np.bincount(kind_t, error.ravel(), len(of))
+        grad[:n_features] = np.bincount(of.ravel(), np.repeat(by_kind, of.shape[1]), n_features)
         grad[0] = 0.0
         grad[n_features] = error.sum()
-        pair = there[:, 1:]
-        for a in (0, 1):
-            for b in (0, 1):
-                p = np.exp(alpha[:, :-1, a] + trans[a, b] + emit[:, 1:, b] + beta[:, 1:, b] - z[:, None])
-                grad[n_features + 1 + 2 * a + b] = np.where(pair, ((y[:, :-1] == a) & (y[:, 1:] == b)) - p, 0.0).sum()
+        pairs = [f0[:-1] * t00 * b0[1:], f0[:-1] * t01 * e[1:] * b1[1:], f1[:-1] * t10 * b0[1:], f1[:-1] * t11 * e[1:] * b1[1:]]
+        z = pairs[0] + pairs[1] + pairs[2] + pairs[3]
+        grad[n_features + 1 :] = [seen - (p / z)[on[1:]].sum() for seen, p in zip(steps_seen, pairs)]
         grad = grad / n - decay * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
