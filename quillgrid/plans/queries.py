@@ -213,8 +213,8 @@ def _labels_sql(rules) -> str:
 
 @query(f"""SELECT seq, {_labels_sql(ENTITY_WORDS)} AS entities, {_labels_sql(C.ENTITIES)} AS known, {_labels_sql(C.SPECIES)} AS species FROM {DOCUMENTS}""")
 def multi_label_entities(spark, d):
-    t = F.lower("summary")
-    return documents(spark, d).select("seq", *[F.array_join(filters.entity_slugs(t, r), ",").alias(k) for k, r in (("entities", ENTITY_WORDS), ("known", C.ENTITIES), ("species", C.SPECIES))])
+    t = F.col("t")  # lower case once, not once a word
+    return documents(spark, d).select("seq", F.lower("summary").alias("t")).select("seq", *[F.array_join(filters.entity_slugs(t, r), ",").alias(k) for k, r in (("entities", ENTITY_WORDS), ("known", C.ENTITIES), ("species", C.SPECIES))])
 
 
 def _score_sql(rules) -> str:
