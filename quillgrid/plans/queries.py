@@ -358,6 +358,33 @@ def merge_json_lines(spark, d):
     return merge.merge_lines(old, e.filter("event_id % 50 = 1").select(line.alias("value")))
 
 
+@query("""SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL OR (n.k IS NOT NULL AND o.stamp <> n.stamp) THEN n.stamp ELSE o.stamp END AS stamp, CASE WHEN o.k IS NULL THEN n.note ELSE o.note END AS note
+FROM (SELECT c_custkey AS k, c_nationkey % 7 AS stamp, 'old' AS note FROM customer WHERE c_mktsegment < 'H') o FULL JOIN (SELECT c_custkey AS k, c_nationkey % 5 AS stamp, 'new' AS note FROM customer WHERE c_mktsegment > 'B') n ON o.k = n.k""")
+def upsert_every_customer(spark, d):
+    c = table(spark, d, "customer")
+    old = c.filter("c_mktsegment < 'H'").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 7).alias("stamp"), F.lit("old").alias("note"))
+    new = c.filter("c_mktsegment > 'B'").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 5).alias("stamp"), F.lit("new").alias("note"))
+    return merge.upsert(old, new, "k", ["stamp"], when="stamp")
+
+
+@query("""SELECT c_custkey AS k, 'old' AS side FROM customer WHERE c_mktsegment < 'H' UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_mktsegment >= 'H'""")
+def insert_every_customer(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    side = lambda where, name: c.filter(where).select("k", F.lit(name).alias("side"))
+    return merge.insert_only(side("c_mktsegment < 'H'", "old"), side("c_mktsegment > 'B'", "new"), ["k"])
+
+
+@query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, value) AS n FROM (
+  SELECT '{"hash":"'||user_id||'-'||day(ts)||'","e":'||event_id||'}' AS value, user_id||'-'||day(ts) AS k, CASE WHEN event_type IN ('click', 'error') THEN 0 ELSE 1 END AS side FROM events)) WHERE n = 1
+  UNION ALL SELECT 'broken '||event_id FROM events WHERE event_type = 'error'""")
+def merge_every_json_line(spark, d):
+    e = table(spark, d, "events")
+    line = F.concat(F.lit('{"hash":"'), F.col("user_id"), F.lit("-"), F.day("ts"), F.lit('","e":'), F.col("event_id"), F.lit("}"))
+    old, new = e.filter("event_type IN ('click', 'error')"), e.filter("event_type NOT IN ('click', 'error')")
+    broken = e.filter("event_type = 'error'").select(F.concat(F.lit("broken "), F.col("event_id")).alias("value"))
+    return merge.merge_lines(old.select(line.alias("value")).unionByName(broken), new.select(line.alias("value")))
+
+
 @query("""SELECT user_id FROM (SELECT DISTINCT user_id FROM events WHERE event_type='error') EXCEPT SELECT user_id FROM events WHERE event_type='purchase' AND event_id % 4 = 0""")
 def set_difference(spark, d):
     e = table(spark, d, "events")
