@@ -52,6 +52,7 @@ class SignalEngine:
         frames = [f.withColumn("__b", F.lit(k)) for k, f in enumerate([old, *new])]
         both = union(frames).filter(filters.is_web_link(F.col("link")))
         kept = merge.keep_last(both.withColumn("__o", F.struct("__b", "timestamp", "title")), ["hash"], "__o").drop("__b", "__o")
+        kept = linking.settled(kept)  # linking reads it many times over
         ranked = kept.withColumn("seq", F.struct((-F.coalesce(F.unix_micros("ts"), F.lit(0))).alias("t"), "hash"))
         links = linking.related(ranked, entities="entitySlugs").select("hash", F.col("related").alias("__r"))
         return kept.join(links, "hash", "left").withColumn("relatedSignalIds", F.col("__r")).drop("__r")

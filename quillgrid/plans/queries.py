@@ -715,13 +715,21 @@ def table_rows(spark, d):
 @query(f"""SELECT 'category' AS kind, lang AS value, count(*) AS n FROM (SELECT lang, row_number() OVER (PARTITION BY doc_id) AS r FROM documents WHERE length(trim(substring(text,1,60))) > 0) WHERE r = 1 GROUP BY lang
   UNION ALL SELECT 'source', source, count(*) FROM documents WHERE length(trim(substring(text,1,60))) > 0 GROUP BY source UNION ALL SELECT 'total', NULL, count(*) FROM documents WHERE length(trim(substring(text,1,60))) > 0""")
 def engine_summary(spark, d):
-    """The batch over documents as feed entries: enriched, merged, linked, summed up."""
+    """The batch over documents as feed entries: enriched, merged, linked, summed up.
+
+    The archive that they are merged with has each of them under other labels, which must lose, and once more from long
+    ago under another hash, which must roll off; a signal that linking loses is missing from the counts.
+    """
+    from ..sources.signals import adapt
     from .engine import SignalEngine
 
-    engine = SignalEngine("2024-01-30 00:00:00")
-    e = documents(spark, d).select("seq", "title", "link", F.concat("summary", F.lit(" more")).alias("description"), "category", "source", F.lit("2024-01-20T00:00:00Z").alias("published"))
+    engine, docs = SignalEngine("2024-01-30 00:00:00"), documents(spark, d)
+    e = docs.select("seq", "title", "link", F.concat("summary", F.lit(" more")).alias("description"), "category", "source", F.lit("2024-01-20T00:00:00Z").alias("published"))
     signals = engine.enrich(e, spark.range(0).select(F.lit("").alias("hash")))
-    return engine.summary(engine.rolling(signals))
+    filed = docs.filter(filters.has_title_and_link(F.col("title"), F.col("link")))
+    filed = filed.select("title", "link", F.col("title").alias("summary"), F.lit("archived").alias("category"), F.lit("archive").alias("source"), F.explode(F.array(F.struct("hash", F.lit("2024-01-10T00:00:00Z").alias("timestamp")), F.struct(F.md5("hash").alias("hash"), F.lit("2023-01-10T00:00:00Z").alias("timestamp")))).alias("x"))
+    merged = engine.merge(adapt(filed.select("title", "link", "summary", "category", "source", "x.*")), signals)
+    return engine.summary(engine.rolling(merged.filter(F.size("relatedSignalIds") >= 0)))
 
 
 # ---- sources, over documents in each producer's form made of the test tables

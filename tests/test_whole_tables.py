@@ -3,7 +3,10 @@
 import duckdb
 import pytest
 
+from quillgrid.operators import linking
 from quillgrid.plans import catalog
+from quillgrid.plans.engine import SignalEngine
+from quillgrid.sources.signals import union
 
 from .conftest import DATA
 
@@ -32,3 +35,12 @@ def test_json_lines_take_every_event(spark):
     rows = [r[0] for r in held_to_sql(spark, "merge_every_json_line")]
     assert sum(r.startswith("broken") for r in rows) == sum(e.event_type == "error" for e in events)
     assert len({(e.user_id, e.ts.day) for e in events}) == sum(r.startswith("{") for r in rows)
+
+
+def test_engine_summary_needs_each_step(spark, monkeypatch):
+    right = sorted(held_to_sql(spark, "engine_summary"), key=str)
+    related = linking.related
+    for where, name, f in [(SignalEngine, "merge", lambda self, *frames: union(frames).selectExpr("* EXCEPT (relatedSignalIds)", "array('x') AS relatedSignalIds")), (SignalEngine, "rolling", lambda self, signals: signals), (linking, "related", lambda *a, **b: related(*a, **b).limit(1))]:
+        with monkeypatch.context() as m:
+            m.setattr(where, name, f)
+            assert sorted((tuple(r) for r in catalog.queries()["engine_summary"](spark, f"{DATA}/sf0.001").collect()), key=str) != right, name
