@@ -38,6 +38,18 @@ def test_cluster_is_the_sequential_rule(spark, seed):
     assert sum(r.reports for r in folded) == len(want) and all((r.attribution is None) == (r.reports == 1) for r in folded)
 
 
+@pytest.mark.parametrize("reach", [1.5, 400.0, 9000.0])
+def test_near_pairs_at_the_seam_and_the_poles(spark, reach):
+    rng = random.Random(4)
+    rows = [(0, 52.0, 179.995), (1, 52.0, -179.995), (2, 89.99, 0.0), (3, 89.99, 180.0), (4, -89.99, 10.0), (5, -89.99, -120.0), (6, 52.0, 180.0), (7, 52.0, -180.0)]
+    for lat, wide in [(52, 0.1), (0, 0.1), (-30, 0.1), (85, 0.5), (88.5, 3), (-89.5, 30), (89.9, 360)]:
+        rows += [(len(rows) + i, min(90.0, max(-90.0, lat + rng.uniform(-0.05, 0.05))), (180 + rng.uniform(-wide, wide) + 180) % 360 - 180) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, lat double, lng double").withColumn("ts", F.timestamp_seconds(F.lit(0)))
+    got = sorted((r.a, r.b) for r in linking.near_pairs(df, "k", "lat", "lng", "ts", reach, 60).collect())
+    want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and miles(a[1:], b[1:]) <= reach)
+    assert (0, 1) in want and got == want
+
+
 def test_cluster_of_nothing(spark):
     df = spark.createDataFrame([], "hash string, seq int, impact int, lat double, lng double, ts timestamp")
     assert linking.cluster(df).count() == 0
