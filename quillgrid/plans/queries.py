@@ -555,6 +555,15 @@ def related_signals(spark, d):
     return linking.related(e, entities="ents").select("seq", F.array_join("related", ",").alias("related"))
 
 
+@query(f"""WITH e AS (SELECT seq, hash, ts, region, sector, 'x'||(user_id % 20) AS ent FROM {EVENTS})
+SELECT a.seq, coalesce(string_agg(b.hash, ',' ORDER BY b.seq), '') AS related FROM e a LEFT JOIN (
+  SELECT * FROM (SELECT x.seq AS s, y.seq, y.hash, row_number() OVER (PARTITION BY x.seq ORDER BY y.seq) AS n FROM e x JOIN e y ON x.hash <> y.hash AND ((x.region = y.region AND x.sector = y.sector AND abs(epoch_us(x.ts) - epoch_us(y.ts)) < 172800000000) OR x.ent = y.ent)) WHERE n <= 5
+) b ON a.seq = b.s GROUP BY a.seq""")
+def related_by_entity(spark, d):
+    e = events(spark, d).withColumn("ents", F.array(F.concat(F.lit("x"), F.col("user_id") % 20)))
+    return linking.related(e, entities="ents").select("seq", F.array_join("related", ",").alias("related"))
+
+
 @query(f"""SELECT a.seq AS a, b.seq AS b FROM {EVENTS} a JOIN {EVENTS} b ON a.seq <> b.seq AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 2700000000
   AND 2*3959.0::DOUBLE*atan2(sqrt(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2)), sqrt(1-(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2)))) <= 1.5""")
 def haversine_band(spark, d):

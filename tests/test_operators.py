@@ -73,6 +73,15 @@ def test_related_is_the_nested_loop(spark, seed):
     assert got == want
 
 
+def test_related_with_repeated_keys(spark):
+    start = datetime(2024, 1, 1)
+    keys = ["a"] * 8 + ["b"] * 7 + ["c", "d", "e", "f", "g"]
+    rows = [(i, h, start, "r", "s", []) for i, h in enumerate(keys)] + [(100 + i, h, None, None, None, ["x"]) for i, h in enumerate(keys)]
+    df = spark.createDataFrame(rows, "seq int, hash string, ts timestamp, region string, sector string, e array<string>")
+    got = {r.seq: r.related for r in linking.related(df, entities="e").collect()}
+    assert got == {r[0]: [k for k in "abcdefg" if k != r[1]][:5] for r in rows}
+
+
 def test_merges(spark):
     a = spark.createDataFrame([("k1", 1, "a"), ("k1", 2, "b"), (None, 3, "c")], "hash string, seq int, v string")
     b = spark.createDataFrame([("k1", 1, "x"), ("k2", 2, "y")], "hash string, seq int, v string")

@@ -44,3 +44,7 @@ def test_engine_summary_needs_each_step(spark, monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(where, name, f)
             assert sorted((tuple(r) for r in catalog.queries()["engine_summary"](spark, f"{DATA}/sf0.001").collect()), key=str) != right, name
+
+
+def test_related_gives_every_event_an_entity(spark):
+    assert all(related for _, related in held_to_sql(spark, "related_by_entity"))
