@@ -384,7 +384,7 @@ def _key(doc_id: str, text: str):
     return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
 
 
-def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None) -> dict:
+def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None, whole: bool = False) -> dict:
     if starts is None or not len(starts):
         return {"n_bytes": len(raw), "spans": [], "kept": raw}
     order = np.argsort(starts, kind="stable")
@@ -397,8 +397,12 @@ def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None) -> dict
             spans.append({"start": a, "end": b})
     kept, at = [], 0
     for s in spans:
-        kept.append(raw[at : s["start"]])
-        at = s["end"]
+        start, end = s["start"], s["end"]
+        if whole:
+            start = next((k for k in range(start, max(start - 4, -1), -1) if raw[k] & 0xC0 != 0x80), start)
+            end = next((k for k in range(end, min(end + 4, len(raw))) if raw[k] & 0xC0 != 0x80), len(raw) if end + 4 > len(raw) else end)
+        kept.append(raw[at:start])
+        at = end
     kept.append(raw[at:])
     return {"n_bytes": len(raw), "spans": spans, "kept": b"".join(kept)}
 
@@ -406,12 +410,12 @@ def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None) -> dict
 SCHEMA = "n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, whole: bool = False) -> DataFrame:
     """docs with n_bytes, spans (maximal runs of bytes that repeat) and kept (the other bytes), which replace own columns
     of these names.
 
     Null text is empty: nothing repeats. Repeated rows repeat each other. doc_id names a text: rows that share one with
-    different texts get the spans of all. Rows without doc_id are known by a hash of their text. An empty table gives an
+    different texts get the spans of all. whole: kept lacks the rest of a character that a span cuts, too. Rows without doc_id are known by a hash of their text. An empty table gives an
     empty table.
     """
     spans = repeated_spans(docs, doc_id, text, group).groupBy("key").agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
@@ -422,7 +426,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gr
         flat_s, flat_e = (x.values.to_numpy(zero_copy_only=False) if len(x) else np.zeros(0, np.int64) for x in (starts, ends))
         so, eo = starts.offsets.to_numpy(), ends.offsets.to_numpy()
         for i, raw in enumerate(utf8(column)):
-            yield _cut(raw, flat_s[so[i] : so[i + 1]], flat_e[eo[i] : eo[i + 1]])
+            yield _cut(raw, flat_s[so[i] : so[i + 1]], flat_e[eo[i] : eo[i + 1]], whole)
 
     return map_rows(joined, [text, "__starts", "__ends"], SCHEMA, rows).drop("__starts", "__ends")
 
@@ -436,18 +440,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with the repeated bytes cut out of text, and n_chars counted anew; a character that a span cuts goes whole."""
     names = docs.columns
-    done = suffix_dedup(docs)
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(_decoded(F.col("kept")))
+    done = suffix_dedup(docs, whole=True)
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
     done = done.withColumn("text", text)
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return done.select(names)
 
 
-def _decoded(kept):
-    """UTF-8 without the parts of characters that a span's edge has cut."""
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("�"), F.lit(""))
-
-
 QUERIES = {"op7_suffix_dedup": op7_suffix_dedup}
 ORACLES: dict[str, str] = {}

@@ -80,6 +80,14 @@ def test_stage_cuts_no_character(spark):
     assert got[1].text == "a" + "b" * 50 and got[1].n_chars == 51
 
 
+def test_stage_keeps_replacement_characters_of_the_source(spark):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("éüabc") for _ in range(500))
+    rows = [(1, "x\ufffdy\u00e8" + passage + "\u00ea\ufffd"), (2, "z\u0128" + passage + "\u00eb")]
+    got = {r.doc_id: r for r in sd.stage_suffix_dedup(spark, docs_frame(spark, rows), "").collect()}
+    assert got[1].text == "x\ufffdy\ufffd" and got[1].n_chars == 4
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_deep_shallow_sort(seed):
     rng = random.Random(seed)
