@@ -28,8 +28,8 @@ SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: Toxic documents that must have a feature, and how much likelier it must be in them, for it to mark tokens as toxic.
 LEAST_DOCS, LEAST_LOG_ODDS = 6, 1.5
-#: Tokens of a training window.
-WINDOW = 24
+#: Tokens of a training window, and how many of a document's tokens with a feature, the first ones, get a window.
+WINDOW, WINDOWED = 24, 8
 #: Tokens without a feature that are kept at each end of a run of them; those between are alike to double precision.
 EDGE = 40
 #: A worker forgets words beyond so many.
@@ -108,7 +108,7 @@ def features(word: str) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return [w.lower() for w in WORD.findall(text)]
 
 
 def _rng(seed: str) -> np.random.Generator:
@@ -170,7 +170,7 @@ def _windows(docs: list[tuple[list[str], int]], index: dict[str, int]) -> tuple[
                 known[w] = kinds.setdefault(tuple(index[f] for f in features(w) if f in index), len(kinds))
         ids = [known[w] for w in words]
         at = [i for i, k in enumerate(ids) if k]
-        starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in at[:8]} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
+        starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in at[:WINDOWED]} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
         for s in sorted(starts):
             x, y = np.full(WINDOW, -1, np.int32), np.zeros(WINDOW, np.int8)
             part = ids[s : s + WINDOW]
@@ -267,18 +267,17 @@ def score_text(model: Model, text: str, least: float = 0.5) -> dict:
     tagged, expected, largest = model.tag(emissions)
     offsets = []
     if largest >= least:
-        places = [(m.start(), m.end()) for m in WORD.finditer(text)]
-        if len(places) == len(words):
-            before = -2
-            for i, p in tagged:
-                if p < least:
-                    continue
-                start, end = places[i]
-                if i == before + 1:
-                    offsets[-1] |= {"end": end, "p": max(p, offsets[-1]["p"])}
-                else:
-                    offsets.append({"start": start, "end": end, "p": p})
-                before = i
+        places = [m.span() for m in WORD.finditer(text)]
+        before = -2
+        for i, p in tagged:
+            if p < least:
+                continue
+            start, end = places[i]
+            if i == before + 1:
+                offsets[-1] |= {"end": end, "p": max(p, offsets[-1]["p"])}
+            else:
+                offsets.append({"start": start, "end": end, "p": p})
+            before = i
     score = model.score(len(words), expected, largest)
     return {"score": score, "predicted": int(score >= 0.5), "offsets": offsets}
 

@@ -41,6 +41,13 @@ def test_held_out_accuracy_and_offsets(model):
     assert wrong <= 3
 
 
+def test_offsets_where_lower_case_is_longer(model):
+    text = "\u0130stanbul the house " + "blorg frenkish snarlode vilkemort " * 3 + "on a hill"
+    got = score_text(model, text)
+    assert got["predicted"] == 1 and got["offsets"]
+    assert all(text[o["start"] : o["end"]].startswith(tuple(BAD)) for o in got["offsets"])
+
+
 def brute_marginals(model, scores):
     """Sum over all labellings."""
     n, total, on = len(scores), 0.0, [0.0] * len(scores)
