@@ -1,39 +1,61 @@
-"""Suffix-array dedup: bytes that a 400-byte string covers which also starts anywhere else.
-
-A window of LENGTH bytes has one anchor: the GRAM bytes in it whose hash is least (leftmost if equal). Equal windows have
-equal anchors at equal places, so only windows around equal anchors can be equal. The windows of one anchor begin next to
-each other; the bytes that they span are its context. Contexts with the same fingerprint (128 bits: anchor and context)
-are one entry with a multiplicity. Where an anchor has several different contexts, the suffixes that begin behind it and
-the reversed prefixes that end before it are put in order by deep-shallow sorting; common prefixes of neighbours then say
-which windows are equal. Anchors with very many different contexts are dealt out by digests of their windows instead.
+"""Suffix-array dedup: bytes that a string of a given length covers which also starts anywhere else.
+
+A window of that length has one anchor: the gram in it whose hash is least (leftmost if equal). Equal windows have equal
+anchors at equal places, so only windows around equal anchors can be equal. The windows of one anchor begin next to each
+other; the bytes that they span are its context. Equal contexts (128 bits of BLAKE2b over their bytes) are one entry with
+a multiplicity. Where an anchor has several different contexts, the suffixes that begin behind it and the reversed
+prefixes that end before it are put in order by deep-shallow sorting; common prefixes of neighbours then say which windows
+are equal. An anchor with more different contexts than one task should hold is dealt out window by window, by BLAKE2b again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import prepare, map_rows, settle, table, utf8
 
-LENGTH, GRAM = 400, 128
-#: Anchors that a window may have.
-REACH = LENGTH - GRAM + 1
+
+@dataclass(frozen=True)
+class Shape:
+    """Bytes of a repeated string, and of the grams that anchor it."""
+
+    length: int
+    gram: int
+
+    @property
+    def reach(self) -> int:
+        """Anchors that a window may have."""
+        return self.length - self.gram + 1
+
+    @property
+    def rest(self) -> int:
+        return self.length - self.gram
+
+
+#: The query's shape.
+REPEATED = Shape(400, 128)
+#: The pipeline stage's: 50 words of three letters and a blank each, the least that a passage of over 50 words has in
+#: text of everyday words; it is a third shorter than 50 average words.
+PASSAGE = Shape(200, 64)
 #: Depth at which multikey quicksort hands over to blind tries.
 SHALLOW = 12
-#: Different contexts of one anchor up to which one task sorts them.
-GROUP = 32
+#: Different contexts of one anchor that one task sorts; a larger group, which may be of any size, is dealt by windows.
+GROUP = 256
 #: Bytes that are hashed together; a longer text is cut into overlapping parts.
 CHUNK_BITS = 19
 CHUNK = 1 << CHUNK_BITS
 
 _rng = np.random.default_rng(20240777)
-_SYMBOLS = [_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(3)]
-_BASES = [int(_rng.integers(1 << 61, 1 << 62)) * 2 + 1 for _ in range(3)]
+_SYMBOLS = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = int(_rng.integers(1 << 61, 1 << 62)) * 2 + 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -42,29 +64,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=3)
-def _powers(which: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.full(CHUNK, base, np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
     return out[0], out[1]
 
 
-class _Rolling:
-    """Hashes of any byte ranges of a buffer of at most CHUNK bytes."""
-
-    def __init__(self, buf: np.ndarray, which: int):
-        power, self.inverse = _powers(which)
-        self.total = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_SYMBOLS[which][buf] * power[: len(buf)], out=self.total[1:])
+def _grams(buf: np.ndarray, n: int) -> np.ndarray:
+    """A rolling hash of each n bytes of a buffer of at most CHUNK. It only brings grams together, and decides nothing."""
+    power, inverse = _powers()
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_SYMBOLS[buf] * power[: len(buf)], out=total[1:])
+    return _mix((total[n:] - total[:-n]) * inverse[: len(buf) + 1 - n])
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.total[end] - self.total[start]) * self.inverse[start]
 
-    def grams(self, n: int) -> np.ndarray:
-        return (self.total[n:] - self.total[:-n]) * self.inverse[: len(self.total) - n]
+def _digest(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """BLAKE2b of byte ranges, as two columns of 64 bits."""
+    view = memoryview(data)
+    made = b"".join([blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    both = np.frombuffer(made, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -79,22 +102,23 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(parts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(part, lo, n, da, kh, ch): windows lo to lo + n - 1 of a part have their anchor at lo + da; hashes of the anchor
-    and of the context. The parts together have at most CHUNK bytes."""
-    buf = np.frombuffer(b"".join(parts), np.uint8)
+def anchors(parts: list[bytes], shape: Shape) -> tuple[np.ndarray, ...]:
+    """(part, lo, n, da, kh, c1, c2): windows lo to lo + n - 1 of a part have their anchor at lo + da; hash of the anchor,
+    digest of the context and da. The parts together have at most CHUNK bytes."""
+    data = b"".join(parts)
+    buf = np.frombuffer(data, np.uint8)
     ends = np.cumsum([len(p) for p in parts])
     starts = ends - [len(p) for p in parts]
-    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
-    if len(buf) < LENGTH:
+    none = (np.zeros(0, np.int64),) * 7
+    if len(buf) < shape.length:
         return none
-    grams = _mix(_Rolling(buf, 0).grams(GRAM))
+    grams = _grams(buf, shape.gram)
     place = np.uint64(CHUNK - 1)
-    at = (_least((grams & ~place) | np.arange(len(grams), dtype=np.uint64), REACH) & place).astype(np.int64)
+    at = (_least((grams & ~place) | np.arange(len(grams), dtype=np.uint64), shape.reach) & place).astype(np.int64)
     valid = np.zeros(len(at) + 2, bool)  # with an invalid one at each end
     for a, b in zip(starts, ends):
-        if b - a >= LENGTH:
-            valid[a + 1 : b - LENGTH + 2] = True
+        if b - a >= shape.length:
+            valid[a + 1 : b - shape.length + 2] = True
     inner = valid[1:-1]
     new = inner & ~(valid[:-2] & np.concatenate([[False], at[1:] == at[:-1]]))
     lo = np.flatnonzero(new)
@@ -103,19 +127,20 @@ def anchors(parts: list[bytes]) -> tuple[np.ndarray, ...]:
     last = inner & ~(valid[2:] & np.concatenate([at[1:] == at[:-1], [False]]))
     hi = np.flatnonzero(last)
     anchor = at[lo]
-    context = _mix(_Rolling(buf, 1).of(lo, hi + LENGTH) ^ _mix((anchor - lo).astype(np.uint64) << np.uint64(32) | (hi - lo).astype(np.uint64)))
+    c1, c2 = _digest(data, lo, hi + shape.length)
+    c1 = c1 ^ _mix((anchor - lo).astype(np.uint64)).view(np.int64)
     part = np.searchsorted(starts, lo, "right") - 1
     # Empty parts share a start with the next; the last of equal starts is the one that has bytes.
-    return part, lo - starts[part], hi - lo + 1, anchor - lo, grams[anchor], context
+    return part, lo - starts[part], hi - lo + 1, anchor - lo, grams[anchor].view(np.int64), c1, c2
 
 
-def _parts(raws: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def _parts(raws: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """(row, base, bytes) lists of at most CHUNK bytes; parts of a long text overlap so that each window is in one."""
     rows, bases, held, size = [], [], [], 0
     for i, raw in enumerate(raws):
-        if len(raw) < LENGTH:
+        if len(raw) < length:
             continue
-        for base in range(0, len(raw) - LENGTH + 1, CHUNK - LENGTH + 1):
+        for base in range(0, len(raw) - length + 1, CHUNK - length + 1):
             part = raw[base : base + CHUNK]
             if size + len(part) > CHUNK:
                 yield rows, bases, held
@@ -128,35 +153,51 @@ def _parts(raws: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes
         yield rows, bases, held
 
 
-def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of two sorts. Contexts: once for each text, with the times that they occur in it. Spans (kh null): what the
-    contexts cover that occur more than once in a text; periodic texts have very many of these, which end here."""
-    for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for rows, bases, held in _parts(utf8(batch.column(1))):
-            part, lo, n, da, kh, ch = anchors(held)
-            order = np.lexsort((lo, ch, kh, part))
-            differs = lambda x: x[order][1:] != x[order][:-1]
-            first = np.concatenate([[True], differs(part) | differs(kh) | differs(ch)])[: len(order)]
-            group = np.cumsum(first) - 1
-            times = np.bincount(group)
-            one = order[first]
-            again = np.sort(order[times[group] > 1])
-            start, end = lo[again], lo[again] + n[again] - 1 + LENGTH
-            new = np.concatenate([[True], (part[again][1:] != part[again][:-1]) | (start[1:] > end[:-1])])[: len(again)]
-            last = np.concatenate([new[1:], [True]])[: len(again)]
-            key, base = keys[np.array(rows)], np.array(bases)
-            m, k = len(one), int(new.sum())
-            at = np.concatenate([part[one], part[again][new]])
-            cols = [
-                pa.array(key[at]),
-                pa.array(np.concatenate([lo[one], start[new]]) + base[at]),
-                pa.array(np.concatenate([n[one], (end[last] - start[new])])),
-                pa.array(np.concatenate([da[one], np.zeros(k, np.int64)])),
-                *(pa.array(np.concatenate([x[one].view(np.int64), np.zeros(k, np.int64)]), mask=np.arange(m + k) >= m) for x in (kh, ch)),
-                pa.array(np.concatenate([times, np.zeros(k, np.int64)])),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, ["key", "lo", "n", "da", "kh", "ch", "times"])
+#: What the steps in Python yield. key and th name a text (see repeated_spans).
+ANCHORS = "key long, th long, lo long, n long, da long, kh long, c1 long, c2 long, times long"
+CONTEXTS = "kh long, c1 long, c2 long, many boolean, key long, th long, lo long, n long, da long, bytes binary"
+SPANS = "key long, th long, start long, end long"
+WINDOWS = "key long, th long, at long, d1 long, d2 long"
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(",")]
+
+
+def _find_anchors(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, th, text) to rows of two sorts. Contexts: once for each text, with the times that they occur in it. Spans (kh
+    null): what the contexts cover that occur more than once in a text; periodic texts have very many, which end here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for rows, bases, held in _parts(utf8(batch.column(2)), shape.length):
+                part, lo, n, da, kh, c1, c2 = anchors(held, shape)
+                order = np.lexsort((lo, c2, c1, kh, part))
+                differs = lambda x: x[order][1:] != x[order][:-1]
+                first = np.concatenate([[True], differs(part) | differs(kh) | differs(c1) | differs(c2)])[: len(order)]
+                group = np.cumsum(first) - 1
+                times = np.bincount(group)
+                one = order[first]
+                again = np.sort(order[times[group] > 1])
+                start, end = lo[again], lo[again] + n[again] - 1 + shape.length
+                new = np.concatenate([[True], (part[again][1:] != part[again][:-1]) | (start[1:] > end[:-1])])[: len(again)]
+                last = np.concatenate([new[1:], [True]])[: len(again)]
+                row, base = np.array(rows), np.array(bases)
+                m, k = len(one), int(new.sum())
+                at = np.concatenate([part[one], part[again][new]])
+                cols = [
+                    pa.array(keys[row[at]]),
+                    pa.array(hashes[row[at]]),
+                    pa.array(np.concatenate([lo[one], start[new]]) + base[at]),
+                    pa.array(np.concatenate([n[one], (end[last] - start[new])])),
+                    pa.array(np.concatenate([da[one], np.zeros(k, np.int64)])),
+                    *(pa.array(np.concatenate([x[one], np.zeros(k, np.int64)]), mask=np.arange(m + k) >= m) for x in (kh, c1, c2)),
+                    pa.array(np.concatenate([times, np.zeros(k, np.int64)])),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, _names(ANCHORS))
+
+    return run
 
 
 # ---- deep-shallow sorting
@@ -255,22 +296,33 @@ def _common_with(order: np.ndarray, common: np.ndarray, rank: int, n: int) -> np
     return out
 
 
-def repeated_windows(contexts: list[tuple[int, int, bytes]]) -> list[list[tuple[int, int]]]:
+def repeated_windows(contexts: list[tuple[int, int, bytes]], shape: Shape = REPEATED) -> list[list[tuple[int, int]]]:
     """For contexts (da, n, bytes) of one anchor, all different: the runs (first, end) of windows, counted from each
     context's first, that another context has too."""
+    by_gram: dict[bytes, list[int]] = {}
+    for i, (da, _, b) in enumerate(contexts):
+        by_gram.setdefault(b[da : da + shape.gram], []).append(i)
+    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    for own in by_gram.values():  # one group, unless hashes of anchors collide
+        if len(own) > 1:
+            for i, runs in zip(own, _equal_windows([contexts[i] for i in own], shape)):
+                out[i] = runs
+    return out
+
+
+def _equal_windows(contexts: list[tuple[int, int, bytes]], shape: Shape) -> list[list[tuple[int, int]]]:
     lefts = [b[:da][::-1] for da, _, b in contexts]
-    rights = [b[da + GRAM :] for da, _, b in contexts]
+    rights = [b[da + shape.gram :] for da, _, b in contexts]
     m = len(contexts)
     (lo, lc), (ro, rc) = _order(lefts), _order(rights)
     lrank, rrank = np.empty(m, np.int64), np.empty(m, np.int64)
     lrank[lo], rrank[ro] = np.arange(m), np.arange(m)
-    rest = LENGTH - GRAM
     out = []
     for i, (da, n, _) in enumerate(contexts):
         left, right = _common_with(lo, lc, lrank[i], m), _common_with(ro, rc, rrank[i], m)
         left[i] = right[i] = -1
         # A window that begins d bytes before the anchor is equal if left >= d and right >= rest - d.
-        first, last = np.maximum(rest - right, da - n + 1), np.minimum(left, da)
+        first, last = np.maximum(shape.rest - right, da - n + 1), np.minimum(left, da)
         ok = (first <= last) & (right >= 0)
         if not ok.any():
             out.append([])
@@ -288,100 +340,115 @@ def _runs(on: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
 
 
-def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted array<struct>) to one row for each wanted context."""
-    for batch in batches:
-        raws = utf8(batch.column(0))
-        out: list[list] = [[], [], [], [], [], [], [], []]
-        for raw, wanted in zip(raws, batch.column(1).to_pylist()):
-            for w in wanted:
-                for col, v in zip(out, (w["kh"], w["ch"], w["many"], w["key"], w["lo"], w["n"], w["da"], raw[w["lo"] : w["lo"] + w["n"] - 1 + LENGTH])):
-                    col.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["kh", "ch", "many", "key", "lo", "n", "da", "bytes"])
+def _cut_contexts(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, th, text, wanted array<struct>) to one row for each wanted context; a repeated row gives none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            out: list[list] = [[] for _ in range(10)]
+            for key, th, raw, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist()):
+                if (key, th) in seen:
+                    continue
+                seen.add((key, th))
+                for w in wanted:
+                    for col, v in zip(out, (w["kh"], w["c1"], w["c2"], w["many"], key, th, w["lo"], w["n"], w["da"], raw[w["lo"] : w["lo"] + w["n"] - 1 + shape.length])):
+                        col.append(v)
+            kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], _names(CONTEXTS))
 
+    return run
 
-def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by kh; gives (key, lo, n, start, end) of repeated windows' runs, of at most GROUP contexts an anchor."""
-    names = ["kh", "key", "lo", "n", "da", "bytes"]
-    now, held = None, []
+
+def _sort_groups(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Contexts sorted by (kh, c1, c2), at most GROUP an anchor; gives the spans of runs of repeated windows."""
+    columns = ["kh", "c1", "c2", "key", "th", "lo", "n", "da", "bytes"]
 
     def group(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeated_windows([(r[3], r[2], r[4]) for r in rows])
-        flat = [(r[0], r[1] + a, r[1] + b - 1 + LENGTH) for r, runs in zip(rows, found) for a, b in runs]
-        cols = list(zip(*flat)) if flat else [[], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "start", "end"])
-
-    for batch in batches:
-        for kh, *row in zip(*(batch.column(n).to_pylist() for n in names)):
-            if kh != now:
-                if held:
-                    yield group(held)
-                now, held = kh, []
-            held.append(tuple(row))
-    if held:
-        yield group(held)
-
-
-def _digest_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, lo, bytes) of contexts to a row for each window: its place and 128 bits of digest."""
-    for batch in batches:
-        keys, los = (batch.column(k).to_numpy() for k in (0, 1))
-        raws = batch.column(2).to_pylist()
-        size, at = 0, 0
-        for i in range(len(raws) + 1):
-            if i == len(raws) or size + len(raws[i]) > CHUNK:
-                if i > at:
-                    yield _digests(keys[at:i], los[at:i], raws[at:i])
-                size, at = 0, i
-            if i < len(raws):
-                size += len(raws[i])
-
-
-def _digests(keys: np.ndarray, los: np.ndarray, raws: list[bytes]) -> pa.RecordBatch:
-    buf = np.frombuffer(b"".join(raws), np.uint8)
-    n = np.array([len(r) - LENGTH + 1 for r in raws])
-    base = np.concatenate([[0], np.cumsum([len(r) for r in raws])[:-1]])
-    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    start = np.repeat(base, n) + within
-    cols = [np.repeat(keys, n), np.repeat(los, n) + within]
-    cols += [_mix(_Rolling(buf, k).of(start, start + LENGTH)).view(np.int64) for k in (1, 2)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "at", "d1", "d2"])
-
-
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """(key, start, end): byte spans of texts that repeated strings of LENGTH bytes cover; spans may overlap.
-
-    key is doc_id, or a hash of the text where doc_id is null.
+        found = repeated_windows([(da, n, raw) for _, _, _, n, da, raw in rows], shape)
+        flat = [(key, th, lo + a, lo + b - 1 + shape.length) for (key, th, lo, *_), runs in zip(rows, found) for a, b in runs]
+        cols = list(zip(*flat)) if flat else [[], [], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], _names(SPANS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, before, held = None, None, []
+        for batch in batches:
+            for kh, c1, c2, *row in zip(*(batch.column(n).to_pylist() for n in columns)):
+                if kh != now:
+                    if held:
+                        yield group(held)
+                    now, before, held = kh, None, []
+                if (c1, c2) != before:  # equal ones come from a text that a lost task gave twice
+                    held.append(tuple(row))
+                before = (c1, c2)
+        if held:
+            yield group(held)
+
+    return run
+
+
+def _digest_windows(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, th, lo, bytes) of contexts to a row for each window: its place and digest."""
+
+    def digests(keys: np.ndarray, hashes: np.ndarray, los: np.ndarray, raws: list[bytes]) -> pa.RecordBatch:
+        sizes = np.array([len(r) for r in raws])
+        n = sizes - shape.length + 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(np.cumsum(sizes) - sizes, n) + within
+        cols = [np.repeat(keys, n), np.repeat(hashes, n), np.repeat(los, n) + within, *_digest(b"".join(raws), start, start + shape.length)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], _names(WINDOWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, hashes, los = (batch.column(k).to_numpy() for k in (0, 1, 2))
+            raws = batch.column(3).to_pylist()
+            size, at = 0, 0
+            for i in range(len(raws) + 1):
+                if i == len(raws) or size + len(raws[i]) > CHUNK:
+                    if i > at:
+                        yield digests(keys[at:i], hashes[at:i], los[at:i], raws[at:i])
+                    size, at = 0, i
+                if i < len(raws):
+                    size += len(raws[i])
+
+    return run
+
+
+def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, shape: Shape = REPEATED) -> DataFrame:
+    """(key, th, start, end): byte spans of texts that repeated strings of the shape's length cover; spans may overlap.
+
+    key is doc_id (a hash of the text where that is null) and th a hash of the text: together they name a text.
     """
     prepare(docs.sparkSession)
-    keyed = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= LENGTH)
-    found = settle(keyed.mapInArrow(_find_anchors, "key long, lo long, n long, da long, kh long, ch long, times long"), "anchors")
-    within = found.filter("kh IS NULL").select("key", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("end"))
+    keyed = docs.select(*_named(doc_id, text), F.col(text).alias("text")).filter(F.octet_length("text") >= shape.length)
+    found = settle(keyed.mapInArrow(_find_anchors(shape), ANCHORS), "anchors")
+    within = found.filter("kh IS NULL").select("key", "th", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("end"))
     once = found.filter("kh IS NOT NULL")
-    same = once.groupBy("kh").agg(F.sum("times").alias("c"), F.min("ch").alias("x"), F.max("ch").alias("y")).filter("c > 1").select("kh", (F.col("x") != F.col("y")).alias("mixed"))
+    same = once.groupBy("kh").agg(F.sum("times").alias("c"), *[f(x).alias(f"{name}_{x}") for x in ("c1", "c2") for name, f in (("low", F.min), ("high", F.max))])
+    same = same.filter("c > 1").selectExpr("kh", "low_c1 <> high_c1 OR low_c2 <> high_c2 AS mixed")
     twins = settle(once.join(settle(same, "same"), "kh"), "twins")
-    span = lambda df: df.select("key", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + LENGTH).alias("end"))
+    span = lambda df: df.select("key", "th", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + shape.length).alias("end"))
     plain = span(twins.filter("NOT mixed"))
 
     mixed = twins.filter("mixed").drop("mixed")
-    entries = settle(mixed.groupBy("kh", "ch").agg(F.sum("times").alias("times"), F.min(F.struct("key", "lo", "n", "da")).alias("one")), "entries")
-    whole = span(mixed.drop("times").join(entries.filter("times > 1").select("kh", "ch"), ["kh", "ch"]))
+    entries = settle(mixed.groupBy("kh", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("key", "th", "lo", "n", "da")).alias("one")), "entries")
+    whole = span(mixed.drop("times").join(entries.filter("times > 1").select("kh", "c1", "c2"), ["kh", "c1", "c2"]))
     sizes = settle(entries.groupBy("kh").agg((F.count("*") > group).alias("many")), "sizes")
-    wanted = entries.join(sizes, "kh").select("one.key", F.struct("kh", "ch", "many", "one.key", "one.lo", "one.n", "one.da").alias("w"))
-    wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("wanted"))
-    cut = keyed.join(wanted.hint("shuffle_hash"), "key").select("text", "wanted")
-    contexts = settle(cut.mapInArrow(_cut_contexts, "kh long, ch long, many boolean, key long, lo long, n long, da long, bytes binary"), "contexts")
-    few = contexts.filter("NOT many").select("kh", "ch", "key", "lo", "n", "da", "bytes").repartition("kh").sortWithinPartitions("kh", "ch")
-    few = few.mapInArrow(_sort_groups, "key long, start long, end long")
-    many = contexts.filter("many").select("key", "lo", "bytes").repartition("key", "lo").mapInArrow(_digest_windows, "key long, at long, d1 long, d2 long")
+    wanted = entries.join(sizes, "kh").select("one.key", "one.th", F.struct("kh", "c1", "c2", "many", "one.lo", "one.n", "one.da").alias("w"))
+    wanted = wanted.groupBy("key", "th").agg(F.collect_list("w").alias("wanted"))
+    cut = keyed.join(wanted.hint("shuffle_hash"), ["key", "th"]).select("key", "th", "text", "wanted")
+    contexts = settle(cut.mapInArrow(_cut_contexts(shape), CONTEXTS), "contexts")
+    few = contexts.filter("NOT many").drop("many").repartition("kh").sortWithinPartitions("kh", "c1", "c2")
+    few = few.mapInArrow(_sort_groups(shape), SPANS)
+    many = contexts.filter("many").select("key", "th", "lo", "bytes").repartition("key", "th", "lo").mapInArrow(_digest_windows(shape), WINDOWS)
     windows = settle(many, "windows")
     equal = settle(windows.groupBy("d1", "d2").agg(F.count("*").alias("c")).filter("c > 1").select("d1", "d2"), "equal")
-    dealt = windows.join(equal, ["d1", "d2"]).select("key", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
+    dealt = windows.join(equal, ["d1", "d2"]).select("key", "th", F.col("at").alias("start"), (F.col("at") + shape.length).alias("end"))
     return within.unionByName(plain).unionByName(whole).unionByName(few).unionByName(dealt)
 
 
-def _key(doc_id: str, text: str):
-    return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+def _named(doc_id: str, text: str) -> list[Column]:
+    return [F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.xxhash64(text).alias("th")]
 
 
 def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None, whole: bool = False) -> dict:
@@ -410,25 +477,27 @@ def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None, whole:
 SCHEMA = "n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, whole: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, whole: bool = False, shape: Shape = REPEATED) -> DataFrame:
     """docs with n_bytes, spans (maximal runs of bytes that repeat) and kept (the other bytes), which replace own columns
     of these names.
 
-    Null text is empty: nothing repeats. Repeated rows repeat each other. doc_id names a text: rows that share one with
-    different texts get the spans of all. whole: kept lacks the rest of a character that a span cuts, too. Rows without doc_id are known by a hash of their text. An empty table gives an
-    empty table.
+    Null text is empty: nothing repeats. Repeated rows repeat each other, rows that share a doc_id with different texts are
+    different texts, and rows without doc_id are known by their text. whole: kept lacks the rest of a character that a span
+    cuts, too. An empty table gives an empty table. Columns named __key, __th and __spans are the operator's own.
     """
-    spans = repeated_spans(docs, doc_id, text, group).groupBy("key").agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
-    source = docs.drop("n_bytes", "spans", "kept").withColumn("__key", _key(doc_id, text))
-    joined = source.join(spans.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").drop("__key")
-
-    def rows(column: pa.Array, starts: pa.Array, ends: pa.Array):
-        flat_s, flat_e = (x.values.to_numpy(zero_copy_only=False) if len(x) else np.zeros(0, np.int64) for x in (starts, ends))
-        so, eo = starts.offsets.to_numpy(), ends.offsets.to_numpy()
+    spans = repeated_spans(docs, doc_id, text, group, shape)
+    # A set: repeated rows give the same spans once each.
+    spans = spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
+    source = docs.drop("n_bytes", "spans", "kept", "__key", "__th", "__spans").select("*", *[c.alias(n) for c, n in zip(_named(doc_id, text), ("__key", "__th"))])
+    joined = source.join(spans.withColumnsRenamed({"key": "__key", "th": "__th"}).hint("shuffle_hash"), ["__key", "__th"], "left").drop("__key", "__th")
+
+    def rows(column: pa.Array, found: pa.Array):
+        flat_s, flat_e = ((found.values.field(k).to_numpy(zero_copy_only=False) if len(found) else np.zeros(0, np.int64)) for k in (0, 1))
+        at = found.offsets.to_numpy()
         for i, raw in enumerate(utf8(column)):
-            yield _cut(raw, flat_s[so[i] : so[i + 1]], flat_e[eo[i] : eo[i + 1]], whole)
+            yield _cut(raw, flat_s[at[i] : at[i + 1]], flat_e[at[i] : at[i + 1]], whole)
 
-    return map_rows(joined, [text, "__starts", "__ends"], SCHEMA, rows).drop("__starts", "__ends")
+    return map_rows(joined, [text, "__spans"], SCHEMA, rows).drop("__spans")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,9 +507,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with the repeated bytes cut out of text, and n_chars counted anew; a character that a span cuts goes whole."""
+    """docs with repeated passages of PASSAGE bytes or more cut out of text wherever they stand, and n_chars counted anew; a
+    character that a span cuts goes whole."""
     names = docs.columns
-    done = suffix_dedup(docs, whole=True)
+    done = suffix_dedup(docs, whole=True, shape=PASSAGE)
     text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
     done = done.withColumn("text", text)
     if "n_chars" in names:

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
+from quillgrid.llm.suffix_dedup import PASSAGE  # noqa: E402
 from quillgrid.llm.toxicity import fit, score_text  # noqa: E402
 
 from .common import AWKWARD, as_table, docs_frame  # noqa: E402
@@ -68,13 +69,14 @@ def brute(rows, labels):
                 parent[max(ra, rb)] = min(ra, rb)
     kept = [named[k] for k in range(len(named)) if root(k) == k] + [(i, t) for i, t in kept if i is None]
     raws = [(i, t.encode()) for i, t in kept]
-    times = Counter(r[k : k + 400] for _, r in raws for k in range(len(r) - 399))
+    length = PASSAGE.length
+    times = Counter(r[k : k + length] for _, r in raws for k in range(len(r) - length + 1))
     out = []
     for i, r in raws:
         on = bytearray(len(r))
-        for k in range(len(r) - 399):
-            if times[r[k : k + 400]] > 1:
-                on[k : k + 400] = b"\1" * 400
+        for k in range(len(r) - length + 1):
+            if times[r[k : k + length]] > 1:
+                on[k : k + length] = b"\1" * length
         out.append((i, bytes(b for b, x in zip(r, on) if not x).decode()))
     return out
 

@@ -9,16 +9,16 @@ from quillgrid.llm import suffix_dedup as sd
 from .common import AWKWARD, docs_frame
 
 
-def brute(rows):
+def brute(rows, length=400):
     """(n_bytes, n_removed, n_spans, sha256) of each row."""
     raws = [(t or "").encode() for _, t in rows]
-    times = Counter(r[i : i + 400] for r in raws for i in range(len(r) - 399))
+    times = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
     out = []
     for r in raws:
         on = bytearray(len(r))
-        for i in range(len(r) - 399):
-            if times[r[i : i + 400]] > 1:
-                on[i : i + 400] = b"\1" * 400
+        for i in range(len(r) - length + 1):
+            if times[r[i : i + length]] > 1:
+                on[i : i + length] = b"\1" * length
         spans = sum(1 for i, x in enumerate(on) if x and (i == 0 or not on[i - 1]))
         out.append((len(r), sum(on), spans, hashlib.sha256(bytes(b for b, x in zip(r, on) if not x)).hexdigest()))
     return out
@@ -39,8 +39,8 @@ def corpus(seed):
     return list(enumerate(texts + AWKWARD))
 
 
-def check(got, rows):
-    want = brute(rows)
+def check(got, rows, length=400):
+    want = brute(rows, length)
     by = {r.doc_id: r for r in got}
     assert len(got) == len(rows)
     for (i, _), w in zip(rows, want):
@@ -55,6 +55,28 @@ def test_against_brute_force(spark, seed, group):
     check(sd.suffix_dedup(docs_frame(spark, rows).selectExpr("*", "'clash' AS spans", "1 AS key", "2 AS kh"), group=group).collect(), rows)
 
 
+@pytest.mark.parametrize(("seed", "group"), [(3, sd.GROUP), (4, 2)])
+def test_the_stage_s_shape_against_brute_force(spark, seed, group):
+    rows = [(i, t) for i, t in corpus(seed) if len(t or "") < 40_000]
+    check(sd.suffix_dedup(docs_frame(spark, rows), group=group, shape=sd.PASSAGE).collect(), rows, sd.PASSAGE.length)
+
+
+def test_one_id_with_three_texts(spark):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(600)
+    texts = [passage + prose(100), prose(50) + passage, prose(900), prose(300)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (1, texts[2]), (2, texts[3]), (2, None), (2, None), (None, texts[0]), (None, texts[3] + texts[3])]
+    got = sorted(((r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in sd.suffix_dedup(docs_frame(spark, rows)).collect()))
+    assert got == sorted(brute(rows))
+
+
+def test_anchors_with_colliding_hashes_are_told_apart():
+    shape = sd.Shape(8, 4)
+    contexts = [(4, 1, b"abcdGRAM"), (4, 1, b"abcdgram"), (4, 2, b"abcdGRAMx")]
+    assert sd.repeated_windows(contexts, shape) == [[(0, 1)], [], [(0, 1)]]
+
+
 def test_long_texts_in_parts(spark):
     rng = random.Random(9)
     part = "".join(rng.choice("abcdefgh") for _ in range(3000))
