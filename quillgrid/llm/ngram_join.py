@@ -1,7 +1,9 @@
 """N-gram Jaccard join: candidates by MinHash bands, Bayesian pruning of pairs hash by hash, exact check of the rest.
 
-Copies (equal shingle sets) are one node from the start. Candidate pairs never become rows: documents that may be linked
-meet in components, large components are dealt out as pairs of blocks, and a task compares two blocks of bounded size.
+Copies (equal shingle sets) are one node from the start. Candidate pairs never become rows: each node has a block, the
+largest bucket of a band that it is in (large ones are split), and a node goes to the pairs of its block with those blocks
+that one of its own buckets reaches. So a group compares nodes of two blocks of bounded size, a chain of texts costs as much
+as its links, and only texts that really share a bucket all with all are compared all with all.
 """
 
 from __future__ import annotations
@@ -12,9 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .components import components
 from .shared import prepare, settle, table, texts
@@ -26,8 +27,10 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the posterior probability of a link below which a pair is dropped.
 STEP, TOLERANCE = 24, 1e-6
-#: Documents of a block.
-BLOCK = 128
+#: Nodes of a block, and shingles of all its nodes, about; a longer text is a block of its own.
+BLOCK, BLOCK_SHINGLES = 128, 1 << 20
+#: Nodes of one set of blocks that one task sends to their pairs.
+SENT = 4096
 #: Bytes of text that are hashed together.
 CHUNK = 1 << 20
 
@@ -171,11 +174,6 @@ def exact(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.nda
     return den * both >= num * (sizes[left] + sizes[right] - both)
 
 
-def _rows_out(names: list[str], types: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
-
-
 def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
@@ -183,47 +181,59 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(kind)))
 
 
+#: What the steps in Python yield. doc_id and th, a hash of the text, name a text; node numbers a shingle set.
+HASHED = "doc_id long, th long, set_key binary, n_shingles long, bands array<long>"
+SHINGLED = "node long, weight long, pairs array<struct<i:long,j:long,block:long>>, shingles array<long>"
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 def _hash_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = shingle_sets(texts(batch.column(1)))
+        sets = shingle_sets(texts(batch.column(2)))
         keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         bands = [band_keys(signature(s)) if len(s) else np.zeros(0, np.int64) for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), _lists(bands, np.int64)], ["doc_id", "set_key", "bands"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), _lists(bands, np.int64)], _names(HASHED))
 
 
-def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, component, weight, text) to (..., shingles)."""
+def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, weight, pairs, text) to (..., shingles); a repeated row gives none."""
+    seen: set[int] = set()
     for batch in batches:
-        sets = shingle_sets(texts(batch.column(3)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], _lists(sets, np.int64)], ["doc_id", "component", "weight", "shingles"])
+        nodes = batch.column(0).to_pylist()
+        new = [n not in seen and not seen.add(n) for n in nodes]
+        batch = batch.filter(pa.array(new, pa.bool_()))
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _lists(shingle_sets(texts(batch.column(3))), np.int64)], _names(SHINGLED))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (component, i, j), each with block: links of the pairs between blocks i and j, once each."""
+    """Rows sorted by (i, j), each with block: links of the pairs between blocks i and j, once each."""
     key, held, seen = None, [], set()
     for batch in batches:
-        cols = [batch.column(k).to_pylist() for k in range(6)]
-        lists = batch.column(6)
+        cols = [batch.column(k).to_pylist() for k in range(5)]
+        lists = batch.column(5)
         flat, offsets = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
-        for r, (component, i, j, block, doc, weight) in enumerate(zip(*cols)):
-            if (component, i, j) != key:
+        for r, (i, j, block, node, weight) in enumerate(zip(*cols)):
+            if (i, j) != key:
                 if held:
                     yield _group(key, held)
-                key, held, seen = (component, i, j), [], set()
-            if doc in seen:  # a repeated row; weight has it
-                continue
-            seen.add(doc)
-            held.append((block, doc, weight, flat[offsets[r] : offsets[r + 1]].copy()))
+                key, held, seen = (i, j), [], set()
+            if node not in seen:
+                seen.add(node)
+                held.append((block, node, weight, flat[offsets[r] : offsets[r + 1]].copy()))
     if held:
         yield _group(key, held)
 
 
-LINKS = [("doc_id", pa.int64()), ("n_links", pa.int64()), ("n_texts", pa.int64()), ("root", pa.int64())]
+LINKS = "node long, n_links long, n_texts long, root long"
 
 
 def _group(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
-    _, i, j = key
-    blocks, docs, weights = (np.array(c) for c in list(zip(*rows))[:3])
+    i, j = key
+    blocks, nodes, weights = (np.array(c) for c in list(zip(*rows))[:3])
     sets = [r[3] for r in rows]
     sig, sizes = np.array([signature(s) for s in sets]), np.array([len(s) for s in sets])
     if i == j:
@@ -248,57 +258,88 @@ def _group(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
         ra, rb = root(a), root(b)
         if ra != rb:
             parent[rb] = ra
-    found = [(int(docs[k]), int(n_links[k]), int(n_texts[k]), int(docs[root(k)])) for k in range(len(rows)) if n_texts[k]]
-    return _rows_out([n for n, _ in LINKS], [t for _, t in LINKS], found)
+    found = [(int(nodes[k]), int(n_links[k]), int(n_texts[k]), int(nodes[root(k)])) for k in range(len(rows)) if n_texts[k]]
+    cols = list(zip(*found)) if found else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], _names(LINKS))
 
 
-def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_links, n_text_links), a row for each row of docs.
+def meetings(sets: DataFrame) -> DataFrame:
+    """(node, pairs array<struct<i,j,block>>): the pairs of blocks to which nodes that share a bucket go.
 
-    Documents are linked at Jaccard similarity 0.8 or more of their shingle sets. class_id: the least doc_id that links
-    lead to; n_links: other rows that the document is linked with, copies included; n_text_links: other shingle sets.
-    Null and empty texts have no shingles and no links, and are their own class; a null doc_id has class_id null and no
-    links and takes no part. doc_id is long, and names a text: rows that repeat it with the same text are copies; rows
-    that repeat it with another text share one class and count of links. An empty table gives an empty table. Further
-    columns of docs are ignored.
+    sets has node, n_shingles and bands. Two nodes in one bucket of a band meet in exactly one pair. Of buckets that reach
+    the same blocks (a dense group has 40 of them) one counts. Rows: the sum over nodes of the blocks that their buckets
+    reach; for a group of n nodes that are all in one bucket, n * n / BLOCK.
     """
+    keys = sets.select("node", "n_shingles", F.explode("bands").alias("band"))
+    hubs = settle(keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "hubs")
+    shared = settle(keys.join(hubs, "band").select("node", "n_shingles", "band", "n"), "shared")
+    homes = shared.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.max(F.struct("n", "band")).alias("home"))
+    parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts"))
+    block = F.xxhash64("home.band", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = settle(homes.join(parts, "home").select("node", block.alias("block")), "placed")
+
+    reached = shared.join(placed, "node").select("band", "block").distinct()
+    kinds = reached.groupBy("band").agg(F.bit_xor(F.xxhash64("block")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "block")).alias("y"))
+    reached, kinds = settle(reached, "reached"), settle(kinds, "kinds")
+    whole = reached.join(kinds, "band").select("x", "y", F.col("block").alias("other")).distinct()
+    sent = settle(shared.join(kinds, "band").select("node", "x", "y").distinct(), "sent")
+    # Many nodes of one kind are salted: as many copies of the kind's blocks as there are parts of its nodes.
+    salts = settle(sent.groupBy("x", "y").agg(F.ceil(F.count("*") / SENT).alias("salts")), "salts")
+    sent = sent.join(salts, ["x", "y"]).select("node", "x", "y", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"))
+    whole = whole.join(salts, ["x", "y"]).select("x", "y", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    to = sent.join(whole, ["x", "y", "salt"]).select("node", "other").distinct().join(placed, "node")
+    pair = F.struct(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+    return to.groupBy("node").agg(F.collect_list(pair).alias("pairs"))
+
+
+def _linked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, th, first struct<doc_id,th>, n_links, n_text_links) of rows with a doc_id: first is the least text of the
+    class, null for a text without shingles."""
     prepare(docs.sparkSession)
-    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    real = named.filter("doc_id IS NOT NULL")
-    hashed = settle(real.mapInArrow(_hash_documents, "doc_id long, set_key binary, bands array<long>"), "hashed")
-    sets = settle(hashed.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.any_value("bands").alias("bands")), "sets")
-
-    # Members of a band's bucket hang on its least member; the components of these stars hold all candidate pairs. One
-    # doc_id may stand for several sets (rows that share it), so nodes are numbered by a set's own representative.
-    keys = sets.select("rep", F.explode("bands").alias("band"))
-    hubs = settle(keys.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1").select("band", "hub"), "hubs")
-    stars = keys.join(hubs, "band").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    candidates = settle(components(stars), "candidates")
-    sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    placed = candidates.join(sizes, "component").select(F.col("node").alias("doc_id"), "component", blocks.alias("blocks"))
-    weights = sets.select(F.col("rep").alias("doc_id"), "weight").join(placed, "doc_id").groupBy("doc_id", "component", "blocks").agg(F.max("weight").alias("weight"))
-    payload = real.join(weights.hint("shuffle_hash"), "doc_id").select("doc_id", F.struct("component", "blocks").alias("component"), "weight", "text")
-    shingled = payload.mapInArrow(_payload, "doc_id long, component struct<component:long,blocks:int>, weight long, shingles array<long>")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("component.blocks")).cast("int")
-    dealt = shingled.select(F.col("component.component").alias("component"), F.col("component.blocks").alias("blocks"), block.alias("block"), "doc_id", "weight", "shingles")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = dealt.select("component", "block", "doc_id", "weight", "shingles", other.alias("other"))
-    pairs = pairs.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "weight", "shingles")
-    links = settle(pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(_compare, T._parse_datatype_string("doc_id long, n_links long, n_texts long, root long")), "links")
-
-    classes = components(links.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
-    counts = links.groupBy("doc_id").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts"))
-    nodes = sets.select("set_key", "rep", "weight").join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(counts.withColumnRenamed("doc_id", "rep"), "rep", "left")
-    per_set = nodes.select(
+    real = docs.select(*_text_name(doc_id, text), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    hashed = settle(real.mapInArrow(_hash_documents, HASHED), "hashed")
+    filled = hashed.filter("set_key IS NOT NULL")
+    first = F.min(F.struct("doc_id", "th"))
+    sets = filled.groupBy("set_key").agg(first.alias("first"), F.count("*").alias("weight"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands"))
+    # The numbers are written with the table, so every later read sees the same ones.
+    sets = settle(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+
+    going = sets.select("node", "weight", "first.*").join(meetings(sets), "node")
+    payload = real.join(going.hint("shuffle_hash"), ["doc_id", "th"]).select("node", "weight", "pairs", "text").mapInArrow(_shingle, SHINGLED)
+    dealt = payload.select(F.inline("pairs"), "node", "weight", "shingles")
+    links = settle(dealt.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(_compare, LINKS), "links")
+
+    classes = settle(components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))), "classes")
+    firsts = classes.join(sets.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("first"))
+    counts = links.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("n_texts").alias("n_texts"))
+    found = classes.join(firsts, "component").join(counts, "node").select("node", F.col("first").alias("of"), "n_links", "n_texts")
+    per_set = sets.join(found, "node", "left").select(
         "set_key",
-        F.coalesce("component", "rep").alias("class_id"),
+        F.coalesce("of", "first").alias("first"),
         (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).alias("n_text_links"),
     )
-    alone = lambda df, class_id: df.select("doc_id", class_id.alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"))
-    linked = hashed.filter("set_key IS NOT NULL").select("doc_id", "set_key").join(per_set, "set_key").select("doc_id", "class_id", "n_links", "n_text_links")
-    return linked.unionByName(alone(hashed.filter("set_key IS NULL"), F.col("doc_id"))).unionByName(alone(named.filter("doc_id IS NULL"), F.lit(None).cast("long")))
+    none = F.lit(0).cast("long")
+    alone = hashed.filter("set_key IS NULL").select("doc_id", "th", F.lit(None).cast("struct<doc_id:bigint,th:bigint>").alias("first"), none.alias("n_links"), none.alias("n_text_links"))
+    return filled.select("doc_id", "th", "set_key").join(per_set, "set_key").drop("set_key").unionByName(alone)
+
+
+def _text_name(doc_id: str, text: str) -> list[Column]:
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th")]
+
+
+def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, class_id, n_links, n_text_links), a row for each row of docs.
+
+    Documents are linked at Jaccard similarity 0.8 or more of their shingle sets. class_id: the least doc_id that links
+    lead to; n_links: other rows that the document is linked with, copies included; n_text_links: other shingle sets.
+    Null and empty texts have no shingles and no links, and are their own class; a null doc_id has class_id null and no
+    links and takes no part. doc_id is long; rows that repeat it are rows like others: copies with the same text, texts of
+    their own otherwise. An empty table gives an empty table. Further columns of docs are ignored.
+    """
+    none = F.lit(0).cast("long")
+    nameless = docs.filter(F.col(doc_id).cast("long").isNull()).select(*[F.lit(None).cast("long").alias(c) for c in ("doc_id", "class_id")], none.alias("n_links"), none.alias("n_text_links"))
+    return _linked(docs, doc_id, text).select("doc_id", F.coalesce("first.doc_id", "doc_id").alias("class_id"), "n_links", "n_text_links").unionByName(nameless)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,11 +347,17 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, that with the least doc_id; rows without doc_id stay."""
-    stay = ngram_join(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id")
-    once = kept.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter("__n = 1").select(docs.columns)
-    return once.unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each class stays, that with the least doc_id (of several texts with that id, the one of least hash).
+    Texts without a word and rows without doc_id stay; of rows that repeat both doc_id and text one stays, the least by a
+    hash of all columns."""
+    named = docs.select("*", *[c.alias(n) for c, n in zip(_text_name("doc_id", "text"), ("__id", "__th"))])
+    linked = _linked(docs, "doc_id", "text").filter("first IS NULL OR (first.doc_id = doc_id AND first.th = th)")
+    stay = settle(linked.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.count("*").alias("__n")), "stay")
+    once = named.join(stay.filter("__n = 1"), ["__id", "__th"]).select(docs.columns)
+    # Few texts, or copies of few rows: folded before the exchange.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = named.join(stay.filter("__n > 1"), ["__id", "__th"]).groupBy("__id", "__th").agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
+    return once.unionByName(again).unionByName(docs.filter(F.col("doc_id").cast("long").isNull()))
 
 
 QUERIES = {"op8_ngram_jaccard_join": op8_ngram_jaccard_join}

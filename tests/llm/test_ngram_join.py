@@ -84,6 +84,41 @@ def test_repeated_rows_in_a_class(spark):
     assert got == brute(rows)
 
 
+def test_one_id_with_several_texts(spark):
+    rows = [(i % 7 if i % 3 else i, t) for i, t in corpus(6, 8, 6, 4)]
+    rows += [rows[0], rows[0], rows[1], (3, None), (3, ""), (3, "one two")]
+    frame = docs_frame(spark, rows)
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join(frame.selectExpr("*", "1 AS th", "2 AS first", "'x' AS node")).collect())
+    assert got == brute(rows)
+    # A class keeps one text: the least id and, of that id's texts in it, one.
+    kept = [(r.doc_id, r.text) for r in stage_near_duplicates(spark, frame, "").collect()]
+    assert len(set(kept)) == len(kept) and set(kept) <= set(rows)
+    sets = {t: brute_sets(t) for _, t in rows}
+    texts = [t for _, t in kept if sets[t]]
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    assert not any(alike(sets[a], sets[b]) for i, a in enumerate(texts) for b in texts[:i])
+    assert {(3, None), (3, "")} <= set(kept)
+    by: dict = {}
+    for doc, text in sorted(set((i, t) for i, t in rows if sets[t])):
+        near = {root for root in by if any(alike(sets[text], sets[t]) for _, t in by[root])}
+        by[(doc, text)] = [(doc, text)] + [x for root in near for x in by.pop(root)]
+    assert len(texts) == len(by)
+    assert sorted(i for i, t in kept if sets[t]) == sorted(min(i for i, _ in group) for group in by.values())
+
+
+def test_a_chain_costs_as_much_as_its_links(spark):
+    rng = random.Random(7)
+    sent = {}
+    for n in (500, 2000):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(100 + 5 * n)]
+        rows = [(i, " ".join(words[5 * i : 5 * i + 100])) for i in range(n)]
+        got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join(docs_frame(spark, rows)).collect())
+        assert got == [(i, 0, min(i, 2) + min(n - 1 - i, 2)) for i in range(n)]
+        sets = docs_frame(spark, rows).selectExpr("doc_id", "xxhash64(text) AS th", "text").mapInArrow(nj._hash_documents, nj.HASHED)
+        sent[n] = nj.meetings(sets.withColumnRenamed("doc_id", "node")).selectExpr("sum(size(pairs)) AS n").first().n
+    assert sent[2000] < 5 * sent[500] and sent[2000] < 40 * 2000
+
+
 def test_null_ids_repeats_and_empty_table(spark):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (6, None), (6, None)]
     got = sorted(((r.doc_id, r.class_id, r.n_links) for r in ngram_join(docs_frame(spark, rows)).collect()), key=str)
