@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -19,12 +18,20 @@ from pyspark.sql import functions as F
 
 from .shared import prepare, table, texts
 
-#: Bytes up to which a piece is a leaf of the tree.
-LEAF = 16
+#: Bytes up to which a piece is a leaf of its tree, and pieces or tokens up to which a stretch is one of a text's tree.
+LEAF, STRETCH = 16, 256
 #: Pieces and pairs that a worker remembers; beyond that it forgets all and starts anew.
 REMEMBERED = 200_000
 
 
+def product(items: list, leaf: Callable, join: Callable):
+    """The product of a monoid over items: halves apart, then joined; at most STRETCH items are a leaf."""
+    if len(items) <= STRETCH:
+        return leaf(items)
+    half = len(items) // 2
+    return join(product(items[:half], leaf, join), product(items[half:], leaf, join))
+
+
 class Codec:
     """Encoder and decoder for the ranks of one vocabulary file (base64 token, blank, rank; one a line)."""
 
@@ -70,7 +77,7 @@ class Codec:
             return left or right
         i = j = 1
         while True:
-            window = self.leaf(self.decode(left[-i:] + right[:j]))
+            window = self.leaf(self._bytes(left[-i:] + right[:j]))
             settled_left = i >= len(left) or self.neighbours(left[-i - 1], window[0])
             settled_right = j >= len(right) or self.neighbours(window[-1], right[j])
             if settled_left and settled_right:
@@ -86,10 +93,14 @@ class Codec:
         return self.join(self.piece(piece[:half]), self.piece(piece[half:]))
 
     def encode(self, text: str) -> list[int]:
-        """Matches of the pattern never merge with each other, so their encodings are joined as they are."""
+        """Halves of the text's matches apart. Matches of the pattern never merge with each other, so that the boundary
+        window of a join between two of them is empty."""
+        return product(self.matches(text), self._stretch, list.__add__)
+
+    def _stretch(self, matches: list[str]) -> list[int]:
         known, out = self._pieces, []
         extend = out.extend
-        for match in self.matches(text):
+        for match in matches:
             ids = known.get(match)
             if ids is None:
                 if len(known) >= REMEMBERED:
@@ -100,16 +111,12 @@ class Codec:
             extend(ids)
         return out
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        """Concatenation up the tree: bytes.join is the same monoid's product over all leaves."""
+    def _bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
-
-def concatenate(parts: list[bytes]) -> bytes:
-    """The decoding monoid's product by a balanced tree, for parts that lie in different places."""
-    while len(parts) > 1:
-        parts = [reduce(lambda a, b: a + b, parts[k : k + 2]) for k in range(0, len(parts), 2)]
-    return parts[0] if parts else b""
+    def decode(self, ids: list[int]) -> bytes:
+        """Concatenation up the tree."""
+        return product(ids, self._bytes, bytes.__add__)
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}

@@ -34,7 +34,7 @@ def unescape(text: Column) -> Column:
 def reconstruct(events: DataFrame) -> DataFrame:
     """(conv_id, position, role, text): the messages that a log of events leaves.
 
-    events has conv_id, seq, kind, message_id, role, text. Events of a conversation are taken by seq (null first), ties by
+    events has conv_id, seq (of any type with an order), kind, message_id, role, text; further columns are ignored. Events of a conversation are taken by seq (null first), ties by
     kind, role, text. Rows without message_id are each a message of its own; other rows of one message_id are folded: the
     text is that of the last message, edit or regenerate event with all later deltas; a delete after that removes the
     message until a later reset. Null kind counts as message, unknown kinds are left out, null text is empty, null role
@@ -84,12 +84,29 @@ def chat_format(events: DataFrame, learned: str = LEARNED) -> DataFrame:
     return render(reconstruct(events), learned)
 
 
+def as_log(rows: DataFrame) -> DataFrame:
+    """Events of (conv_id, turn, role, text) rows whose fold is these rows: each text is said and goes on by a delta, then an
+    edit (of the learned role: a regeneration) starts anew with its first half, and a delta brings the second.
+
+    Repeated rows are turns of their own. Null text stays empty.
+    """
+    half = (F.length("text") / 2).cast("int")
+    steps = F.array(
+        F.struct(F.lit(0).alias("k"), F.lit("message").alias("kind"), F.col("text").alias("said")),
+        F.struct(F.lit(1).alias("k"), F.lit("delta").alias("kind"), F.lit(" (goes on)").alias("said")),
+        F.struct(F.lit(2).alias("k"), F.when(F.col("role") == LEARNED, "regenerate").otherwise("edit").alias("kind"), F.substring("text", F.lit(1), half).alias("said")),
+        F.struct(F.lit(3).alias("k"), F.lit("delta").alias("kind"), F.substring("text", half + 1, F.length("text")).alias("said")),
+    )
+    # A scan of files gives its rows the same numbers each time; they are only told apart by them.
+    numbered = rows.select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("message_id"))
+    return numbered.select("conv_id", "turn", "role", "message_id", F.inline(steps)).select("conv_id", F.struct("turn", "k").alias("seq"), "kind", "message_id", "role", F.col("said").alias("text"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
-    log = rows.unionByName(extra).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("string").alias("message_id"), "role", "text")
-    done = read_back(chat_format(log))
+    done = read_back(chat_format(as_log(rows.unionByName(extra))))
     return done.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

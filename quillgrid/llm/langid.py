@@ -202,7 +202,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
     """(text, lang) of about rows documents with a language that aren't held out, evenly chosen by a hash for each
-    language; rows / 2 more at most."""
+    language; rows / 2 more at most. The choice depends on the rows alone, not on their order."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & (F.length("text") <= chars))
     counts = [(r.lang, r.n) for r in docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("lang").agg(F.count("*").alias("n")).collect()]
     if not counts:
@@ -210,7 +210,7 @@ def training_rows(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_
     each = max(1, rows // len(counts))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(math.ceil(1_000_000 * min(1.0, each / n)))) for lang, n in counts])
-    return [(r.text, r.lang) for r in usable.filter(place < share).select("text", "lang").limit(rows * 3 // 2).collect()]
+    return [(r.text, r.lang) for r in usable.filter(place < share).orderBy(place, "doc_id", F.xxhash64("text", "lang")).select("text", "lang").limit(rows * 3 // 2).collect()]
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

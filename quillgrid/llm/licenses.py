@@ -94,14 +94,15 @@ def parse_expression(text: str) -> list[str] | None:
 
 
 def evaluate_expression(rpn: list[str], permitted: frozenset[str] = PERMITTED) -> bool:
-    """Whether a choice that the expression leaves open needs permitted licences only; an exception only adds freedom."""
+    """Whether a choice that the expression leaves open needs permitted licences only. An exception only adds freedom to its
+    licence, and permits nothing alone; "+" (or later) is permitted where the licence is."""
     stack: list[bool] = []
     for token in rpn:
         if token in ("or", "and", "with"):
             b, a = stack.pop(), stack.pop()
             stack.append(a or b if token == "or" else a and b if token == "and" else a)
         else:
-            stack.append(token in permitted or token.endswith("-exception"))
+            stack.append(token.rstrip("+") in permitted)
     return stack[-1]
 
 

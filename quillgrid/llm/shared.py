@@ -33,9 +33,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which the cluster shares; a temporary one only where it is unset (tests)."""
+    """The folder in spark.checkpoint.dir, which the cluster shares; a temporary one only where it is unset and all runs on
+    one machine (tests). On a cluster without the setting this is an error: executors don't share local folders."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="quillgrid-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         found = f"file://{own}"

@@ -30,8 +30,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 LEAST_DOCS, LEAST_LOG_ODDS = 6, 1.5
 #: Tokens of a training window, and how many of a document's tokens with a feature, the first ones, get a window.
 WINDOW, WINDOWED = 24, 8
-#: Tokens without a feature that are kept at each end of a run of them; those between are alike to double precision.
-EDGE = 40
+#: Runs of tokens without a feature are folded to what is alike but for this share (see Model.edge).
+ALIKE = 2.0**-60
 #: A worker forgets words beyond so many.
 REMEMBERED = 200_000
 
@@ -47,6 +47,29 @@ class Model:
 
     def __post_init__(self):
         self._known: dict[str, float | None] = {}
+        self._edge = self.edge()
+
+    def edge(self) -> int:
+        """Tokens without a feature after which the passes don't depend on what came before, but for ALIKE.
+
+        The odds of the two states go through x -> e (t01 + t11 x) / (t00 + t10 x) at each such token (backward: the like
+        with t01 and t10 in other places). This map has an attracting fixed point p > 0 and a repelling one q < 0, and
+        w = (x - p) / (x - q) shrinks by the same factor each time. |w| is at most max(1, p / -q) for odds x >= 0.
+        """
+        (t00, t01), (t10, t11) = ((math.exp(x) for x in row) for row in self.transition)
+        e = math.exp(self.bias)
+        steps = 1
+        for a, b, c, d in ((e * t01, e * t11, t00, t10), (t10, e * t11, t00, e * t01)):  # x -> (a + b x) / (c + d x)
+            root = math.sqrt((c - b) ** 2 + 4 * a * d)
+            # Of a quadratic's two roots the stable form gives one, their product -a / d the other.
+            far = (b - c + root) / (2 * d) if b >= c else (b - c - root) / (2 * d)
+            p, q = max(far, -a / d / far), min(far, -a / d / far)
+            factor = abs(b * c - a * d) / (c + d * p) ** 2
+            if factor >= 1 - 1e-12:
+                return 1 << 60
+            if factor > 0:
+                steps = max(steps, math.ceil(math.log(ALIKE / max(1.0, -p / q)) / math.log(factor)) + 1)
+        return steps
 
     def emission(self, word: str) -> float | None:
         """What a word adds to the score of the toxic state; None without a feature."""
@@ -83,15 +106,16 @@ class Model:
         """((position, marginal) of tokens, expected toxic tokens among those with a feature, largest marginal).
 
         Long runs without a feature are left out but for their ends and one token between: inside, the marginals are alike.
+        How long the ends are follows from the field's own transitions, so that a sticky field folds less or nothing.
         """
-        n = len(emissions)
+        n, edge = len(emissions), self._edge
         if not n:
             return [], 0.0, 0.0
         at = [i for i, x in enumerate(emissions) if x is not None]
         keep: list[int] = []
         for lo, hi in zip([-1, *at], [*at, n]):
             run = range(lo + 1, hi)
-            keep += [*run[:EDGE], run[len(run) // 2], *run[-EDGE:]] if len(run) > 2 * EDGE + 1 else run
+            keep += [*run[:edge], run[len(run) // 2], *run[-edge:]] if len(run) > 2 * edge + 1 else run
             if hi < n:
                 keep.append(hi)
         p = self.marginals([self.bias + (emissions[i] or 0.0) for i in keep])
@@ -240,14 +264,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """(text, label) of at most rows labelled documents of each label that aren't held out, evenly chosen by a hash.
+    """(text, label) of at most rows labelled documents of each label that aren't held out, evenly chosen by a hash. The
+    choice depends on the rows alone, not on their order.
 
     Rows of one doc_id count as toxic if one of them says so; null labels and ids are left out.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {int(r.toxic): r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    some = [usable.filter((F.col("toxic") == y) & (place < math.ceil(1_000_000 * min(1.0, rows / n)))).limit(rows) for y, n in sorted(counts.items()) if y in (0, 1)]
+    some = [usable.filter((F.col("toxic") == y) & (place < math.ceil(1_000_000 * min(1.0, rows / n)))).orderBy(place, "doc_id").limit(rows) for y, n in sorted(counts.items()) if y in (0, 1)]
     if not some:
         return []
     chosen = some[0]
@@ -255,7 +280,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, c
         chosen = chosen.unionByName(other)
     # At most 2 * rows ids: bounded, whatever the tables hold.
     found = docs.select("doc_id", "text").filter(F.length("text") <= chars).join(F.broadcast(chosen), "doc_id")
-    return [(r.text, int(r.toxic)) for r in found.select("text", "toxic").limit(2 * rows).collect()]
+    return [(r.text, int(r.toxic)) for r in found.orderBy(place, "doc_id", F.xxhash64("text")).select("text", "toxic").limit(2 * rows).collect()]
 
 
 SCHEMA = "score double, predicted int, offsets array<struct<start:int,end:int,p:double>>"
@@ -269,15 +294,15 @@ def score_text(model: Model, text: str, least: float = 0.5) -> dict:
     if largest >= least:
         places = [m.span() for m in WORD.finditer(text)]
         before = -2
-        for i, p in tagged:
+        for k, (i, p) in enumerate(tagged):  # tokens that are folded between two of these are like both
             if p < least:
                 continue
             start, end = places[i]
-            if i == before + 1:
+            if k == before + 1:
                 offsets[-1] |= {"end": end, "p": max(p, offsets[-1]["p"])}
             else:
                 offsets.append({"start": start, "end": end, "p": p})
-            before = i
+            before = k
     score = model.score(len(words), expected, largest)
     return {"score": score, "predicted": int(score >= 0.5), "offsets": offsets}
 

@@ -5,7 +5,7 @@ import public_tokenizers as tokenizers
 import pytest
 import tiktoken
 
-from quillgrid.llm.bpe import Codec, bpe_round_trip, concatenate
+from quillgrid.llm.bpe import STRETCH, Codec, bpe_round_trip, product
 
 from .common import AWKWARD, docs_frame
 
@@ -44,7 +44,10 @@ def test_join_is_the_whole_encoding(both):
         cut = rng.randint(0, len(word))
         a, b = codec.leaf(word[:cut]) if cut else [], codec.leaf(word[cut:]) if cut < len(word) else []
         assert codec.join(a, b) == codec.leaf(word)
-    assert concatenate([b"a", b"b", b"c"]) == b"abc" and concatenate([]) == b""
+    seen = []
+    items = list(range(5 * STRETCH + 3))
+    assert product(items, lambda x: seen.append(len(x)) or list(x), list.__add__) == items and max(seen) <= STRETCH < sum(seen)
+    assert product([], list, list.__add__) == []
 
 
 def test_round_trip_operator(spark):

@@ -1,6 +1,8 @@
 import hashlib
 
-from quillgrid.llm.chat import chat_format, op6_chat_formatting, read_back, reconstruct
+from pyspark.sql import functions as F
+
+from quillgrid.llm.chat import as_log, chat_format, op6_chat_formatting, read_back, reconstruct
 
 from .common import as_table
 
@@ -63,6 +65,17 @@ def test_fold_and_round_trip(spark):
     assert back[None].turns[0].text == "no id"
 
 
+def test_the_query_s_log_goes_through_edits_regenerations_and_deltas(spark):
+    rows = [(1, 0, "user", "Hello"), (1, 1, "assistant", "wörld"), (1, 1, "assistant", "wörld"), (1, None, "assistant", "first"), (1, None, None, None), (1, 1, "user", "b"), (1, 1, "assistant", "a")]
+    log = as_log(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS n", "2 AS log", "'x' AS kind"))
+    assert {r.kind: r.n for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()} == {"message": 7, "delta": 14, "edit": 3, "regenerate": 4}
+    want = sorted(((t is not None, t or 0, r or "", x or "") for _, t, r, x in rows))
+    got = [(r.role, r.text) for r in reconstruct(log.selectExpr("*", "3 AS position", "4 AS own")).orderBy("position").collect()]
+    assert got == [(r, x) for *_, r, x in want]
+    without = [(r.role, r.text) for r in reconstruct(log.filter("kind NOT IN ('edit', 'regenerate')")).collect()]
+    assert all(x.count("(goes on)") == 1 for _, x in without)
+
+
 def test_empty_log(spark):
     assert chat_format(spark.createDataFrame([], EVENTS)).count() == 0
 

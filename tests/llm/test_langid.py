@@ -72,3 +72,8 @@ def test_sample_is_bounded_and_leaves_out_held_out_rows(spark):
     out = {r.text for r in docs.filter(held_out()).collect()}
     assert 0 < len(rows) <= 60 and not out & {t for t, _ in rows} and all(k for _, k in rows)
     assert training_rows(docs.limit(0)) == []
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(spark):
+    docs = docs_frame(spark, [(i, f"t{i}", "en" if i % 2 else "de") for i in range(300)])
+    assert training_rows(docs, rows=30) == training_rows(docs.repartition(7), rows=30)

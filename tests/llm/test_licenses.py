@@ -27,6 +27,10 @@ def test_against_brute_force(spark):
     ("text", "rpn", "ok"),
     [
         ("MIT", "mit", True),
+        ("Classpath-exception-2.0", "classpath-exception-2.0", False),
+        ("LLVM-exception", "llvm-exception", False),
+        ("MIT+ AND Apache-2.0+", "mit+ apache-2.0+ and", True),
+        ("GPL-2.0+", "gpl-2.0+", False),
         ("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", "gpl-2.0-only classpath-exception-2.0 with mit or", True),
         ("GPL-3.0-only AND MIT", "gpl-3.0-only mit and", False),
         ("(MIT OR GPL-3.0-only) AND ISC", "mit gpl-3.0-only or isc and", True),

@@ -2,8 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from quillgrid.llm.toxicity import Model, fit, score_text, toxicity, training_rows
+from quillgrid.llm.toxicity import Model, fit, score_text, toxicity, training_rows, words_of
 
 from .common import AWKWARD, docs_frame
 
@@ -76,6 +77,39 @@ def test_long_runs_are_folded_exactly(model):
     assert expected == pytest.approx(sum(p for p, x in zip(whole, emissions) if x is not None), abs=1e-9) and largest == pytest.approx(max(whole), abs=1e-12)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_runs_of_any_field_are_folded_exactly(seed):
+    rng = random.Random(seed)
+    stick = [0.5, 3.0, 6.0][seed % 3]
+    m = Model(bias=rng.gauss(-1, 1), transition=((stick + rng.random(), -rng.random() * stick), (-rng.random() * stick, stick + rng.random())))
+    emissions = [rng.gauss(2, 3) if rng.random() < 0.003 else None for _ in range(6000)]
+    tagged, expected, largest = m.tag(emissions)
+    whole = m.marginals([m.bias + (x or 0.0) for x in emissions])
+    assert all(p == pytest.approx(whole[i], abs=1e-9) for i, p in tagged)
+    assert expected == pytest.approx(sum(p for p, x in zip(whole, emissions) if x is not None), abs=1e-9) and largest == pytest.approx(max(whole), abs=1e-9)
+    at = [i for i, _ in tagged]
+    assert all(abs(whole[k] - whole[a]) < 1e-9 and abs(whole[k] - whole[b]) < 1e-9 for a, b in zip(at, at[1:]) for k in range(a + 1, b))
+
+
+def test_scores_of_a_whole_table_against_all_tokens(spark, model):
+    rows = [(i, t) for i, (t, _) in enumerate(sample(60, 9))] + [(100 + i, t) for i, t in enumerate(AWKWARD)]
+    for r in toxicity(docs_frame(spark, rows), model).collect():
+        words = words_of(r.text or "")
+        emissions = [model.emission(w) for w in words]
+        whole = model.marginals([model.bias + (x or 0.0) for x in emissions])
+        score = model.score(len(words), sum(p for p, x in zip(whole, emissions) if x is not None), max(whole, default=0.0))
+        assert r.score == pytest.approx(score, abs=1e-9) and r.predicted == (score >= 0.5)
+        on = [p >= 0.5 for p in whole]
+        assert len(r.offsets) == sum(x and not (k and on[k - 1]) for k, x in enumerate(on))
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(spark):
+    docs = docs_frame(spark, [(i, f"t{i}") for i in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic long")
+    first = training_rows(docs, labels, rows=20)
+    assert first == training_rows(docs.repartition(7), labels.orderBy(F.desc("doc_id")).repartition(5), rows=20)
+
+
 def test_operator_and_sample(spark, model):
     rows = [*enumerate(AWKWARD), (None, "x"), (None, "x")]
     got = toxicity(docs_frame(spark, rows).selectExpr("*", "'clash' AS score"), model).collect()
