@@ -79,7 +79,7 @@ def legacy_suspects(text: Column) -> Column:
 
 
 def legacy_charges(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(LEGACY_CHARGES), 1), F.trim)
+    return F.transform(F.regexp_extract_all(text, F.lit(LEGACY_CHARGES), 1), lambda c: F.trim(c))
 
 
 def blood_alcohol(text: Column) -> Column:
@@ -121,7 +121,7 @@ def incident_time(text: Column) -> Column:
 
 def co_agencies(text: Column) -> Column:
     raw = F.regexp_replace(F.trim(F.regexp_extract(text, ASSISTANCE, 1)), r"\.+$", "")
-    return F.filter(F.transform(F.split(raw, AGENCY_SPLIT), F.trim), lambda a: F.length(a) > 3)
+    return F.filter(F.transform(F.split(raw, AGENCY_SPLIT), lambda a: F.trim(a)), lambda a: F.length(a) > 3)
 
 
 def address_detail(text: Column) -> Column:
@@ -149,6 +149,15 @@ def age_and_birth(text: Column) -> tuple[Column, Column]:
     return F.regexp_extract(text, AGE_FIELD, 1).try_cast("int"), _found(text, BORN_FIELD)
 
 
+def bulletin_age(text: Column, as_of: Column) -> Column:
+    """The age that a bulletin names, else that of its date of birth on as_of's day, else 0."""
+    from .times import age_on, parse_any
+
+    age, born = age_and_birth(text)
+    day = F.to_date(parse_any(F.replace(born, F.lit("-"), F.lit("/")), "M/d/yyyy", "M/d/yy"))
+    return F.coalesce(age, age_on(day, F.to_date(as_of)), F.lit(0))
+
+
 def entities(text: Column) -> Column:
     """All of it as one struct."""
     parts = {

@@ -51,6 +51,11 @@ def plausible_time(ts: Column, as_of: Column, since: str = "2000-01-01", ahead_d
     return F.coalesce((ts >= F.lit(since).cast("timestamp")) & (ts <= as_of + F.make_dt_interval(days=F.lit(ahead_days))), F.lit(False))
 
 
+def dated_or_stamped(published: Column, url_date: Column, feed: Column, owners: list[str]) -> Column:
+    """Undated items of feeds whose own producer owns the times (owners, by name) go; others may be stamped later."""
+    return published.isNotNull() | url_date.isNotNull() | ~F.coalesce(feed.isin(*owners), F.lit(False))
+
+
 def split_anomalies(df: DataFrame, ts: str, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """(kept, removed) by plausible_time."""
     ok = plausible_time(F.col(ts), as_of)

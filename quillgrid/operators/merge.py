@@ -65,9 +65,10 @@ def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v) for c, v in defaults.items()})
 
 
-def merge_lines(old: DataFrame, new: DataFrame, line: str = "value", key: str = "hash") -> DataFrame:
-    """JSON lines, the first of each key; lines that can't be read stay, lines with a blank key go."""
-    both = old.select(line).withColumn("__r", F.lit(0)).unionByName(new.select(line).withColumn("__r", F.lit(1)))
+def merge_lines(old: DataFrame, new: DataFrame, line: str = "value", key: str = "hash", position: str = "position") -> DataFrame:
+    """JSON lines, the first of each key: old ones before new ones, then by position, a line's place in its file. Lines that
+    can't be read stay, lines with a blank key go."""
+    both = old.select(line, position).withColumn("__r", F.lit(0)).unionByName(new.select(line, position).withColumn("__r", F.lit(1)))
     both = both.withColumn("__v", F.try_parse_json(F.col(line))).withColumn("__k", F.try_variant_get("__v", f"$.{key}", "string"))
     good = both.filter(F.col("__v").isNotNull() & (F.coalesce("__k", F.lit("")) != "")).drop("__v")
-    return _pick(good, ["__k"], F.col("__r"), F.col(line)).select(line).unionByName(both.filter(F.col("__v").isNull()).select(line))
+    return _pick(good, ["__k"], F.col("__r"), F.col(position), F.col(line)).select(line).unionByName(both.filter(F.col("__v").isNull()).select(line))

@@ -75,18 +75,41 @@ def write_snapshot(df: DataFrame, path: str, day: str) -> bool:
     return True
 
 
-def snapshot(df: DataFrame, header: dict[str, str], items: str = "items", most: int = 1000) -> DataFrame:
-    """One object: header fields, the count, and the first most rows."""
-    top = df.limit(most)
-    return top.agg(F.count("*").alias("count"), F.collect_list(F.struct(*df.columns)).alias(items)).select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in header.items()], "count", items)).alias("value"))
+def _first(df: DataFrame, order: Sequence[Column], most: int) -> DataFrame:
+    """One row: n, and rows, an array of the first most rows by order. most bounds what one task holds."""
+    top = df.orderBy(*order).limit(most).withColumn("__n", F.row_number().over(Window.orderBy(*order)))
+    return top.agg(F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("__n", F.struct(*df.columns).alias("row")))), lambda x: x["row"]).alias("rows"))
 
 
-def rss(df: DataFrame, title: str, link: str, most: int = 150) -> DataFrame:
-    """An RSS document of df's first most rows (title, link, description)."""
-    element = lambda name, c: F.concat(F.lit(f"<{name}>"), xml_escape(F.coalesce(F.col(c), F.lit(""))), F.lit(f"</{name}>"))
-    item = F.concat(F.lit("<item>"), *[element(c, c) for c in ("title", "link", "description")], F.lit("</item>"))
+def expired_snapshots(snapshots: DataFrame, as_of: Column, day: str = "snapshot_date", days: int = 365) -> DataFrame:
+    """Snapshots, by the text of their day, that are more than days old at as_of; what names no day stays."""
+    then = F.try_to_timestamp(F.col(day), F.lit("yyyy-MM-dd"))
+    return snapshots.filter(F.coalesce(then < as_of - F.make_dt_interval(days=F.lit(days)), F.lit(False)))
+
+
+def prune_snapshots(spark: SparkSession, path: str, as_of: Column, days: int = 365) -> list[str]:
+    """Remove the folders of expired snapshots below path, at most one a day; their names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+    held = spark.createDataFrame([(n, n.removeprefix("snapshot_date=")) for n in names], "name string, snapshot_date string")
+    gone = sorted(r.name for r in expired_snapshots(held, as_of, days=days).collect())
+    for name in gone:
+        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    return gone
+
+
+def snapshot(df: DataFrame, header: dict[str, str], order: Sequence[Column], items: str = "items", most: int = 1000) -> DataFrame:
+    """One object: header fields, the count, and the first most rows by order."""
+    return _first(df, order, most).select(F.col("n").alias("count"), F.col("rows").alias(items)).select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in header.items()], "count", items)).alias("value"))
+
+
+def rss(df: DataFrame, title: str, link: str, order: Sequence[Column], most: int = 150) -> DataFrame:
+    """An RSS document of df's first most rows (title, link, description) by order."""
+    element = lambda row, c: F.concat(F.lit(f"<{c}>"), xml_escape(F.coalesce(row[c], F.lit(""))), F.lit(f"</{c}>"))
+    item = lambda row: F.concat(F.lit("<item>"), *[element(row, c) for c in ("title", "link", "description")], F.lit("</item>"))
     head = f'<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>{title}</title><link>{link}</link>'
-    return df.limit(most).select(item.alias("x")).agg(F.concat(F.lit(head), F.array_join(F.collect_list("x"), ""), F.lit("</channel></rss>")).alias("value"))
+    return _first(df, order, most).select(F.concat(F.lit(head), F.array_join(F.transform("rows", item), ""), F.lit("</channel></rss>")).alias("value"))
 
 
 def post_batches(df: DataFrame, send, size: int = 50) -> None:

@@ -348,14 +348,14 @@ def insert_only_merge(spark, d):
     return merge.insert_only(c.filter("k % 3 = 0").withColumn("side", F.lit("old")), c.filter("k % 2 = 0").withColumn("side", F.lit("new")), ["k"])
 
 
-@query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, value) AS n FROM (
-  SELECT '{"hash":"'||user_id||'","e":'||event_id||'}' AS value, user_id AS k, 0 AS side FROM events WHERE event_id % 50 = 0 UNION ALL SELECT '{"hash":"'||user_id||'","e":'||event_id||'}', user_id, 1 FROM events WHERE event_id % 50 = 1)) WHERE n = 1
-  UNION ALL SELECT 'broken '||event_id FROM events WHERE event_id % 500 = 0""")
+@query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, position) AS n FROM (
+  SELECT '{"hash":"'||user_id||'","e":'||event_id||'}' AS value, user_id AS k, 1000000000 - event_id AS position, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS side FROM events)) WHERE n = 1
+  UNION ALL SELECT 'broken '||event_id FROM events WHERE event_type = 'signup'""")
 def merge_json_lines(spark, d):
-    e = table(spark, d, "events")
-    line = F.concat(F.lit('{"hash":"'), F.col("user_id"), F.lit('","e":'), F.col("event_id"), F.lit("}"))
-    old = e.filter("event_id % 50 = 0").select(line.alias("value")).unionByName(e.filter("event_id % 500 = 0").select(F.concat(F.lit("broken "), F.col("event_id")).alias("value")))
-    return merge.merge_lines(old, e.filter("event_id % 50 = 1").select(line.alias("value")))
+    e = table(spark, d, "events").withColumn("position", F.lit(1_000_000_000) - F.col("event_id"))
+    line = F.concat(F.lit('{"hash":"'), F.col("user_id"), F.lit('","e":'), F.col("event_id"), F.lit("}")).alias("value")
+    broken = e.filter("event_type = 'signup'").select(F.concat(F.lit("broken "), F.col("event_id")).alias("value"), "position")
+    return merge.merge_lines(e.filter("event_type = 'view'").select(line, "position").unionByName(broken), e.filter("event_type <> 'view'").select(line, "position"))
 
 
 @query("""SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL OR (n.k IS NOT NULL AND o.stamp <> n.stamp) THEN n.stamp ELSE o.stamp END AS stamp, CASE WHEN o.k IS NULL THEN n.note ELSE o.note END AS note
@@ -374,15 +374,15 @@ def insert_every_customer(spark, d):
     return merge.insert_only(side("c_mktsegment < 'H'", "old"), side("c_mktsegment > 'B'", "new"), ["k"])
 
 
-@query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, value) AS n FROM (
-  SELECT '{"hash":"'||user_id||'-'||day(ts)||'","e":'||event_id||'}' AS value, user_id||'-'||day(ts) AS k, CASE WHEN event_type IN ('click', 'error') THEN 0 ELSE 1 END AS side FROM events)) WHERE n = 1
+@query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, event_id) AS n FROM (
+  SELECT event_id, '{"hash":"'||user_id||'-'||day(ts)||'","e":'||event_id||'}' AS value, user_id||'-'||day(ts) AS k, CASE WHEN event_type IN ('click', 'error') THEN 0 ELSE 1 END AS side FROM events)) WHERE n = 1
   UNION ALL SELECT 'broken '||event_id FROM events WHERE event_type = 'error'""")
 def merge_every_json_line(spark, d):
     e = table(spark, d, "events")
     line = F.concat(F.lit('{"hash":"'), F.col("user_id"), F.lit("-"), F.day("ts"), F.lit('","e":'), F.col("event_id"), F.lit("}"))
     old, new = e.filter("event_type IN ('click', 'error')"), e.filter("event_type NOT IN ('click', 'error')")
-    broken = e.filter("event_type = 'error'").select(F.concat(F.lit("broken "), F.col("event_id")).alias("value"))
-    return merge.merge_lines(old.select(line.alias("value")).unionByName(broken), new.select(line.alias("value")))
+    broken = e.filter("event_type = 'error'").select(F.concat(F.lit("broken "), F.col("event_id")).alias("value"), "event_id")
+    return merge.merge_lines(old.select(line.alias("value"), "event_id").unionByName(broken), new.select(line.alias("value"), "event_id"), position="event_id")
 
 
 @query("""SELECT user_id FROM (SELECT DISTINCT user_id FROM events WHERE event_type='error') EXCEPT SELECT user_id FROM events WHERE event_type='purchase' AND event_id % 4 = 0""")
@@ -604,7 +604,12 @@ def adaptive_schedule(spark, d):
     return table(spark, d, "events").select("event_id", F.date_format(due, "yyyy-MM-dd HH:mm:ss").alias("due"))
 
 
-@query()
+@query(f"""WITH RECURSIVE c AS (SELECT user_id, event_type <> 'error' AS ok, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT user_id, 0::BIGINT AS n, 'probation' AS status, 0::BIGINT AS s, 0::BIGINT AS f, 0::BIGINT AS k, min(ts) AS added FROM c GROUP BY user_id
+ UNION ALL SELECT user_id, n, CASE WHEN status = 'probation' AND ts - added >= INTERVAL {state.DAYS} DAY AND s >= {state.SUCCESSES} AND f::DOUBLE / (s + f) <= {state.MAX_FAILURE} THEN 'approved'
+   WHEN status = 'probation' AND k >= {state.FAIL_PROBATION} OR status = 'approved' AND k >= {state.FAIL_APPROVED} THEN 'failing' WHEN status = 'failing' AND ok AND s >= {state.RECOVER} THEN 'probation' ELSE status END, s, f, k, added
+  FROM (SELECT r.user_id, c.n, r.status, r.s + ok::INT AS s, r.f + (NOT ok)::INT AS f, CASE WHEN ok THEN 0 ELSE r.k + 1 END AS k, r.added, c.ts, c.ok FROM r JOIN c ON c.user_id = r.user_id AND c.n = r.n + 1))
+SELECT user_id::VARCHAR AS feed, status, s AS success_count, f AS failure_count, k AS consecutive_failures FROM (SELECT *, max(n) OVER (PARTITION BY user_id) AS last FROM r) WHERE n = last""")
 def probation_fold(spark, d):
     checks = table(spark, d, "events").select(F.col("user_id").cast("string").alias("feed"), (F.col("event_type") != "error").alias("ok"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"))
     return state.probation(checks).drop("added", "checked")

@@ -191,8 +191,8 @@ def test_publishing(spark, tmp_path):
     publish.write_archive(df.filter("n = 2").withColumn("v", F.lit("c")), f"{tmp_path}/a")
     assert {(r.v, r.month) for r in spark.read.json(f"{tmp_path}/a").collect()} == {("a", 1), ("c", 2)} or {(r.v, str(r.month)) for r in spark.read.json(f"{tmp_path}/a").collect()} == {("a", "01"), ("c", "02")}
     assert publish.write_snapshot(df, f"{tmp_path}/s", "2024-01-01") and not publish.write_snapshot(df, f"{tmp_path}/s", "2024-01-01")
-    assert '"count":2' in publish.snapshot(df.select("v", "n"), {"kind": "x"}).first().value
-    rss = publish.rss(spark.createDataFrame([("a<b", "http://x", None)], "title string, link string, description string"), "t", "http://y").first().value
+    assert '"count":2' in publish.snapshot(df.select("v", "n"), {"kind": "x"}, [F.col("v")]).first().value
+    rss = publish.rss(spark.createDataFrame([("a<b", "http://x", None)], "title string, link string, description string"), "t", "http://y", [F.col("link")]).first().value
     assert "<title>a&lt;b</title>" in rss
     publish.jsonl_files(df, f"{tmp_path}/j", "v")
     assert spark.read.json(f"{tmp_path}/j").count() == 2
