@@ -28,9 +28,7 @@ HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the posterior probability of a link below which a pair is dropped.
 STEP, TOLERANCE = 24, 1e-6
 #: Nodes of a block, and shingles of all its nodes, about; a longer text is a block of its own.
-BLOCK, BLOCK_SHINGLES = 128, 1 << 20
-#: Nodes of one set of blocks that one task sends to their pairs.
-SENT = 4096
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 #: Bytes of text that are hashed together.
 CHUNK = 1 << 20
 
@@ -266,30 +264,25 @@ def _group(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
 def meetings(sets: DataFrame) -> DataFrame:
     """(node, pairs array<struct<i,j,block>>): the pairs of blocks to which nodes that share a bucket go.
 
-    sets has node, n_shingles and bands. Two nodes in one bucket of a band meet in exactly one pair. Of buckets that reach
-    the same blocks (a dense group has 40 of them) one counts. Rows: the sum over nodes of the blocks that their buckets
-    reach; for a group of n nodes that are all in one bucket, n * n / BLOCK.
+    sets has node, n_shingles and bands. Two nodes in one bucket of a band meet in exactly one pair. Rows are linear in the
+    nodes; a node's array has the blocks that its buckets reach, n / BLOCK of them where n nodes are all in one bucket.
     """
     keys = sets.select("node", "n_shingles", F.explode("bands").alias("band"))
-    hubs = settle(keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "hubs")
-    shared = settle(keys.join(hubs, "band").select("node", "n_shingles", "band", "n"), "shared")
-    homes = shared.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.max(F.struct("n", "band")).alias("home"))
-    parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts"))
-    block = F.xxhash64("home.band", F.pmod(F.xxhash64("node"), F.col("parts")))
-    placed = settle(homes.join(parts, "home").select("node", block.alias("block")), "placed")
-
-    reached = shared.join(placed, "node").select("band", "block").distinct()
-    kinds = reached.groupBy("band").agg(F.bit_xor(F.xxhash64("block")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "block")).alias("y"))
-    reached, kinds = settle(reached, "reached"), settle(kinds, "kinds")
-    whole = reached.join(kinds, "band").select("x", "y", F.col("block").alias("other")).distinct()
-    sent = settle(shared.join(kinds, "band").select("node", "x", "y").distinct(), "sent")
-    # Many nodes of one kind are salted: as many copies of the kind's blocks as there are parts of its nodes.
-    salts = settle(sent.groupBy("x", "y").agg(F.ceil(F.count("*") / SENT).alias("salts")), "salts")
-    sent = sent.join(salts, ["x", "y"]).select("node", "x", "y", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"))
-    whole = whole.join(salts, ["x", "y"]).select("x", "y", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    to = sent.join(whole, ["x", "y", "salt"]).select("node", "other").distinct().join(placed, "node")
-    pair = F.struct(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
-    return to.groupBy("node").agg(F.collect_list(pair).alias("pairs"))
+    hubs = settle(keys.groupBy("band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all")).filter("n > 1"), "hubs")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("parts")
+    shared = settle(keys.join(hubs, "band").select("node", "band", "n", parts), "shared")
+    home = F.max(F.struct("n", "band", "parts")).alias("home")
+    block = F.xxhash64("home.band", F.pmod(F.xxhash64("node"), F.col("home.parts"))).alias("block")
+    placed = settle(shared.groupBy("node").agg(home).select("node", block), "placed")
+
+    # Of buckets that reach the same blocks (a dense group has 40 of them) one counts: a kind is a digest of their set.
+    reached = settle(shared.join(placed, "node").select("band", "block").distinct(), "reached")
+    kinds = settle(reached.groupBy("band").agg(F.bit_xor(F.xxhash64("block")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "block")).alias("y")), "kinds")
+    blocks = reached.join(kinds, "band").groupBy("x", "y").agg(F.collect_set("block").alias("blocks"))
+    own = shared.join(kinds, "band").select("node", "x", "y").distinct()
+    met = own.join(blocks, ["x", "y"]).groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks")).join(placed, "node")
+    pair = lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j"), F.col("block").alias("block"))
+    return met.select("node", F.transform("blocks", pair).alias("pairs"))
 
 
 def _linked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
