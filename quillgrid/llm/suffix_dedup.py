@@ -5,7 +5,9 @@ anchors at equal places, so only windows around equal anchors can be equal. The
 other; the bytes that they span are its context. Equal contexts (128 bits of BLAKE2b over their bytes) are one entry with
 a multiplicity. Where an anchor has several different contexts, the suffixes that begin behind it and the reversed
 prefixes that end before it are put in order by deep-shallow sorting; common prefixes of neighbours then say which windows
-are equal. An anchor with more different contexts than one task should hold is dealt out window by window, by BLAKE2b again.
+are equal. Where an anchor has more different contexts than one task should hold, these contexts are the texts of another
+round, with longer grams: their windows are dealt to more anchors, and much that was different becomes equal. The last
+round's gram is the window itself, where different contexts of one anchor no longer exist.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ class Shape:
     length: int
     gram: int
 
+    def longer(self) -> Shape:
+        """The next round's, which leaves an eighth of the windows around a gram."""
+        return Shape(self.length, self.length - self.rest // 8)
+
     @property
     def reach(self) -> int:
         """Anchors that a window may have."""
@@ -47,7 +53,7 @@ REPEATED = Shape(400, 128)
 PASSAGE = Shape(200, 64)
 #: Depth at which multikey quicksort hands over to blind tries.
 SHALLOW = 12
-#: Different contexts of one anchor that one task sorts; a larger group, which may be of any size, is dealt by windows.
+#: Different contexts of one anchor that one task sorts; a larger group, which may be of any size, goes to another round.
 GROUP = 256
 #: Bytes that are hashed together; a longer text is cut into overlapping parts.
 CHUNK_BITS = 19
@@ -153,11 +159,11 @@ def _parts(raws: list[bytes], length: int) -> Iterator[tuple[list[int], list[int
         yield rows, bases, held
 
 
-#: What the steps in Python yield. key and th name a text (see repeated_spans).
-ANCHORS = "key long, th long, lo long, n long, da long, kh long, c1 long, c2 long, times long"
+#: What the steps in Python yield. key and th name a text (see repeated_spans), base a part of it where a round's texts are
+#: contexts; lo, start and end count from the whole text's begin.
+ANCHORS = "key long, th long, base long, lo long, n long, da long, kh long, c1 long, c2 long, times long"
 CONTEXTS = "kh long, c1 long, c2 long, many boolean, key long, th long, lo long, n long, da long, bytes binary"
 SPANS = "key long, th long, start long, end long"
-WINDOWS = "key long, th long, at long, d1 long, d2 long"
 
 
 def _names(schema: str) -> list[str]:
@@ -165,13 +171,13 @@ def _names(schema: str) -> list[str]:
 
 
 def _find_anchors(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(key, th, text) to rows of two sorts. Contexts: once for each text, with the times that they occur in it. Spans (kh
+    """(key, th, base, bytes) to rows of two sorts. Contexts: once for each text, with the times that they occur in it. Spans (kh
     null): what the contexts cover that occur more than once in a text; periodic texts have very many, which end here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for rows, bases, held in _parts(utf8(batch.column(2)), shape.length):
+            keys, hashes, above = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+            for rows, bases, held in _parts(utf8(batch.column(3)), shape.length):
                 part, lo, n, da, kh, c1, c2 = anchors(held, shape)
                 order = np.lexsort((lo, c2, c1, kh, part))
                 differs = lambda x: x[order][1:] != x[order][:-1]
@@ -183,12 +189,14 @@ def _find_anchors(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 start, end = lo[again], lo[again] + n[again] - 1 + shape.length
                 new = np.concatenate([[True], (part[again][1:] != part[again][:-1]) | (start[1:] > end[:-1])])[: len(again)]
                 last = np.concatenate([new[1:], [True]])[: len(again)]
-                row, base = np.array(rows), np.array(bases)
+                row = np.array(rows)
+                base = np.array(bases) + above[row]
                 m, k = len(one), int(new.sum())
                 at = np.concatenate([part[one], part[again][new]])
                 cols = [
                     pa.array(keys[row[at]]),
                     pa.array(hashes[row[at]]),
+                    pa.array(above[row[at]]),
                     pa.array(np.concatenate([lo[one], start[new]]) + base[at]),
                     pa.array(np.concatenate([n[one], (end[last] - start[new])])),
                     pa.array(np.concatenate([da[one], np.zeros(k, np.int64)])),
@@ -341,18 +349,18 @@ def _runs(on: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut_contexts(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(key, th, text, wanted array<struct>) to one row for each wanted context; a repeated row gives none."""
+    """(key, th, base, bytes, wanted array<struct>) to one row for each wanted context; a repeated row gives none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int, int]] = set()
         for batch in batches:
             out: list[list] = [[] for _ in range(10)]
-            for key, th, raw, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist()):
-                if (key, th) in seen:
+            for key, th, base, raw, wanted in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), utf8(batch.column(3)), batch.column(4).to_pylist()):
+                if (key, th, base) in seen:
                     continue
-                seen.add((key, th))
+                seen.add((key, th, base))
                 for w in wanted:
-                    for col, v in zip(out, (w["kh"], w["c1"], w["c2"], w["many"], key, th, w["lo"], w["n"], w["da"], raw[w["lo"] : w["lo"] + w["n"] - 1 + shape.length])):
+                    for col, v in zip(out, (w["kh"], w["c1"], w["c2"], w["many"], key, th, w["lo"], w["n"], w["da"], raw[w["lo"] - base : w["lo"] - base + w["n"] - 1 + shape.length])):
                         col.append(v)
             kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.int64()] * 5 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], _names(CONTEXTS))
@@ -387,41 +395,27 @@ def _sort_groups(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
-def _digest_windows(shape: Shape) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(key, th, lo, bytes) of contexts to a row for each window: its place and digest."""
-
-    def digests(keys: np.ndarray, hashes: np.ndarray, los: np.ndarray, raws: list[bytes]) -> pa.RecordBatch:
-        sizes = np.array([len(r) for r in raws])
-        n = sizes - shape.length + 1
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.repeat(np.cumsum(sizes) - sizes, n) + within
-        cols = [np.repeat(keys, n), np.repeat(hashes, n), np.repeat(los, n) + within, *_digest(b"".join(raws), start, start + shape.length)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], _names(WINDOWS))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, hashes, los = (batch.column(k).to_numpy() for k in (0, 1, 2))
-            raws = batch.column(3).to_pylist()
-            size, at = 0, 0
-            for i in range(len(raws) + 1):
-                if i == len(raws) or size + len(raws[i]) > CHUNK:
-                    if i > at:
-                        yield digests(keys[at:i], hashes[at:i], los[at:i], raws[at:i])
-                    size, at = 0, i
-                if i < len(raws):
-                    size += len(raws[i])
-
-    return run
-
-
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, shape: Shape = REPEATED) -> DataFrame:
     """(key, th, start, end): byte spans of texts that repeated strings of the shape's length cover; spans may overlap.
 
     key is doc_id (a hash of the text where that is null) and th a hash of the text: together they name a text.
     """
     prepare(docs.sparkSession)
-    keyed = docs.select(*_named(doc_id, text), F.col(text).alias("text")).filter(F.octet_length("text") >= shape.length)
-    found = settle(keyed.mapInArrow(_find_anchors(shape), ANCHORS), "anchors")
+    rows = docs.filter(F.octet_length(text) >= shape.length).select(*_named(doc_id, text), F.lit(0).cast("long").alias("base"), F.col(text).cast("binary").alias("bytes"))
+    spans, more = _round(rows, group, shape)
+    while more is not None:
+        shape = shape.longer()
+        found, more = _round(more, group, shape)
+        spans = spans.unionByName(found)
+    return spans
+
+
+def _round(rows: DataFrame, group: int, shape: Shape) -> tuple[DataFrame, DataFrame | None]:
+    """(spans, contexts that are the next round's rows; None where there are none) of (key, th, base, bytes) rows.
+
+    Each window is in one context, so windows of different contexts are different places.
+    """
+    found = settle(rows.mapInArrow(_find_anchors(shape), ANCHORS), "anchors")
     within = found.filter("kh IS NULL").select("key", "th", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("end"))
     once = found.filter("kh IS NOT NULL")
     same = once.groupBy("kh").agg(F.sum("times").alias("c"), *[f(x).alias(f"{name}_{x}") for x in ("c1", "c2") for name, f in (("low", F.min), ("high", F.max))])
@@ -431,20 +425,20 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plain = span(twins.filter("NOT mixed"))
 
     mixed = twins.filter("mixed").drop("mixed")
-    entries = settle(mixed.groupBy("kh", "c1", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("key", "th", "lo", "n", "da")).alias("one")), "entries")
+    one = F.min(F.struct("key", "th", "base", "lo", "n", "da")).alias("one")
+    entries = settle(mixed.groupBy("kh", "c1", "c2").agg(F.sum("times").alias("times"), one), "entries")
     whole = span(mixed.drop("times").join(entries.filter("times > 1").select("kh", "c1", "c2"), ["kh", "c1", "c2"]))
-    sizes = settle(entries.groupBy("kh").agg((F.count("*") > group).alias("many")), "sizes")
-    wanted = entries.join(sizes, "kh").select("one.key", "one.th", F.struct("kh", "c1", "c2", "many", "one.lo", "one.n", "one.da").alias("w"))
-    wanted = wanted.groupBy("key", "th").agg(F.collect_list("w").alias("wanted"))
-    cut = keyed.join(wanted.hint("shuffle_hash"), ["key", "th"]).select("key", "th", "text", "wanted")
+    # The last round's contexts are windows: there nothing is different but what collides.
+    large = F.count("*") > group if shape.rest else F.lit(False)
+    sizes = settle(entries.groupBy("kh").agg(large.alias("many")), "sizes")
+    wanted = entries.join(sizes, "kh").select("one.key", "one.th", "one.base", F.struct("kh", "c1", "c2", "many", "one.lo", "one.n", "one.da").alias("w"))
+    wanted = wanted.groupBy("key", "th", "base").agg(F.collect_list("w").alias("wanted"))
+    cut = rows.join(wanted.hint("shuffle_hash"), ["key", "th", "base"]).select("key", "th", "base", "bytes", "wanted")
     contexts = settle(cut.mapInArrow(_cut_contexts(shape), CONTEXTS), "contexts")
     few = contexts.filter("NOT many").drop("many").repartition("kh").sortWithinPartitions("kh", "c1", "c2")
     few = few.mapInArrow(_sort_groups(shape), SPANS)
-    many = contexts.filter("many").select("key", "th", "lo", "bytes").repartition("key", "th", "lo").mapInArrow(_digest_windows(shape), WINDOWS)
-    windows = settle(many, "windows")
-    equal = settle(windows.groupBy("d1", "d2").agg(F.count("*").alias("c")).filter("c > 1").select("d1", "d2"), "equal")
-    dealt = windows.join(equal, ["d1", "d2"]).select("key", "th", F.col("at").alias("start"), (F.col("at") + shape.length).alias("end"))
-    return within.unionByName(plain).unionByName(whole).unionByName(few).unionByName(dealt)
+    many = contexts.filter("many").select("key", "th", F.col("lo").alias("base"), "bytes")
+    return within.unionByName(plain).unionByName(whole).unionByName(few), None if many.isEmpty() else many
 
 
 def _named(doc_id: str, text: str) -> list[Column]:
