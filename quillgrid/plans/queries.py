@@ -327,25 +327,10 @@ def branch_merge(spark, d):
     return merge.priority_merge([df.filter("side = 0"), df.filter("side = 1")], ["k"], last_wins=True).select("k", "seq")
 
 
-@query("""SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events e WHERE event_type='click' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type='signup' AND s.event_id % 4 = 0 AND s.user_id=e.user_id)) WHERE n=1""")
+@query("""SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, day(ts) ORDER BY event_id) AS n FROM events e WHERE event_type='click' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type='signup' AND day(s.ts)=day(e.ts) AND s.user_id=e.user_id)) WHERE n=1""")
 def anti_join_new(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
-    return merge.only_new(e.filter("event_type = 'click'"), e.filter("event_type = 'signup' AND event_id % 4 = 0"), ["user_id"], "event_id").select("user_id", "event_id")
-
-
-@query("""SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL OR (n.k IS NOT NULL AND o.stamp <> n.stamp) THEN n.stamp ELSE o.stamp END AS stamp, CASE WHEN o.k IS NULL THEN n.note ELSE o.note END AS note
-FROM (SELECT c_custkey AS k, c_custkey % 7 AS stamp, 'old' AS note FROM customer WHERE c_custkey % 3 <> 0) o FULL JOIN (SELECT c_custkey AS k, c_custkey % 5 AS stamp, 'new' AS note FROM customer WHERE c_custkey % 2 = 0) n ON o.k = n.k""")
-def upsert_selected_cols(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
-    old = c.filter("k % 3 <> 0").select("k", (F.col("k") % 7).alias("stamp"), F.lit("old").alias("note"))
-    new = c.filter("k % 2 = 0").select("k", (F.col("k") % 5).alias("stamp"), F.lit("new").alias("note"))
-    return merge.upsert(old, new, "k", ["stamp"], when="stamp")
-
-
-@query("""SELECT c_custkey AS k, 'old' AS side FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0""")
-def insert_only_merge(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
-    return merge.insert_only(c.filter("k % 3 = 0").withColumn("side", F.lit("old")), c.filter("k % 2 = 0").withColumn("side", F.lit("new")), ["k"])
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type", F.day("ts").alias("day"))
+    return merge.only_new(e.filter("event_type = 'click'"), e.filter("event_type = 'signup'"), ["user_id", "day"], "event_id").select("user_id", "event_id")
 
 
 @query("""SELECT value FROM (SELECT value, row_number() OVER (PARTITION BY k ORDER BY side, position) AS n FROM (
@@ -360,7 +345,7 @@ def merge_json_lines(spark, d):
 
 @query("""SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL OR (n.k IS NOT NULL AND o.stamp <> n.stamp) THEN n.stamp ELSE o.stamp END AS stamp, CASE WHEN o.k IS NULL THEN n.note ELSE o.note END AS note
 FROM (SELECT c_custkey AS k, c_nationkey % 7 AS stamp, 'old' AS note FROM customer WHERE c_mktsegment < 'H') o FULL JOIN (SELECT c_custkey AS k, c_nationkey % 5 AS stamp, 'new' AS note FROM customer WHERE c_mktsegment > 'B') n ON o.k = n.k""")
-def upsert_every_customer(spark, d):
+def upsert_selected_cols(spark, d):
     c = table(spark, d, "customer")
     old = c.filter("c_mktsegment < 'H'").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 7).alias("stamp"), F.lit("old").alias("note"))
     new = c.filter("c_mktsegment > 'B'").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 5).alias("stamp"), F.lit("new").alias("note"))
@@ -368,7 +353,7 @@ def upsert_every_customer(spark, d):
 
 
 @query("""SELECT c_custkey AS k, 'old' AS side FROM customer WHERE c_mktsegment < 'H' UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_mktsegment >= 'H'""")
-def insert_every_customer(spark, d):
+def insert_only_merge(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
     side = lambda where, name: c.filter(where).select("k", F.lit(name).alias("side"))
     return merge.insert_only(side("c_mktsegment < 'H'", "old"), side("c_mktsegment > 'B'", "new"), ["k"])
@@ -385,10 +370,10 @@ def merge_every_json_line(spark, d):
     return merge.merge_lines(old.select(line.alias("value"), "event_id").unionByName(broken), new.select(line.alias("value"), "event_id"), position="event_id")
 
 
-@query("""SELECT user_id FROM (SELECT DISTINCT user_id FROM events WHERE event_type='error') EXCEPT SELECT user_id FROM events WHERE event_type='purchase' AND event_id % 4 = 0""")
+@query("""SELECT user_id, day(ts)::INT AS day FROM events WHERE event_type='error' EXCEPT SELECT user_id, day(ts)::INT FROM events WHERE event_type='purchase'""")
 def set_difference(spark, d):
-    e = table(spark, d, "events")
-    return e.filter("event_type = 'error'").select("user_id").distinct().subtract(e.filter("event_type = 'purchase' AND event_id % 4 = 0").select("user_id"))
+    e = table(spark, d, "events").select("user_id", F.day("ts").alias("day"), "event_type")
+    return e.filter("event_type = 'error'").select("user_id", "day").subtract(e.filter("event_type = 'purchase'").select("user_id", "day"))
 
 
 # ---- ranking
@@ -505,10 +490,10 @@ SQL["centroid"] = SQL["centroid"].replace("((x + x+2 + x+4)/3)", "round((x + (x+
 # ---- joins
 
 
-@query("""SELECT o_orderkey, coalesce(c.c_name, 'order '||o_orderkey) AS title, c.c_mktsegment AS segment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) c ON o_custkey = c_custkey""")
+@query("""SELECT o_orderkey, coalesce(c.c_name, 'order '||o_orderkey) AS title, c.c_mktsegment AS segment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey""")
 def case_left_join(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.concat(F.lit("order "), F.col("o_orderkey")).alias("title"))
-    c = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("segment"))
+    c = table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("segment"))
     return joins.enrich(o, c, "k", ["title", "segment"]).select("o_orderkey", "title", "segment")
 
 
@@ -540,10 +525,10 @@ def feed_state_join(spark, d):
     return joins.with_state(table(spark, d, "customer").select("c_custkey"), state_, "c_custkey", {"errors": 0, "priority": "high"})
 
 
-@query("""SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0)""")
+@query("""SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)""")
 def removed_keys(spark, d):
     old = table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).distinct()
-    return joins.removed(old, table(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("k")), ["k"])
+    return joins.removed(old, table(spark, d, "supplier").filter("s_acctbal > 9000").select(F.col("s_nationkey").alias("k")), ["k"])
 
 
 @query(f"""WITH e AS (SELECT seq, hash, ts, region, sector, CASE WHEN seq % 400 = 0 THEN 'x'||(seq % 1200) END AS ent FROM {EVENTS})
@@ -564,13 +549,25 @@ def related_by_entity(spark, d):
     return linking.related(e, entities="ents").select("seq", F.array_join("related", ",").alias("related"))
 
 
+_MILES_SQL = "2*3959.0::DOUBLE*atan2(sqrt(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2)), sqrt(1-(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2))))"
+
+
 @query(f"""SELECT a.seq AS a, b.seq AS b FROM {EVENTS} a JOIN {EVENTS} b ON a.seq <> b.seq AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 2700000000
-  AND 2*3959.0::DOUBLE*atan2(sqrt(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2)), sqrt(1-(pow(sin(radians(b.lat-a.lat)/2),2)+cos(radians(a.lat))*cos(radians(b.lat))*pow(sin(radians(b.lng-a.lng)/2),2)))) <= 1.5""")
+  AND {_MILES_SQL} <= 1.5""")
 def haversine_band(spark, d):
     return linking.near_pairs(events(spark, d), "seq", "lat", "lng", "ts", 1.5, 2700)
 
 
-@query()
+@query(f"""WITH RECURSIVE e AS (SELECT * FROM {EVENTS}),
+d AS MATERIALIZED (SELECT a.seq AS a, b.seq AS b, a.impact AS i FROM e a JOIN e b ON (a.impact > b.impact OR a.impact = b.impact AND a.seq < b.seq) AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 2700000000 AND {_MILES_SQL} <= 1.5),
+r AS (SELECT seq AS k, CASE WHEN seq IN (SELECT b FROM d) THEN 'open' ELSE 'leads' END AS is_, 0 AS n FROM e
+ UNION ALL SELECT x.k, CASE WHEN x.is_ <> 'open' THEN x.is_ WHEN bool_or(y.is_ = 'leads') THEN 'follows' WHEN bool_and(y.is_ = 'follows') THEN 'leads' ELSE 'open' END, x.n + 1
+  FROM r x LEFT JOIN d ON d.b = x.k LEFT JOIN r y ON y.k = d.a WHERE EXISTS (SELECT 1 FROM r WHERE is_ = 'open') GROUP BY x.k, x.is_, x.n),
+w AS (SELECT k FROM r WHERE n = (SELECT max(n) FROM r) AND is_ = 'leads'),
+f AS (SELECT b, arg_min(a, (-i, a)) AS leads FROM d JOIN w ON w.k = d.a WHERE b NOT IN (SELECT k FROM w) GROUP BY b),
+g AS (SELECT coalesce(leads, seq) AS leads, e.* FROM e LEFT JOIN f ON f.b = e.seq)
+SELECT max(hash) FILTER (WHERE seq = leads) AS leader, count(*) AS reports, least(100, max(impact) FILTER (WHERE seq = leads) + 5 * (count(*) - 1))::INT AS impact,
+  coalesce(string_agg(hash, ',' ORDER BY impact DESC, seq) FILTER (WHERE seq <> leads), '') AS members, CASE WHEN count(*) > 1 THEN 'Multiple Sources ('||count(*)||' reports)' END AS attribution FROM g GROUP BY leads""")
 def cluster_signals(spark, d):
     e = events(spark, d)
     return linking.fold_clusters(e, linking.cluster(e)).select("leader", "reports", "impact", F.array_join("members", ",").alias("members"), "attribution")

@@ -23,13 +23,18 @@ def held_to_sql(spark, name, size="sf0.001"):
     return rows
 
 
-@pytest.mark.parametrize("name", ["upsert_every_customer", "insert_every_customer"])
+@pytest.mark.parametrize("name", ["upsert_selected_cols", "insert_only_merge"])
 def test_customer_merges_take_every_key(spark, name):
     keys = {r.c_custkey for r in spark.read.parquet(f"{DATA}/sf0.001/customer.parquet").collect()}
     rows = held_to_sql(spark, name)
     assert {r[0] for r in rows} == keys and {r[-1] for r in rows} == {"old", "new"}
 
 
+@pytest.mark.parametrize("name", ["anti_join_new", "set_difference", "case_left_join", "removed_keys", "cluster_signals"])
+def test_held_to_sql(spark, name):
+    assert held_to_sql(spark, name)
+
+
 def test_json_lines_take_every_event(spark):
     events = spark.read.parquet(f"{DATA}/sf0.001/events.parquet").collect()
     rows = [r[0] for r in held_to_sql(spark, "merge_every_json_line")]
