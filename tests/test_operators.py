@@ -50,6 +50,13 @@ def test_near_pairs_at_the_seam_and_the_poles(spark, reach):
     assert (0, 1) in want and got == want
 
 
+def test_cluster_takes_the_first_leader_decided_late(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(k, i, impact, 61 + i * 0.02, -150.0, start) for i, (k, impact) in enumerate([("p", 90), ("x", 50), ("a", 34), ("f", 5), ("l", 10)])]
+    df = spark.createDataFrame(rows, "hash string, seq int, impact int, lat double, lng double, ts timestamp")
+    assert {r.hash: r.leader for r in linking.cluster(df).collect()} == {"p": "p", "x": "p", "a": "a", "f": "a", "l": "l"}
+
+
 def test_cluster_of_nothing(spark):
     df = spark.createDataFrame([], "hash string, seq int, impact int, lat double, lng double, ts timestamp")
     assert linking.cluster(df).count() == 0
