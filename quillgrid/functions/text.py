@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Sequence
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,6 +20,13 @@ SNIPPET_SHARE, SNIPPET_LEAST, SNIPPET_MOST = 0.10, 300, 1000
 #: Entities that unescape_basic decodes; &amp; comes last, so that nothing is decoded twice.
 BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 
+#: The named entities that a feed's healing decodes; their characters are those of HTML.
+FEED_ENTITIES = """
+nbsp mdash ndash ldquo rdquo lsquo rsquo hellip bull trade reg copy deg middot laquo raquo eacute egrave ecirc agrave acirc
+ocirc uuml ouml auml szlig ntilde ccedil euro pound yen frac12 frac14 frac34 times divide plusmn micro para sect dagger
+Dagger permil ensp emsp thinsp zwnj zwj lrm rlm shy
+""".split()
+
 
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
@@ -105,12 +114,25 @@ def join_parts(sep: str, *parts: Column) -> Column:
     return F.concat_ws(sep, *[F.nullif(p, F.lit("")) for p in parts])
 
 
-def heal_xml(text: Column, entities: dict[str, str] | None = None) -> Column:
-    """Text of a broken feed made parsable: byte-order mark and control characters out, named entities decoded, bare
+def decode_bytes(raw: Column) -> Column:
+    """Text of bytes as UTF-8 without the bytes that aren't; a U+FFFD that the source has stays. The control character that
+    holds its place meanwhile goes, as strip_controls would have it."""
+    bad, held = F.lit("\ufffd"), F.lit("\x01")
+    s = F.replace(F.replace(raw.cast("string"), held, F.lit("")), bad, held)
+    return F.replace(F.replace(F.make_valid_utf8(s), bad, F.lit("")), held, bad)
+
+
+def decode_entities(text: Column, names: Sequence[str] = FEED_ENTITIES) -> Column:
+    """Named entities to characters, only those that a text has, one after another."""
+    chars = F.create_map(*[F.lit(x) for n in names for x in (n, chr(name2codepoint[n]))])
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&([A-Za-z]+[0-9]*);"), 1))
+    return F.aggregate(found, text, lambda t, n: F.coalesce(F.replace(t, F.concat(F.lit("&"), n, F.lit(";")), F.try_element_at(chars, n)), t))
+
+
+def heal_xml(text: Column, names: Sequence[str] = FEED_ENTITIES) -> Column:
+    """Text of a broken feed made parsable: byte-order marks and control characters out, named entities decoded, bare
     ampersands escaped, in this order."""
-    healed = strip_controls(F.regexp_replace(text, "^\ufeff", ""))
-    for name, char in (entities or {"nbsp": "\u00a0", "ndash": "–", "mdash": "—", "rsquo": "’", "lsquo": "‘", "ldquo": "“", "rdquo": "”", "hellip": "…", "eacute": "é"}).items():
-        healed = F.replace(healed, F.lit(f"&{name};"), F.lit(char))
+    healed = decode_entities(strip_controls(F.regexp_replace(text, "^\ufeff+", "")), names)
     return F.regexp_replace(healed, r"&(?!(?:amp|lt|gt|apos|quot|#[0-9]+|#x[0-9a-fA-F]+);)", "&amp;")
 
 

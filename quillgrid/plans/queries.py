@@ -808,6 +808,30 @@ def feed_source(spark, d):
     return feed_entries(feeds).groupBy("g").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("link")), ",").cast("binary")).alias("links"))
 
 
+@query("""SELECT doc_id, CASE k WHEN 2 THEN 'recovered' WHEN 3 THEN 'links' ELSE 'parsed' END AS stage,
+  CASE k WHEN 0 THEN source||' & '||doc_id WHEN 1 THEN 'E'||chr(160)||doc_id WHEN 2 THEN 'B & '||doc_id ELSE source||' tells a story '||doc_id END AS title,
+  CASE k WHEN 0 THEN 'http://x/' WHEN 1 THEN 'http://y/' WHEN 2 THEN 'http://z/' ELSE 'http://site.org/story-of-' END||doc_id AS link,
+  CASE k WHEN 0 THEN 'http://i/'||doc_id WHEN 1 THEN 'http://e/'||doc_id WHEN 2 THEN 'http://g/'||doc_id END AS image,
+  CASE WHEN k < 3 THEN md5('about '||t||CASE k WHEN 2 THEN '<img src="http://g/'||doc_id||'">' ELSE '' END) END AS description
+FROM (SELECT doc_id, source, (n_chars % 4)::INT AS k, regexp_replace(text, '[^A-Za-z ]', '', 'g')||'.' AS t FROM documents)""")
+def feed_recovery(spark, d):
+    from ..sources.pages import feed_entries
+
+    t, n = F.concat(F.lit("about "), F.regexp_replace("text", "[^A-Za-z ]", ""), F.lit(".")), F.col("doc_id")
+    say = lambda form, *c: F.format_string(form, *c)
+    kinds = [
+        say('<rss xmlns:media="m"><channel><title>t</title><item><title>%s &amp; %d</title><link>http://x/%d</link><description>%s</description><media:thumbnail url="http://i/%d"/></item></channel></rss>', F.col("source"), n, n, t, n),
+        say('<feed><title>t</title><entry><title>E&nbsp;%d</title><link rel="enclosure" type="image/png" href="http://e/%d"/><link href="http://y/%d"/><summary>s</summary><content>%s</content></entry></feed>', n, n, n, t),
+        say('<rss><channel><item><title>B & %d<link>http://z/%d</link><description><![CDATA[%s<img src="http://g/%d">]]></description></item></rss>', n, n, t, n),
+        say('<html><body><a href="/login">sign in to read all of it</a><a href="/story-of-%d">%s tells a story %d</a>%s</body></html>', n, F.col("source"), n, t),
+    ]
+    kind = (F.col("n_chars") % 4).cast("int")
+    body = F.concat(F.unhex(F.lit("EFBBBF")), F.encode(F.get(F.array(*kinds), kind), "UTF-8"), F.unhex(F.lit("FF")))
+    pages_ = table(spark, d, "documents").select("doc_id", body.alias("value"), F.lit("http://site.org").alias("url"))
+    found = feed_entries(pages_, base="url")
+    return found.select("doc_id", "stage", "title", "link", "image", F.md5(F.col("description").cast("binary")).alias("description"))
+
+
 @query("""SELECT count(*) AS n, count(DISTINCT url) AS urls FROM (SELECT regexp_replace(url, '[?#].*$', '') AS url FROM pages)""")
 def sitemap_source(spark, d):
     from ..sources.pages import sitemap_locations

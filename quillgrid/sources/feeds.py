@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -27,14 +28,24 @@ class _Feed(InputPartition):
         self.name, self.url = name, url
 
 
+#: Answers for which the site's front page is asked.
+GONE = (404, 403, 410, 500)
+
+
+def site(url: str) -> str:
+    parts = urlsplit(url)
+    return f"{parts.scheme}://{parts.netloc}"
+
+
 def page_url(url: str, page: int) -> str:
     return url if page == 1 else f"{url}{'&' if '?' in url else '?'}paged={page}"
 
 
-def feed_source(fetch: Fetch, feeds: list[tuple[str, str]], pages: int = 1, timeout: float = 12.0) -> type[DataSource]:
+def feed_source(fetch: Fetch, feeds: list[tuple[str, str]], pages: int = 1, timeout: float = 12.0, home_timeout: float = 8.0) -> type[DataSource]:
     """A data source class over feeds (name, url). pages > 1 follows ?paged= until a page fails or is empty.
 
-    An error becomes a row, so that one feed stops no other.
+    An error becomes a row, so that one feed stops no other. An answer in GONE gives way to the site's front page, whose
+    links stand for the feed (feed_entries with base="url").
     """
 
     class Reader(DataSourceReader):
@@ -51,6 +62,13 @@ def feed_source(fetch: Fetch, feeds: list[tuple[str, str]], pages: int = 1, time
                 except Exception as e:  # noqa: BLE001  told in the row
                     yield partition.name, page, url, None, None, f"{type(e).__name__}: {e}"
                     return
+                if page == 1 and status in GONE:
+                    try:
+                        root, (ok, home) = site(url), fetch(site(url), home_timeout)
+                        if ok == 200:
+                            status, body, url = ok, home, root
+                    except Exception:  # noqa: BLE001  the first answer stands
+                        pass
                 if page > 1 and (status != 200 or not body):
                     return
                 yield partition.name, page, url, status, body, None

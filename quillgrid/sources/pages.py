@@ -8,28 +8,83 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
-from ..functions.text import clean_agency, clean_text, heal_xml, join_parts
+from ..functions.text import clean_agency, clean_text, decode_bytes, heal_xml, join_parts, unescape_basic
 from ..functions.times import compact_time, posted_time
-from ..functions.urls import without_protocol
+from ..functions.urls import article_links, page_links, without_protocol
 from ..operators.merge import keep_first
 from ..operators.ranking import pages as number_pages
 
-RSS = "struct<channel:struct<title:string,item:array<struct<title:string,link:string,description:string,pubDate:string,guid:string>>>>"
-ATOM = "struct<title:string,entry:array<struct<title:string,link:struct<_href:string>,summary:string,content:string,published:string,updated:string>>>"
+_MEDIA = "`media:thumbnail`:array<struct<_url:string>>,`media:content`:array<struct<_url:string,_medium:string,_type:string>>"
+RSS = f"struct<channel:struct<title:string,item:array<struct<title:string,link:string,description:string,`content:encoded`:string,pubDate:string,guid:string,enclosure:array<struct<_url:string,_type:string>>,{_MEDIA}>>>>"
+ATOM = f"struct<title:string,entry:array<struct<title:string,link:array<struct<_href:string,_rel:string,_type:string>>,summary:string,content:string,published:string,updated:string,{_MEDIA}>>>"
 
 
-def feed_entries(df: DataFrame, xml: str = "value") -> DataFrame:
-    """Entries of RSS and Atom documents, healed first: df's columns with position, title, link, description, published.
+def _entry(title: Column, link: Column, body: Column, published: Column, image: Column) -> Column:
+    return F.struct(title.alias("title"), link.alias("link"), body.alias("description"), published.alias("published"), F.coalesce(image, image_in(body)).alias("image"))
 
-    A document that still can't be read gives no entries.
+
+def image_in(content: Column) -> Column:
+    """The image that an entry's markup names: og or twitter meta, else its first img, unless that is inline or a tracker."""
+    meta = F.regexp_extract(content, r"""(?is)<meta[^>]+property=["'](?:og|twitter):image["'][^>]*\bcontent=["']([^"']+)""", 1)
+    first = F.trim(F.regexp_extract(content, r"""(?is)<img\b[^>]*?\bsrc=["']([^"']+)""", 1))
+    return F.coalesce(F.nullif(F.trim(meta), F.lit("")), F.when((first != "") & ~first.rlike("^data:|pixel|tracker"), first))
+
+
+def _media(x: Column, enclosures: Column) -> Column:
+    """The first of a thumbnail, the first media content if an image, and an enclosed image."""
+    shown = F.get(x["media:content"], F.lit(0))
+    enclosed = F.get(F.filter(enclosures, lambda e: e["_type"].startswith("image/")), F.lit(0))
+    return F.coalesce(F.get(x["media:thumbnail"], F.lit(0))["_url"], F.when((shown["_medium"] == "image") | shown["_type"].startswith("image/"), shown["_url"]), enclosed["_url"])
+
+
+def _recovered(body: Column) -> Column:
+    """Entries of markup that no parser takes: blocks from one item or entry tag to the next, fields up to the next tag."""
+    blocks = F.filter(F.split(body, r"(?i)(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"(?i)^<(?:item|entry)[\s>]"))
+
+    def field(x: Column, *names: str) -> Column:
+        found = []
+        for n in names:
+            tag = rf"(?is)<{n}(?:\s[^>]*)?>\s*"
+            found += [F.regexp_extract(x, tag + r"<!\[CDATA\[(.*?)\]\]>", 1), unescape_basic(F.trim(F.regexp_extract(x, tag + r"([^<]+)", 1)))]
+        return F.coalesce(*[F.nullif(v, F.lit("")) for v in found])
+
+    attribute = lambda x, p: F.nullif(F.regexp_extract(x, p, 1), F.lit(""))
+    image = lambda x: F.coalesce(attribute(x, r"""(?is)<media:thumbnail\b[^>]*\burl=["']([^"']+)"""), attribute(x, r"""(?is)<enclosure\b(?=[^>]*\btype=["']image/)[^>]*\burl=["']([^"']+)"""))
+    link = lambda x: F.coalesce(field(x, "link"), attribute(x, r"""(?is)<link\b[^>]*\bhref=["']([^"']+)"""), field(x, "guid"))
+    return F.transform(blocks, lambda x: _entry(field(x, "title"), link(x), field(x, "content:encoded", "content", "description", "summary"), field(x, "pubDate", "published", "updated"), image(x)))
+
+
+def feed_entries(df: DataFrame, xml: str = "value", base: str | None = None) -> DataFrame:
+    """Entries of RSS and Atom documents: df's columns with position, title, link, description, published, image and stage.
+
+    xml is text, or bytes as fetched. Documents are healed and parsed (stage parsed); what gives no entries so is cut at its
+    entry tags (recovered); what has none, and a page address in base, gives its article links (links). description is
+    the content, else the summary. Null and empty documents give no entries.
     """
-    body = heal_xml(F.col(xml))
+    raw = decode_bytes(F.col(xml)) if dict(df.dtypes)[xml] == "binary" else F.col(xml)
     opts = {"mode": "PERMISSIVE"}
-    both = df.withColumns({"__r": F.when(F.lower(body).contains("<rss"), F.from_xml(body, RSS, opts)), "__a": F.when(F.lower(body).contains("<feed"), F.from_xml(body, ATOM, opts))})
-    entry = lambda t, u, d, p: F.struct(t.alias("title"), u.alias("link"), d.alias("description"), p.alias("published"))
-    rss = F.transform("__r.channel.item", lambda i: entry(i["title"], F.coalesce(i["link"], i["guid"]), i["description"], i["pubDate"]))
-    atom = F.transform("__a.entry", lambda e: entry(e["title"], e["link"]["_href"], F.coalesce(e["content"], e["summary"]), F.coalesce(e["published"], e["updated"])))
-    return both.select(*df.columns, F.posexplode(F.coalesce(rss, atom)).alias("position", "__e")).select(*df.columns, "position", "__e.*")
+    text = df.withColumn("__b", heal_xml(raw))
+    both = text.withColumns({"__r": F.when(F.lower("__b").contains("<rss"), F.from_xml("__b", RSS, opts)), "__a": F.when(F.lower("__b").contains("<feed"), F.from_xml("__b", ATOM, opts))})
+    full = lambda *c: F.coalesce(*[F.nullif(x, F.lit("")) for x in c])
+    rss = F.transform("__r.channel.item", lambda i: _entry(i["title"], F.coalesce(i["link"], i["guid"]), full(i["content:encoded"], i["description"]), i["pubDate"], _media(i, i["enclosure"])))
+
+    def atom_entry(e: Column) -> Column:
+        rel = lambda name: F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == name)
+        enclosed = F.transform(rel("enclosure"), lambda x: F.struct(x["_href"].alias("_url"), x["_type"].alias("_type")))
+        link = F.coalesce(F.get(rel("alternate"), F.lit(0)), F.get(e["link"], F.lit(0)))["_href"]
+        return _entry(e["title"], link, full(e["content"], e["summary"]), F.coalesce(e["published"], e["updated"]), _media(e, enclosed))
+
+    some = lambda c: F.when(F.size(c) > 0, c)
+    found = both.withColumn("__p", some(F.coalesce(rss, F.transform("__a.entry", atom_entry))))
+    found = found.withColumn("__c", F.when(F.col("__p").isNull(), some(_recovered(F.col("__b")))))
+    stages = [(F.col("__p"), "parsed"), (F.col("__c"), "recovered")]
+    if base is not None:
+        found = found.withColumn("__h", page_links(F.when(F.col("__p").isNull() & F.col("__c").isNull(), raw), F.col(base)))
+        none = F.lit(None).cast("string")
+        stages.append((F.transform(article_links(F.col("__h"), F.col(base)), lambda x: _entry(x["title"], x["link"], none, none, none)), "links"))
+    stage = F.coalesce(*[F.when(c.isNotNull(), F.lit(n)) for c, n in stages])
+    rows = found.select(*df.columns, stage.alias("stage"), F.posexplode(F.coalesce(*[c for c, _ in stages])).alias("position", "__e"))
+    return rows.select(*df.columns, "position", "__e.*", "stage")
 
 
 def feed_status(http: Column, entries: Column, error: Column) -> Column:
@@ -82,8 +137,6 @@ def replace_urls(catalog: DataFrame, replacements: DataFrame) -> DataFrame:
 
 def links_page(df: DataFrame, html: str = "html", base: str = "url", **limits) -> DataFrame:
     """df's columns with title and link of each article link."""
-    from ..functions.urls import article_links, page_links
-
     found = df.withColumn("__l", page_links(F.col(html), F.col(base)))
     return found.select(*df.columns, F.explode(article_links(F.col("__l"), F.col(base), **limits)).alias("x")).select(*df.columns, "x.*")
 

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.sources import feeds, pages, signals
@@ -79,6 +80,34 @@ def test_feed_entries(spark):
     assert got[2].published == "u" and got[2].description == "s"
 
 
+def test_feed_entries_of_bytes(spark):
+    rows = [(bytearray(b"\xef\xbb\xbf<rss><channel><item><title>\xffA &deg; \xef\xbf\xbd</title><link>l</link></item></channel></rss>"), "http://s.org"), (None, "http://s.org"), (bytearray(), None), (bytearray(b"<item"), "http://s.org"), (bytearray(b"<rss><item><title><![CDATA[x <b>]]></title><guid>g</guid><item><title>two"), None)]
+    got = pages.feed_entries(spark.createDataFrame(rows, "value binary, page string"), base="page").collect()
+    assert [(r.stage, r.position, r.title, r.link) for r in got] == [("parsed", 0, "A ° \ufffd", "l"), ("recovered", 0, "x <b>", "g"), ("recovered", 1, "two", None)]
+
+
+@pytest.mark.parametrize("entry, image", [
+    ('<media:thumbnail url="a"/><media:content url="b" medium="image"/>', "a"),
+    ('<media:content url="b" type="image/gif"/><enclosure url="c" type="image/png"/>', "b"),
+    ('<media:content url="b" medium="video"/><enclosure url="v" type="audio/x"/><enclosure url="c" type="image/png"/>', "c"),
+    ('<description>&lt;img src="http://d/e.png"&gt;</description>', "http://d/e.png"),
+    ('<description>&lt;img src="http://tracker/e.png"&gt;</description>', None),
+    ("<content:encoded><![CDATA[<meta property='og:image' content='f'><img src='g'>]]></content:encoded><description>s</description>", "f"),
+])
+def test_image_of_an_entry(spark, entry, image):
+    xml = f'<rss xmlns:media="m" xmlns:content="c"><channel><item><title>T</title><link>l</link>{entry}</item></channel></rss>'
+    assert [(r.stage, r.image) for r in pages.feed_entries(docs(spark, xml)).collect()] == [("parsed", image)]
+
+
+def test_front_page_stands_for_a_feed_that_is_gone():
+    from quillgrid.sources.feeds import _Feed, feed_source
+
+    answers = {"http://s.org/feed": (404, "no"), "http://s.org": (200, "front"), "http://t.org/feed": (500, "bad")}
+    read = lambda u: list(feed_source(lambda url, timeout: answers[url], [("n", u)])({}).reader(None).read(_Feed("n", u)))
+    assert read("http://s.org/feed") == [("n", 1, "http://s.org", 200, "front", None)]
+    assert read("http://t.org/feed") == [("n", 1, "http://t.org/feed", 500, "bad", None)]
+
+
 def test_sitemaps(spark):
     robots = docs(spark, "User-agent: *\nSitemap: http://x/root.xml\n")
     fetched = spark.createDataFrame([("http://x/root.xml", "<sitemapindex><sitemap><loc>http://x/a.xml</loc></sitemap></sitemapindex>"), ("http://x/a.xml", "<urlset><url><loc> http://x/p1 </loc></url></urlset>")], "location string, value string")
