@@ -76,8 +76,21 @@ def test_related_is_the_nested_loop(spark, seed):
                 out.append(h2)
         want[i] = out[:5]
     df = spark.createDataFrame(rows, "seq int, hash string, ts timestamp, region string, sector string, e array<string>")
-    got = {r.seq: r.related for r in linking.related(df, entities="e").collect()}
-    assert got == want
+    for hot in (64, 0):
+        assert {r.seq: r.related for r in linking.related(df, entities="e", hot=hot).collect()} == want
+
+
+def test_related_in_a_burst(spark):
+    start = datetime(2024, 1, 1)
+    rng = random.Random(3)
+    rows = [(i, f"h{i % 90}", start + timedelta(seconds=s)) for i, s in enumerate(rng.choice([0, 1, 7, 8, 9, 10, 11]) + rng.choice([0.0, 0.000001]) for _ in range(150))]
+    want = {}
+    for i, h, t in rows:
+        out = [h2 for _, h2, t2 in rows if h2 != h and abs((t - t2).total_seconds()) < 8]
+        want[i] = list(dict.fromkeys(out))[:5]
+    df = spark.createDataFrame(rows, "seq int, hash string, ts timestamp").withColumns({"region": F.lit("r"), "sector": F.lit("s")})
+    for hot in (64, 3):
+        assert {r.seq: r.related for r in linking.related(df, seconds=8, hot=hot).collect()} == want
 
 
 def test_related_with_repeated_keys(spark):
