@@ -20,6 +20,22 @@ def summary_counts(df: DataFrame, *columns: str) -> DataFrame:
     return grouped.select(kind.alias("kind"), value.alias("value"), "n")
 
 
+def histogram(df: DataFrame, column: str) -> DataFrame:
+    """(value, n): rows of each value, null among them."""
+    return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
+def action_summary(df: DataFrame, kind: str = "type", bill: str = "bill") -> DataFrame:
+    """(kind, value, n): actions in all, of each type, and of each bill mentioned, a row for each; null or '' is no bill."""
+    named = df.select(F.col(kind).alias("type"), F.nullif(F.col(bill), F.lit("")).alias("bill"))
+    return summary_counts(named, "type", "bill").filter("kind <> 'bill' OR value IS NOT NULL")
+
+
+def delayed(df: DataFrame, status: str = "status") -> DataFrame:
+    """One row: airports in all, and those delayed; 0 of an empty table."""
+    return df.agg(F.count("*").alias("airports"), F.count_if(F.col(status) == "delayed").alias("delayed"))
+
+
 def label_of(score: Column) -> Column:
     return F.when(score >= 70, "elevated").when(score >= 45, "normal").otherwise("low")
 

@@ -895,6 +895,36 @@ def agency_points(spark, d):
     return filled.select("c_custkey", F.coalesce(F.when(k == 1, F.col("p.lat")), F.col("lat"), F.lit(-1.0)).alias("lat"))
 
 
+@query("""SELECT count(*) AS airports, count(*) FILTER (WHERE s_acctbal < 0) AS delayed FROM supplier""")
+def delayed_airports(spark, d):
+    from ..sources.signals import airport_status as status
+
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("code"), "s_acctbal")
+    answers = s.filter("s_acctbal < 5000").select("code", F.lit(200).alias("http"), (F.col("s_acctbal") < 0).alias("delay"), F.lit(False).alias("failed"))
+    return aggregates.delayed(status(s.select("code"), answers))
+
+
+@query("""WITH a AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'executive' WHEN 'O' THEN 'introduction' ELSE 'committee' END AS type, CASE WHEN o_orderpriority <> '5-LOW' THEN 'HB '||o_custkey END AS bill FROM orders)
+  SELECT 'total' AS kind, NULL AS value, count(*) AS n FROM a UNION ALL SELECT 'type', type, count(*) FROM a GROUP BY type UNION ALL SELECT 'bill', bill, count(*) FROM a WHERE bill IS NOT NULL GROUP BY bill""")
+def action_summary(spark, d):
+    from ..sources.verticals import legislative_action
+
+    status = F.col("o_orderstatus")
+    text = F.when(status == "F", "Signed by the Governor").when(status == "O", "Introduced").otherwise("Referred to Finance")
+    bill = F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("HB "), "o_custkey")).otherwise("")
+    return aggregates.action_summary(table(spark, d, "orders").select(legislative_action(F.lower(text)).alias("type"), bill.alias("bill")))
+
+
+@query(f"""SELECT CASE seq % 3 WHEN 0 THEN 'Extreme' WHEN 1 THEN 'Minor' ELSE 'Odd' END AS value, count(*) AS n FROM {EVENTS} GROUP BY 1""")
+def severity_counts(spark, d):
+    from ..sources.signals import alerts
+
+    e = events(spark, d)
+    k = F.col("seq")
+    p = F.struct(k.cast("string").alias("id"), F.when(k % 3 == 0, "Extreme").when(k % 3 == 1, "Minor").otherwise("Odd").alias("severity"))
+    return aggregates.histogram(alerts(_features(e, F.struct(p.alias("properties")), F.floor(k / 200))), "severity")
+
+
 @query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'M' ELSE 'N' END AS title, CASE page_id % 3 WHEN 0 THEN 'cell' WHEN 1 THEN 'body' ELSE 'text' END AS body FROM pages""")
 def era_articles(spark, d):
     from ..sources.pages import article_of

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quillgrid.operators import joins, linking, merge, publish, ranking
+from quillgrid.operators import aggregates, joins, linking, merge, publish, ranking
 from quillgrid.streaming import flow, state
 
 
@@ -216,3 +216,14 @@ def test_publishing(spark, tmp_path):
     assert "<title>a&lt;b</title>" in rss
     publish.jsonl_files(df, f"{tmp_path}/j", "v")
     assert spark.read.json(f"{tmp_path}/j").count() == 2
+
+
+def test_summaries_of_actions_airports_and_values(spark):
+    rows = spark.createDataFrame([("floor", "HB 1"), ("floor", "HB 1"), (None, ""), ("passage", None)], "type string, bill string")
+    got = {tuple(r) for r in aggregates.action_summary(rows).collect()}
+    assert got == {("total", None, 4), ("type", "floor", 2), ("type", None, 1), ("type", "passage", 1), ("bill", "HB 1", 2)}
+    assert {tuple(r) for r in aggregates.histogram(rows, "type").collect()} == {("floor", 2), (None, 1), ("passage", 1)}
+    airports = spark.createDataFrame([("delayed",), ("normal",), (None,)], "status string")
+    assert tuple(aggregates.delayed(airports).first()) == (3, 1)
+    assert tuple(aggregates.delayed(airports.limit(0)).first()) == (0, 0)
+    assert aggregates.histogram(rows.limit(0), "type").count() == 0
