@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES, in the order of their operators.
-MODULES = ("quality", "licenses", "bpe", "packing", "toxicity", "chat", "suffix_dedup", "ngram_join", "ogg", "langid", "simhash")
+MODULES = ("quality", "licenses", "bpe", "packing", "toxicity", "chat", "suffix_dedup", "ngram_join", "ogg", "langid", "simhash", "vector_codes", "negatives")
 
 
 def queries() -> dict:
