@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 
 def _pick(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -47,6 +50,26 @@ def only_new(df: DataFrame, seen: DataFrame, keys: Sequence[str], seq: str = "se
     return keep_first(df.join(seen.select(*keys), list(keys), "left_anti"), keys, seq)
 
 
+def only_new_of_history(df: DataFrame, history: DataFrame, keys: Sequence[str], seq: str = "seq", most_words: int = 1 << 21) -> DataFrame:
+    """only_new for a batch and a history that is far larger: a Bloom filter of the batch's keys, in parts of words, passes
+    over the history's scan, so that the exact anti-join shuffles only the keys that the batch may have.
+
+    The filter has 16 bits a key, up to most_words words of 64 bits (16 MB), which bounds the broadcast; a larger batch gets
+    fewer bits a key, so that more of history passes, and the result is the same.
+    """
+    batch = settle(df, "batch")
+    words = min(most_words, max(1, 1 << (-(-batch.count() // 4) - 1).bit_length()))
+    part = min(words, 4096)
+    at = F.pmod(F.xxhash64(*keys), F.lit(words))
+    mask = reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(F.xxhash64(*keys, F.lit(1)), 6 * k).bitwiseAND(63).cast("int")) for k in range(4)])
+    bits = batch.select(at.alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("bits"))
+    whole = df.sparkSession.range(words).select(F.col("id").alias("at")).join(bits, "at", "left").select("at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    parts = whole.groupBy(F.floor(F.col("at") / part).alias("__part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda w: w["bits"]).alias("__words"))
+    asked = history.select(*keys).withColumns({"__part": F.floor(at / part), "__at": (at % part + 1).cast("int"), "__mask": mask})
+    met = asked.join(F.broadcast(parts), "__part").filter(F.element_at("__words", F.col("__at")).bitwiseAND(F.col("__mask")) == F.col("__mask"))
+    return only_new(batch, met.select(*keys), keys, seq)
+
+
 def insert_only(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return old.unionByName(new.join(old.select(*keys), list(keys), "left_anti"), allowMissingColumns=True)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import producers  # noqa: F401  registers its queries
+from . import producers, tables  # noqa: F401  they register their queries
 from . import queries as q
 
 

@@ -14,6 +14,7 @@ from ..functions.text import clean_text, data_tag, snippet_of_clean
 from ..functions.times import parse_iso, resolve_published, url_date, within
 from ..functions.urls import resolve_tracker
 from ..operators import aggregates, filters, linking, merge
+from ..operators.store import Store
 from ..sources.signals import adapt, union
 
 
@@ -48,15 +49,20 @@ class SignalEngine:
         return adapt(df.withColumn("urgency", filters.urgency(F.col("impactScore"))))
 
     def merge(self, old: DataFrame, *new: DataFrame) -> DataFrame:
-        """Old and new signals, the last of each hash; rows without a web link go; related signals are linked."""
-        frames = [f.withColumn("__b", F.lit(k)) for k, f in enumerate([old, *new])]
+        """Old and new signals, the last of each hash by arrival: later frames first, in a frame the highest seq; rows
+        without seq come before those with it, by time and title. Rows without a web link go; related signals are linked."""
+        frames = [f.withColumns({"__b": F.lit(k), "seq": F.col("seq") if "seq" in f.columns else F.lit(None).cast("long")}) for k, f in enumerate([old, *new])]
         both = union(frames).filter(filters.is_web_link(F.col("link")))
-        kept = merge.keep_last(both.withColumn("__o", F.struct("__b", "timestamp", "title")), ["hash"], "__o").drop("__b", "__o")
+        kept = merge.keep_last(both.withColumn("__o", F.struct("__b", "seq", "timestamp", "title")), ["hash"], "__o").drop("__b", "__o", "seq")
         kept = linking.settled(kept)  # linking reads it many times over
         ranked = kept.withColumn("seq", F.struct((-F.coalesce(F.unix_micros("ts"), F.lit(0))).alias("t"), "hash"))
         links = linking.related(ranked, entities="entitySlugs").select("hash", F.col("related").alias("__r"))
         return kept.join(links, "hash", "left").withColumn("relatedSignalIds", F.col("__r")).drop("__r")
 
+    def archive(self, store: Store, signals: DataFrame) -> int:
+        """Bring signals into the months of an archive, the last of each hash and month; its new version."""
+        return store.upsert_months(signals.filter(F.col("ts").isNotNull()), ["hash"])
+
     def rolling(self, signals: DataFrame) -> DataFrame:
         return signals.filter(within(F.col("ts"), self.now, self.days * 86_400) & F.col("ts_has_offset"))
 

@@ -31,7 +31,8 @@ def _pick(df: DataFrame, names: Sequence[str]) -> Column:
 
 
 def adapt(df: DataFrame, source: str | None = None, strict_link: bool = False) -> DataFrame:
-    """df as signals. Fields a producer doesn't have are null; strict_link takes no other name for link."""
+    """df as signals. Fields a producer doesn't have are null; strict_link takes no other name for link. seq, the order of
+    arrival, stays where df has it."""
     kinds = {f.name: f.dataType for f in df.sparkSession.createDataFrame([], SIGNAL).schema}
     out = {}
     for name, kind in kinds.items():
@@ -44,6 +45,8 @@ def adapt(df: DataFrame, source: str | None = None, strict_link: bool = False) -
             out[name] = F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
     if source:
         out["source"] = F.coalesce(out["source"], F.lit(source))
+    if "seq" in df.columns:
+        out["seq"] = F.col("seq").cast("long")
     return df.select(*[c.alias(n) for n, c in out.items()]).withColumns({"ts": parse_iso(F.col("timestamp")), "ts_has_offset": F.coalesce(has_offset(F.col("timestamp")), F.lit(False))})
 
 
