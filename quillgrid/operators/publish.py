@@ -60,7 +60,7 @@ def jsonl_files(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def write_archive(df: DataFrame, path: str, ts: str = "ts") -> None:
-    """Months as partitions; only the months in df are replaced. df must not read path: write, then swap, or settle first."""
+    """Months as partitions; only the months in df are replaced. df must not read path: store.Store may replace what it reads."""
     df.withColumn("year", F.date_format(ts, "yyyy")).withColumn("month", F.date_format(ts, "MM")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").json(path)
 
 
@@ -112,22 +112,6 @@ def rss(df: DataFrame, title: str, link: str, order: Sequence[Column], most: int
     return _first(df, order, most).select(F.concat(F.lit(head), F.array_join(F.transform("rows", item), ""), F.lit("</channel></rss>")).alias("value"))
 
 
-def post_batches(df: DataFrame, send, size: int = 50) -> None:
-    """Hand rows to send(list of dict) in batches of size, from the executors; send must bear a batch twice."""
-
-    def run(rows):
-        held = []
-        for r in rows:
-            held.append(r.asDict(recursive=True))
-            if len(held) == size:
-                send(held)
-                held = []
-        if held:
-            send(held)
-
-    df.foreachPartition(run)
-
-
 def health_page(summary: DataFrame, broken: DataFrame, most: int = 100) -> DataFrame:
     """An HTML report of AGG health and the first most broken feeds (name, error)."""
     row = F.concat(F.lit("<tr><td>"), xml_escape(F.col("name")), F.lit("</td><td>"), xml_escape(F.coalesce("error", F.lit(""))), F.lit("</td></tr>"))
