@@ -127,12 +127,14 @@ def scan_text(raw: bytes, phrases: tuple[tuple[str, str], ...], tags: tuple[str,
     as_text = joined.decode("latin-1")
     base, labels, places, expressions, score, tagged = set(), set(), [], [], 0.0, False
     n_base, first, last = 0, None, None
+    seen, at = 0, -1  # the number of blanks before byte seen, less one: counted on from the last match, not from the start
     for end, (label, is_base, length, is_tag) in _automaton(phrases, tags).iter(as_text):
         start = end - length + 1
         if is_tag:
             tagged = True
             continue
-        at = joined.count(b" ", 0, start + 1) - 1
+        at += joined.count(b" ", seen, start + 1) if start >= seen else -joined.count(b" ", start + 1, seen)
+        seen = start + 1
         labels.add(label)
         places.append({"word": at, "label": label})
         notice = bool(NOTICE_WORDS.intersection(words[max(0, at - 6) : at]))
