@@ -194,7 +194,7 @@ def _windows(docs: list[tuple[list[str], int]], index: dict[str, int]) -> tuple[
                 known[w] = kinds.setdefault(tuple(index[f] for f in features(w) if f in index), len(kinds))
         ids = [known[w] for w in words]
         at = [i for i, k in enumerate(ids) if k]
-        starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in at[:WINDOWED]} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
+        starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in rng.permutation(at)[:WINDOWED].tolist()} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
         for s in sorted(starts):
             x, y = np.full(WINDOW, -1, np.int32), np.zeros(WINDOW, np.int8)
             part = ids[s : s + WINDOW]
