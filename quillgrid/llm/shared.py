@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import remove as _remove
+from ..session import shared_folder, ship
 
 #: Rows of one Arrow batch handed to Python: bounds what a worker holds when texts are long.
 ROWS_PER_BATCH = 1000
@@ -32,29 +31,6 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ROWS_PER_BATCH))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which the cluster shares; a temporary one only where it is unset and all runs on
-    one machine (tests). On a cluster without the setting this is an error: executors don't share local folders."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        own = tempfile.mkdtemp(prefix="quillgrid-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        found = f"file://{own}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # noqa: BLE001  the session may be gone at exit; the folder is scratch
-        pass
-
-
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and lost executors cost nothing that came before."""
     spark = df.sparkSession
