@@ -158,11 +158,54 @@ def bulletin_age(text: Column, as_of: Column) -> Column:
     return F.coalesce(age, age_on(day, F.to_date(as_of)), F.lit(0))
 
 
+#: Words before a person's name, in a rank or a role; a rule of our own, in place of a language model.
+TITLES = "Mr|Mrs|Ms|Dr|Trooper|Officer|Sergeant|Sgt|Lieutenant|Lt|Captain|Capt|Chief|Deputy|Detective|Investigator|[Ss]uspect|[Vv]ictim|[Dd]river|[Pp]assenger|identified as"
+#: Words that end the name of a vehicle, and characters kept before them.
+VEHICLES = ("truck", "sedan", "suv", "snowmachine", "atv", "motorcycle", "skiff", "vessel")
+BEFORE = 15
+
+
+def people(text: Column, known: Column | None = None, titles: str = TITLES) -> Column:
+    """Names (capitalised words, at least five characters) behind a title or role, each once in order; those of known, an
+    array of names, that contain one or are contained go. Null text has none."""
+    found = F.regexp_extract_all(text, F.lit(rf"\b(?:{titles})\.?\s+((?:[A-Z][a-z]+)(?:\s+(?:[A-Z]\.|[A-Z][a-z]+)){{0,2}})"), 1)
+    names = F.array_distinct(F.filter(F.transform(found, lambda n: F.regexp_replace(n, r"\s+", " ")), lambda n: F.length(n) > 4))
+    if known is not None:
+        names = F.filter(names, lambda n: ~F.exists(F.coalesce(known, F.array().cast("array<string>")), lambda k: F.contains(k, n) | F.contains(n, k)))
+    return F.coalesce(names, F.array().cast("array<string>"))
+
+
+def vehicles(text: Column, words: Sequence[str] = VEHICLES) -> Column:
+    """Vehicles: each of words with the BEFORE characters before it, from the first capital on; of over three characters, each
+    once in order. Null text has none."""
+    one = "|".join(words)
+    parts = F.regexp_extract_all(text, F.lit(rf"(?is).*?\b(?:{one})\b"), 0)
+    # Each part ends with a word, of two letters or more: so many parts hold the characters before the last one's.
+    reach = BEFORE // 2 + 2
+    phrase = lambda p, i: _phrase(F.array_join(F.slice(parts, F.greatest(F.lit(1), i + 2 - reach), F.least(i + 1, F.lit(reach))), ""), one)
+    kept = F.filter(F.transform(parts, phrase), lambda v: F.length(v) > 3)
+    return F.coalesce(F.array_distinct(kept), F.array().cast("array<string>"))
+
+
+def _phrase(before: Column, one: str) -> Column:
+    n = F.length(F.regexp_extract(before, rf"(?is)\b({one})$", 1)) + BEFORE
+    return F.regexp_replace(F.trim(F.substring(before, F.greatest(F.lit(1), F.length(before) - n + 1), n)), "^[^A-Z]*", "")
+
+
+def height(text: Column) -> Column:
+    """A height in inches: 5'11", 5 ft 11 in, 5-11 behind the word height, else null."""
+    found = F.regexp_extract(text, r"(?i)\b([4-7])\s*(?:'|ft\.?|feet|foot)\s*(?:(1[01]|[0-9])\s*(?:\"|''|in(?:ches|\.)?)?)?", 0)
+    spoken = F.regexp_extract(text, r"(?i)\bheight:?\s*([4-7])\s*[-']\s*(1[01]|[0-9])\b", 0)
+    one = F.coalesce(F.nullif(spoken, F.lit("")), F.nullif(found, F.lit("")))
+    numbers = F.regexp_extract_all(one, F.lit("[0-9]+"), 0)
+    return F.element_at(numbers, 1).cast("int") * 12 + F.coalesce(F.try_element_at(numbers, F.lit(2)).cast("int"), F.lit(0))
+
+
 def entities(text: Column) -> Column:
     """All of it as one struct."""
     parts = {
         "suspects": suspects(text), "charges": charges(text), "bac": blood_alcohol(text), "facility": facility(text), "bail": bail(text), "outcome": outcome(text),
         "incident_time": incident_time(text), "co_agencies": co_agencies(text), "address_detail": address_detail(text), "is_missing_person": is_missing_person(text),
-        "drugs_weapons": contraband(text),
+        "drugs_weapons": contraband(text), "vehicles": vehicles(text), "people": people(text, F.transform(suspects(text), lambda x: x["name"])),
     }
     return F.struct(*[c.alias(k) for k, c in parts.items()])

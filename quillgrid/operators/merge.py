@@ -70,6 +70,40 @@ def only_new_of_history(df: DataFrame, history: DataFrame, keys: Sequence[str],
     return only_new(batch, met.select(*keys), keys, seq)
 
 
+def first_by_either(df: DataFrame, first: str, second: str, seq: str = "seq", most: int | None = None) -> DataFrame:
+    """Rows in order of seq, without those that share either key with an earlier row that stayed; the first most of them.
+
+    The sequential rule in rounds: a row that is the first open one of both of its keys stays, and open rows that share a key
+    with it go. Only rows that stayed block others. Null is a key like any other; rows of one seq are ordered by their
+    keys. A round for each link of the longest chain of rows that decide one another; with most, no longer than until the
+    first most rows are decided.
+    """
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    place = F.struct(F.col(seq).alias("s"), key(first).alias("a"), key(second).alias("b"))
+    named = settle(df.withColumn("__o", place), "named")
+    open_ = settle(named.select("__o").distinct(), "open")
+    stay = None
+    while True:
+        lows = [open_.groupBy(F.col(f"__o.{k}").alias(k)).agg(F.min("__o").alias(f"low_{k}")) for k in "ab"]
+        now = open_.select("__o", "__o.a", "__o.b").join(lows[0], "a").join(lows[1], "b").filter("__o = low_a AND __o = low_b").select("__o")
+        now = settle(now, "stay")
+        if now.isEmpty():
+            break
+        stay = now if stay is None else stay.unionByName(now)
+        left = open_.select("__o", "__o.a", "__o.b")
+        for k in "ab":
+            left = left.join(now.select(F.col(f"__o.{k}").alias(k)).distinct(), k, "left_anti")
+        open_ = settle(left.select("__o"), "open")
+        if most is not None:
+            least = open_.agg(F.min("__o").alias("o")).first()["o"]
+            low = None if least is None else F.struct(*[F.lit(x).alias(k) for k, x in zip("sab", least)]).cast(open_.schema["__o"].dataType)
+            if low is None or stay.filter(F.col("__o") < low).limit(most).count() == most:
+                break
+    kept = _pick(named.join(stay, "__o"), ["__o"], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])) if stay is not None else named
+    kept = kept.orderBy("__o").limit(most) if most is not None else kept
+    return kept.drop("__o")
+
+
 def insert_only(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return old.unionByName(new.join(old.select(*keys), list(keys), "left_anti"), allowMissingColumns=True)
 

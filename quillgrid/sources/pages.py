@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import extract as X
-from ..functions.text import clean_agency, clean_text, decode_bytes, heal_xml, join_parts, unescape_basic
+from ..functions.markup import field_of
+from ..functions.text import clean_agency, clean_text, decode_bytes, heal_xml, join_parts
 from ..functions.times import compact_time, posted_time
 from ..functions.urls import article_links, page_links, without_protocol
 from ..operators.merge import keep_first
@@ -38,20 +39,17 @@ def _media(x: Column, enclosures: Column) -> Column:
 
 
 def _recovered(body: Column) -> Column:
-    """Entries of markup that no parser takes: blocks from one item or entry tag to the next, fields up to the next tag."""
+    """Entries of markup that no parser takes: blocks from one item or entry tag to the next, fields up to their end tag or
+    the next field; a body's nested markup stays, with what is open in it closed."""
     blocks = F.filter(F.split(body, r"(?i)(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"(?i)^<(?:item|entry)[\s>]"))
 
-    def field(x: Column, *names: str) -> Column:
-        found = []
-        for n in names:
-            tag = rf"(?is)<{n}(?:\s[^>]*)?>\s*"
-            found += [F.regexp_extract(x, tag + r"<!\[CDATA\[(.*?)\]\]>", 1), unescape_basic(F.trim(F.regexp_extract(x, tag + r"([^<]+)", 1)))]
-        return F.coalesce(*[F.nullif(v, F.lit("")) for v in found])
+    def field(x: Column, *names: str, body: bool = False) -> Column:
+        return F.coalesce(*[field_of(x, n, body) for n in names])
 
     attribute = lambda x, p: F.nullif(F.regexp_extract(x, p, 1), F.lit(""))
     image = lambda x: F.coalesce(attribute(x, r"""(?is)<media:thumbnail\b[^>]*\burl=["']([^"']+)"""), attribute(x, r"""(?is)<enclosure\b(?=[^>]*\btype=["']image/)[^>]*\burl=["']([^"']+)"""))
     link = lambda x: F.coalesce(field(x, "link"), attribute(x, r"""(?is)<link\b[^>]*\bhref=["']([^"']+)"""), field(x, "guid"))
-    return F.transform(blocks, lambda x: _entry(field(x, "title"), link(x), field(x, "content:encoded", "content", "description", "summary"), field(x, "pubDate", "published", "updated"), image(x)))
+    return F.transform(blocks, lambda x: _entry(field(x, "title"), link(x), field(x, "content:encoded", "content", "description", "summary", body=True), field(x, "pubDate", "published", "updated"), image(x)))
 
 
 def feed_entries(df: DataFrame, xml: str = "value", base: str | None = None) -> DataFrame:
@@ -125,8 +123,6 @@ def alternate_feeds(html: Column) -> Column:
 
 
 def best_candidate(candidates: DataFrame, domain: str, order: Sequence[Column]) -> DataFrame:
-    from pyspark.sql import Window
-
     return candidates.withColumn("__n", F.row_number().over(Window.partitionBy(domain).orderBy(*order))).filter("__n = 1").drop("__n")
 
 

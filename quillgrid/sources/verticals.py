@@ -11,7 +11,7 @@ from ..functions.rules import contains_any
 from ..functions.text import clean_text
 from ..functions.times import parse_any
 from ..operators.filters import fisheries_type, legislative_action, species
-from ..operators.merge import keep_first
+from ..operators.merge import first_by_either, keep_first
 from ..operators.ranking import fill_forward, top_n
 
 
@@ -62,6 +62,14 @@ def news(df: DataFrame, group: str, position: str, title: str, each: int) -> Dat
     return top_n(keep_first(df, [group, title], position), [group], [F.col(position)], each).drop("rank")
 
 
+def district_news(df: DataFrame, title: str = "title", href: str = "href", seq: str = "seq", home: str = "", paths: Sequence[str] = ("/post/", "/article/"), words: Sequence[str] = ("news", "recap"), least: int = 10, most: int = 20) -> DataFrame:
+    """The first most links of a district's page that are news, by path or title, with url; no url and no title that a link
+    before it took."""
+    named = df.withColumn("__t", F.trim(title)).filter((F.length("__t") > least) & (contains_any(F.lower(F.col(href)), paths) | contains_any(F.lower("__t"), words)))
+    url = F.when(F.col(href).startswith("/"), F.concat(F.lit(home), F.col(href))).otherwise(F.col(href))
+    return first_by_either(named.withColumns({"url": url, title: F.col("__t")}).drop("__t"), "url", title, seq, most)
+
+
 def venues(df: DataFrame, page: str, position: str = "position") -> DataFrame:
     """Venues (name) with the city of the heading above, one row for each name and city."""
     carried = fill_forward(df, ["city"], [position], [page])
