@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 
 def enrich(df: DataFrame, other: DataFrame, key: str, overrides: Sequence[str]) -> DataFrame:
     """Left join; the other side's values win where it has them. Which side is broadcast is left to the planner's sizes."""
@@ -30,21 +32,43 @@ def nearest(df: DataFrame, points: DataFrame, keys: Sequence[str], value: str, a
     return df.join(best, row, "left").select(*df.columns, F.col("__b.nearest").alias("nearest"), *[F.col(f"__b.{p}").alias(p) for p in payload])
 
 
+def _grams(c: Column, n: int) -> Column:
+    """The distinct runs of n characters of a text, or the whole of a shorter one."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - n + 1)), lambda i: F.substring(c, i, n)))
+
+
+def contained(texts: DataFrame, text: str, words: DataFrame, word: str, gram: int = 3) -> DataFrame:
+    """(text, word) of distinct values, where word contains text. Null and empty values take no part.
+
+    A word that contains a text has all of its grams: words are dealt by their grams, and each text goes to the gram that
+    the fewest words have, so that a common beginning doesn't bring all texts and words together. Texts shorter than
+    gram are a gram of their own length, by which words are dealt too where there are such texts.
+    """
+    t = texts.select(F.col(text).alias("text")).filter("coalesce(text, '') <> ''").distinct()
+    w = words.select(F.col(word).alias("word")).filter("coalesce(word, '') <> ''").distinct()
+    lengths = [r[0] for r in t.select(F.least(F.length("text"), F.lit(gram)).alias("n")).distinct().collect()]  # gram values at most
+    if not lengths:
+        return t.select("text", F.lit("").alias("word")).limit(0)
+    dealt = w.select("word", F.explode(F.array_distinct(F.flatten(F.array(*[_grams(F.col("word"), n) for n in lengths])))).alias("g"))
+    dealt = settle(dealt, "dealt")
+    sizes = settle(dealt.groupBy("g").agg(F.count("*").alias("n")), "sizes")
+    rarest = t.select("text", F.explode(_grams(F.col("text"), gram)).alias("g")).join(sizes, "g", "left")
+    # A gram that no word has: no word contains the text.
+    met = rarest.groupBy("text").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("r")).filter("r.n > 0").select("text", "r.g")
+    return met.join(dealt, "g").filter(F.expr("contains(word, text)")).select("text", "word")
+
+
 def contains_first(df: DataFrame, words: DataFrame, text: str, word: str, order: str, row: str, exact: str | None = None, gram: int = 3) -> DataFrame:
     """Each row of df with the first (by order) row of words whose word equals exact, else contains text.
 
-    Equal words are an equi-join. For the rest, a word that contains a text also contains its first gram characters:
-    words are dealt by their distinct grams, texts by their first one, and only those that meet are compared. Texts
-    shorter than gram meet all words by their distinct shorter grams.
+    Texts and words meet by the rarest gram of a text (contained), once for each distinct value; rows follow by equi-joins.
     """
-    t = df.select(F.col(row).alias("__r"), F.col(text).alias("__t")).filter("coalesce(__t, '') <> ''")
-    w = words.withColumn("__w", F.col(word)).filter("coalesce(__w, '') <> ''")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda g: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("__w") - g + 1)), lambda i: F.substring(F.col("__w"), i, g))))
-    dealt = w.withColumn("__g", F.explode(F.array_distinct(grams)))
-    met = t.withColumn("__g", F.substring("__t", 1, gram)).join(dealt, "__g").filter(F.expr("contains(__w, __t)"))
-    key = F.struct((F.col("__w") != F.col("__t")).alias("e") if exact else F.lit(0).alias("e"), F.col(order).alias("o"))
-    best = met.groupBy("__r").agg(F.min_by(F.struct(*words.columns), key).alias("__b"))
-    return df.join(best, df[row] == best["__r"], "left").select(*[df[c] for c in df.columns], *[F.col(f"__b.{c}").alias(c if c not in df.columns else f"matched_{c}") for c in words.columns])
+    pairs = contained(df, text, words, word, gram)
+    w = words.withColumn("__w", F.col(word))
+    key = F.struct((F.col("__w") != F.col("text")).alias("e") if exact else F.lit(0).alias("e"), F.col(order).alias("o"))
+    best = pairs.join(w, F.col("word") == F.col("__w")) if word != "word" else pairs.drop("word").join(w, pairs["word"] == w["__w"])
+    best = best.groupBy("text").agg(F.min_by(F.struct(*[w[c] for c in words.columns]), key).alias("__b")).withColumnRenamed("text", "__t")
+    return df.join(best, df[text] == best["__t"], "left").select(*[df[c] for c in df.columns], *[F.col(f"__b.{c}").alias(c if c not in df.columns else f"matched_{c}") for c in words.columns])
 
 
 def first_part(df: DataFrame, text: str, places: DataFrame, name: str, payload: Sequence[str], row: str, split: str = "[/,]") -> DataFrame:

@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.text import tag_region
-from .joins import first_part, nearest
+from .joins import contained, first_part, nearest
 
 
 def mileposts(df: DataFrame, posts: DataFrame, highway: Column, mile: Column, row: str = "id", reach: float = 2.0) -> DataFrame:
     """df with route, lat and lng of the milepost nearest to a whole mile (half-even) on its highway, within reach.
 
     posts: (route, mile, lat, lng). A highway that isn't a route takes the first route, by name, that contains it or that
-    it contains; routes are few, distinct highway names are compared with them once each.
+    it contains; distinct names meet by their rarest grams, in both directions.
     """
     named = df.withColumns({"__hwy": geo.highway_name(highway), "__mile": F.bround(mile).cast("double")})
     routes = posts.select("route").distinct()
     names = named.select("__hwy").filter("__hwy IS NOT NULL").distinct()
     exact = names.join(routes.withColumnRenamed("route", "__hwy"), "__hwy", "left_semi").select("__hwy", F.col("__hwy").alias("route"))
-    loose = names.join(exact.select("__hwy"), "__hwy", "left_anti").join(routes, F.expr("contains(route, __hwy) OR contains(__hwy, route)")).groupBy("__hwy").agg(F.min("route").alias("route"))
+    left = names.join(exact.select("__hwy"), "__hwy", "left_anti")
+    wider, narrower = contained(left, "__hwy", routes, "route"), contained(routes, "route", left, "__hwy")
+    loose = wider.select(F.col("text").alias("__hwy"), F.col("word").alias("route")).unionByName(narrower.select(F.col("word").alias("__hwy"), F.col("text").alias("route")))
+    loose = loose.groupBy("__hwy").agg(F.min("route").alias("route"))
     routed = named.join(exact.unionByName(loose), "__hwy", "left")
     at = posts.select("route", F.col("mile").cast("double").alias("__post"), F.col("lat").alias("post_lat"), F.col("lng").alias("post_lng"))
     found = nearest(routed, at, ["route"], "__mile", "__post", ["post_lat", "post_lng"], reach, row)

@@ -130,3 +130,28 @@ def test_recovered_entries_keep_nested_markup(spark):
         ("recovered", "One of two", "http://x/1", '<p>first <b>bold</b></p> more <a href="u">link</a>', "now"),
         ("recovered", "Two", "http://x/2", "<div>second</div>", None),
     ]
+
+
+@pytest.mark.parametrize("gram", [2, 3])
+def test_contained_is_the_nested_loop(spark, gram):
+    from quillgrid.operators import joins
+
+    rng = random.Random(gram)
+    word = lambda n: "".join(rng.choice("abé ") for _ in range(n))
+    texts = [None, "", "a", "zz", *(word(rng.randrange(1, 7)) for _ in range(60))]
+    words = [None, "", "a", *(word(rng.randrange(1, 12)) for _ in range(80))]
+    t, w = (spark.createDataFrame([(x,) for x in xs], "v string") for xs in (texts, words))
+    got = sorted((r.text, r.word) for r in joins.contained(t, "v", w, "v", gram).collect())
+    assert got == sorted({(a, b) for a in texts for b in words if a and b and a in b})
+    assert joins.contained(t.limit(0), "v", w, "v").count() == 0
+
+
+def test_routes_meet_without_a_nested_loop(spark):
+    from quillgrid.operators import places
+
+    posts = spark.createDataFrame([("seward highway", 1, 60.0, -149.0), ("glenn highway", 1, 61.0, -148.0)], "route string, mile int, lat double, lng double")
+    df = spark.createDataFrame([(1, "Seward Hwy", 1.0), (2, "old glenn highway north", 1.2), (3, "glenn", 0.9), (4, "none", 1.0), (5, None, 1.0)], "id int, h string, m double")
+    got = places.mileposts(df, posts, F.col("h"), F.col("m"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {r.id: r.lat for r in got.collect()} == {1: 60.0, 2: 61.0, 3: 61.0, 4: None, 5: None}

@@ -57,6 +57,29 @@ def test_cluster_takes_the_first_leader_decided_late(spark):
     assert {r.hash: r.leader for r in linking.cluster(df).collect()} == {"p": "p", "x": "p", "a": "a", "f": "a", "l": "l"}
 
 
+@pytest.mark.parametrize("reach", [1.5, 300.0, 9000.0])
+def test_cluster_at_the_seam_and_the_poles(spark, reach):
+    rng = random.Random(int(reach))
+    rows = []
+    for lat, wide in [(52, 0.1), (0, 0.1), (85, 0.5), (89.9, 360), (-89.9, 360), (-30, 180)]:
+        rows += [(f"h{len(rows) + i}", len(rows) + i, rng.choice([10, 20, 90]), min(90.0, max(-90.0, lat + rng.uniform(-0.05, 0.05))), (180 + rng.uniform(-wide, wide) + 180) % 360 - 180, datetime(2024, 1, 1)) for i in range(25)]
+    want, leaders = {}, []
+    for r in sorted(rows, key=lambda r: (-r[2], r[1])):
+        near = next((q for q in leaders if miles(q[3:5], r[3:5]) <= reach), None)
+        want[r[0]] = near[0] if near else r[0]
+        if not near:
+            leaders.append(r)
+    df = spark.createDataFrame(rows, "hash string, seq int, impact int, lat double, lng double, ts timestamp")
+    assert {r.hash: r.leader for r in linking.cluster(df, miles=reach).collect()} == want
+
+
+def test_a_hot_cell_is_no_table_of_pairs(spark):
+    n = 100_000
+    df = spark.range(n).select(F.col("id").cast("string").alias("hash"), F.col("id").alias("seq"), (F.col("id") % 7).cast("int").alias("impact"), (F.lit(61.0) + F.col("id") % 10 * 0.001).alias("lat"), F.lit(-150.0).alias("lng"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 100).alias("ts"))
+    got = linking.cluster(df).groupBy("leader").count().collect()
+    assert [(r.leader, r["count"]) for r in got] == [("6", n)]
+
+
 def test_cluster_of_nothing(spark):
     df = spark.createDataFrame([], "hash string, seq int, impact int, lat double, lng double, ts timestamp")
     assert linking.cluster(df).count() == 0
