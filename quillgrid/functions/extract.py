@@ -182,14 +182,19 @@ def vehicles(text: Column, words: Sequence[str] = VEHICLES) -> Column:
     parts = F.regexp_extract_all(text, F.lit(rf"(?is).*?\b(?:{one})\b"), 0)
     # Each part ends with a word, of two letters or more: so many parts hold the characters before the last one's.
     reach = BEFORE // 2 + 2
-    phrase = lambda p, i: _phrase(F.array_join(F.slice(parts, F.greatest(F.lit(1), i + 2 - reach), F.least(i + 1, F.lit(reach))), ""), one)
-    kept = F.filter(F.transform(parts, phrase), lambda v: F.length(v) > 3)
+    phrase = lambda p, i: _phrase(F.array_join(F.slice(p, F.greatest(F.lit(1), i + 2 - reach), F.least(i + 1, F.lit(reach))), ""), one)
+    found = let(parts, lambda p: F.transform(p, lambda _, i: phrase(p, i)))
+    kept = F.filter(found, lambda v: F.length(v) > 3)
     return F.coalesce(F.array_distinct(kept), F.array().cast("array<string>"))
 
 
 def _phrase(before: Column, one: str) -> Column:
-    n = F.length(F.regexp_extract(before, rf"(?is)\b({one})$", 1)) + BEFORE
-    return F.regexp_replace(F.trim(F.substring(before, F.greatest(F.lit(1), F.length(before) - n + 1), n)), "^[^A-Z]*", "")
+    def cut(tail: Column) -> Column:
+        n = F.length(F.regexp_extract(tail, rf"(?is)\b({one})$", 1)) + BEFORE
+        return F.regexp_replace(F.trim(F.substring(tail, F.greatest(F.lit(1), F.length(tail) - n + 1), n)), "^[^A-Z]*", "")
+
+    # The words searched have fewer characters than BEFORE: the end of a long part is enough.
+    return let(before, lambda b: let(F.right(b, F.lit(4 * BEFORE)), cut))
 
 
 def height(text: Column) -> Column:

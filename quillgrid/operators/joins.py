@@ -45,6 +45,7 @@ def contained(texts: DataFrame, text: str, words: DataFrame, word: str, gram: in
     gram are a gram of their own length, by which words are dealt too where there are such texts.
     """
     t = texts.select(F.col(text).alias("text")).filter("coalesce(text, '') <> ''").distinct()
+    t = settle(t, "texts")
     w = words.select(F.col(word).alias("word")).filter("coalesce(word, '') <> ''").distinct()
     lengths = [r[0] for r in t.select(F.least(F.length("text"), F.lit(gram)).alias("n")).distinct().collect()]  # gram values at most
     if not lengths:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.text import tag_region
+from ..session import settle
 from .joins import contained, first_part, nearest
 
 
@@ -20,7 +21,7 @@ def mileposts(df: DataFrame, posts: DataFrame, highway: Column, mile: Column, ro
     routes = posts.select("route").distinct()
     names = named.select("__hwy").filter("__hwy IS NOT NULL").distinct()
     exact = names.join(routes.withColumnRenamed("route", "__hwy"), "__hwy", "left_semi").select("__hwy", F.col("__hwy").alias("route"))
-    left = names.join(exact.select("__hwy"), "__hwy", "left_anti")
+    left = settle(names.join(exact.select("__hwy"), "__hwy", "left_anti"), "names")
     wider, narrower = contained(left, "__hwy", routes, "route"), contained(routes, "route", left, "__hwy")
     loose = wider.select(F.col("text").alias("__hwy"), F.col("word").alias("route")).unionByName(narrower.select(F.col("word").alias("__hwy"), F.col("text").alias("route")))
     loose = loose.groupBy("__hwy").agg(F.min("route").alias("route"))

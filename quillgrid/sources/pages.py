@@ -43,13 +43,12 @@ def _recovered(body: Column) -> Column:
     the next field; a body's nested markup stays, with what is open in it closed."""
     blocks = F.filter(F.split(body, r"(?i)(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"(?i)^<(?:item|entry)[\s>]"))
 
-    def field(x: Column, *names: str, body: bool = False) -> Column:
-        return F.coalesce(*[field_of(x, n, body) for n in names])
-
     attribute = lambda x, p: F.nullif(F.regexp_extract(x, p, 1), F.lit(""))
     image = lambda x: F.coalesce(attribute(x, r"""(?is)<media:thumbnail\b[^>]*\burl=["']([^"']+)"""), attribute(x, r"""(?is)<enclosure\b(?=[^>]*\btype=["']image/)[^>]*\burl=["']([^"']+)"""))
-    link = lambda x: F.coalesce(field(x, "link"), attribute(x, r"""(?is)<link\b[^>]*\bhref=["']([^"']+)"""), field(x, "guid"))
-    return F.transform(blocks, lambda x: _entry(field(x, "title"), link(x), field(x, "content:encoded", "content", "description", "summary", body=True), field(x, "pubDate", "published", "updated"), image(x)))
+    link = lambda x: F.coalesce(field_of(x, "link"), attribute(x, r"""(?is)<link\b[^>]*\bhref=["']([^"']+)"""), field_of(x, "guid"))
+    fields = lambda x: F.struct(field_of(x, "title").alias("t"), link(x).alias("l"), field_of(x, "content:encoded", "content", "description", "summary", body=True).alias("b"), field_of(x, "pubDate", "published", "updated").alias("p"), image(x).alias("i"))
+    # In two steps, so that a field is taken out once.
+    return F.transform(F.transform(blocks, fields), lambda e: _entry(e["t"], e["l"], e["b"], e["p"], e["i"]))
 
 
 def feed_entries(df: DataFrame, xml: str = "value", base: str | None = None) -> DataFrame:
