@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import ingest, merge, ranking
 from ..operators.store import Store
 from ..session import scratch, settle
-from ..sources import snapshots
+from ..sources import daily, snapshots
 from .frames import AS_OF, EVENTS, as_of, events, table
 from .queries import query
 
@@ -108,3 +108,15 @@ def backfilled_snapshots(spark, d):
         snapshots.backfill(spark, fetch, manifest, out, mark, per_batch, batches)
     found = snapshots.snapshot_incidents(spark.read.schema(snapshots.SCHEMA).parquet(out))
     return found.select("hash", "incident", "location", "type", F.md5(F.col("text").cast("binary")).alias("text"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id)::INT - 1 AS position, event_id AS id, event_type AS kind
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'""")
+def daily_files(spark, d):
+    """A week out of daily files that hold all events."""
+    path = scratch(spark, "daily")
+    e = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.to_date("ts").alias("day"))
+    daily.write_daily(e, path, "day", "id", ["id", "kind"])
+    week = daily.read_daily(spark, path).filter("day >= DATE '2024-01-03' AND day <= DATE '2024-01-09'")
+    item = F.from_json("item", "id long, kind string")
+    return week.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "position", item["id"].alias("id"), item["kind"].alias("kind"))
