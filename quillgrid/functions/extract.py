@@ -179,7 +179,8 @@ def vehicles(text: Column, words: Sequence[str] = VEHICLES) -> Column:
     """Vehicles: each of words with the BEFORE characters before it, from the first capital on; of over three characters, each
     once in order. Null text has none."""
     one = "|".join(words)
-    parts = F.regexp_extract_all(text, F.lit(rf"(?is).*?\b(?:{one})\b"), 0)
+    # Cut behind each word; the last part has none. (A pattern for the parts would scan a text's end again and again.)
+    parts = let(F.split(text, rf"(?i)(?<=\b(?:{one})\b)"), lambda p: F.slice(p, F.lit(1), F.size(p) - 1))
     # Each part ends with a word, of two letters or more: so many parts hold the characters before the last one's.
     reach = BEFORE // 2 + 2
     phrase = lambda p, i: _phrase(F.array_join(F.slice(p, F.greatest(F.lit(1), i + 2 - reach), F.least(i + 1, F.lit(reach))), ""), one)

@@ -105,7 +105,7 @@ def backfilled_snapshots(spark, d):
             yield 200, bodies[i]
 
     for batches in (2, None):
-        snapshots.backfill(spark, fetch, manifest, out, mark, per_batch, batches)
+        snapshots.backfill(spark, fetch, manifest, out, mark, per_batch, batches, per_task=-(-per_batch // 8))
     found = snapshots.snapshot_incidents(spark.read.schema(snapshots.SCHEMA).parquet(out))
     return found.select("hash", "incident", "location", "type", F.md5(F.col("text").cast("binary")).alias("text"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
 

@@ -125,11 +125,11 @@ def snapshot_source(fetch: Fetch, manifest: str, per_batch: int = 1, per_task: i
     return Snapshots
 
 
-def backfill(spark: SparkSession, fetch: Fetch, manifest: str, path: str, checkpoint: str, per_batch: int = 1, batches: int | None = None, rows: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+def backfill(spark: SparkSession, fetch: Fetch, manifest: str, path: str, checkpoint: str, per_batch: int = 1, batches: int | None = None, per_task: int = 16, rows: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """Add rows of the snapshots that checkpoint hasn't seen to the Parquet table at path, per_batch at a time; at most batches
     batches, all that are left if None. What was stopped goes on where it stopped: each snapshot is in the table once."""
     ship(spark)
-    spark.dataSource.register(snapshot_source(fetch, manifest, per_batch))
+    spark.dataSource.register(snapshot_source(fetch, manifest, per_batch, per_task))
     entries = len(read_manifest(manifest))
     for _ in range(-(-entries // per_batch) if batches is None else batches):
         stream = rows(spark.readStream.format("snapshots").load())
