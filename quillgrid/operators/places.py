@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.text import tag_region
 from ..session import settle
+from .gazetteer import longest_name
 from .joins import contained, first_part, nearest
 
 
@@ -60,3 +61,17 @@ def fill_places(df: DataFrame, text: Column, lat: str = "lat", lng: str = "lng")
     p = geo.place_of(text)
     missing = F.col(lat).isNull() | F.col(lng).isNull()
     return df.withColumn("__p", p).withColumns({lat: F.when(missing, F.col("__p.lat")).otherwise(F.col(lat)), lng: F.when(missing, F.col("__p.lng")).otherwise(F.col(lng))}).drop("__p")
+
+
+def street_points(df: DataFrame, streets: DataFrame, row: str, text: str, step: float = 0.0016) -> DataFrame:
+    """df with street, lat and lng of the longest street name in text (longest_name); "N00 block" moves the point west, a step
+    for each hundred. streets: (name, lat, lng), a table of any size; of a repeated name, in any case, the least point.
+
+    row must be unique. Rows without a street have null in all three; columns of df of these names are replaced.
+    """
+    points = streets.select(F.lower(F.trim("name")).alias("street"), F.struct("lat", "lng").alias("__p")).groupBy("street").agg(F.min("__p").alias("__p"))
+    named = longest_name(df, streets, row, text).withColumnRenamed("name", "street").join(points, "street").select(F.col(row).alias("__row"), "street", "__p")
+    block = F.regexp_extract(F.lower(F.col(text)), r"(\d{1,4})\s+block", 1).try_cast("double")
+    kept = df.drop("street", "lat", "lng").withColumn("__moved", F.coalesce(block / 100 * step, F.lit(0.0)))
+    joined = kept.join(named, F.col(row) == F.col("__row"), "left")
+    return joined.select(*kept.drop("__moved").columns, "street", F.col("__p.lat").alias("lat"), (F.col("__p.lng") - F.col("__moved")).alias("lng"))

@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.functions import extract, markup
-from quillgrid.operators import gazetteer, merge
+from quillgrid.operators import gazetteer, merge, places
 from quillgrid.sources import pages, verticals
 
 from .test_whole_tables import held_to_sql
 
 
-@pytest.mark.parametrize("name", ["gazetteer_entities", "vehicles_and_people", "either_key_first", "closed_markup", "feed_recovery"])
+@pytest.mark.parametrize("name", ["gazetteer_entities", "vehicles_and_people", "either_key_first", "closed_markup", "feed_recovery", "street_grid"])
 def test_held_to_sql(spark, name):
     assert held_to_sql(spark, name)
 
@@ -51,6 +51,33 @@ def test_gazetteer(spark):
     assert gazetteer.gazetteer_matches(df, none).count() == 0
 
 
+def slow_street(text, streets):
+    """The rule read off: names from the longest on, as words of the text; a block moves the point."""
+    import re
+
+    low = (text or "").lower()
+    for name in sorted({n.strip().lower() for n, _, _ in streets if n}, key=lambda n: (-len(n), n)):
+        if re.search(r"\b" + re.escape(name) + r"\b", low):
+            lat, lng = min((a, b) for n, a, b in streets if n and n.strip().lower() == name)
+            block = re.search(r"(\d{1,4})\s+block", low)
+            return name, lat, round(lng - (int(block[1]) / 100 * 0.0016 if block else 0), 6)
+    return None, None, None
+
+
+def test_street_grid(spark):
+    rng = random.Random(8)
+    streets = [("Northern Lights", 61.1, -149.9), ("northern lights Blvd", 61.2, -149.8), ("e/r", 61.3, -149.5), ("E 5th Ave", 61.4, -149.7), ("e 5th ave", 61.3, -149.9), (None, 1.0, 1.0), ("c", 61.5, -149.6), ("a b", 61.6, -149.5), ("b-a", 61.7, -149.4), ("a_b c", 61.8, -149.3), ("a  b", 61.9, -149.2)]
+    texts = ["700 block of E 5TH AVE", "Northern  Lights", "at northern lights blvd.", "northern lights blvds 12345 block", "an e/r, not e r", "e r", None, "", "…", "abc c-3", "x" * 40_000, "a b " * 2000]
+    texts += ["".join(rng.choice(["a", "b", "c", " ", " ", "-", "_"]) for _ in range(40)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("lat", F.lit("clash"))
+    grid = spark.createDataFrame(streets, "name string, lat double, lng double")
+    got = {r.id: (r.street, r.lat, r.lng if r.lng is None else round(r.lng, 6)) for r in places.street_points(df, grid, "id", "text").collect()}
+    assert got == {i: slow_street(t, streets) for i, t in enumerate(texts)}
+    empty = places.street_points(df, grid.limit(0), "id", "text")
+    assert empty.count() == len(texts) and empty.filter("street IS NOT NULL").count() == 0
+    assert places.street_points(df.limit(0), grid, "id", "text").count() == 0
+
+
 def test_people_vehicles_height(spark):
     text = "Trooper John Q. Smith met Mr. Abe Lincoln and suspect Jo; the Ford F-150 truck hit a red Yamaha snowmachine, SUV suv SUV. Victim Mary Jones. Height: 5'11\""
     row = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(extract.people(F.col("t"), F.array(F.lit("Mary Jones"))).alias("p"), extract.vehicles(F.col("t")).alias("v"), extract.height(F.col("t")).alias("h")).collect()
