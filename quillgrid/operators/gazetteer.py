@@ -27,12 +27,12 @@ def trie(gazetteer: DataFrame, name: str = "name", label: str = "label", most: i
     return steps.groupBy("depth", node.alias("node")).agg(F.array_sort(F.collect_set(ends)).alias("labels")).withColumn("labels", F.when(F.size("labels") > 0, F.array_join("labels", ",")))
 
 
-def _levels(at: DataFrame, nodes: DataFrame, depth: int) -> DataFrame | None:
+def _levels(at: DataFrame, nodes: DataFrame, depth: int, between: str) -> DataFrame | None:
     """(__r, place, words, name, labels) of the names that begin at the places of at (__r, place, node, rest), where rest are the
-    next words, each with what stands before it. Each level is written, and holds only places that a name still fits."""
+    next words, to be added to a node with between before each. Each level is written, and holds only places that a name still fits."""
     open_, found = None, []
     for k in range(1, depth + 1):
-        going = at if k == 1 else open_.filter(F.size("rest") >= k - 1).withColumn("node", F.concat("node", F.element_at("rest", k - 1)))
+        going = at if k == 1 else open_.filter(F.size("rest") >= k - 1).withColumn("node", F.concat("node", F.lit(between), F.element_at("rest", k - 1)))
         level = settle(going.join(nodes.filter(F.col("depth") == k).select("node", "labels"), "node"), f"level{k}")
         found.append(level.filter("labels IS NOT NULL").select("__r", "place", F.lit(k).alias("words"), F.col("node").alias("name"), "labels"))
         open_ = level.drop("labels")
@@ -51,8 +51,8 @@ def gazetteer_matches(df: DataFrame, gazetteer: DataFrame, row: str = "id", text
     depth = nodes.agg(F.max("depth")).first()[0] or 0
     w = F.col("__w")
     tokens = df.select(F.col(row).alias("__r"), words_of(F.col(text)).alias("__w")).select("__r", "__w", F.posexplode("__w").alias("place", "node"))
-    rest = F.transform(F.slice(w, F.col("place") + 2, F.lit(max(depth - 1, 0))), lambda x: F.concat(F.lit(" "), x))
-    found = _levels(tokens.select("__r", "place", "node", rest.alias("rest")), nodes, depth)
+    rest = F.slice(w, F.col("place") + 2, F.lit(max(depth - 1, 0)))
+    found = _levels(tokens.select("__r", "place", "node", rest.alias("rest")), nodes, depth, " ")
     if found is None:
         return df.select(F.col(row), F.lit(0).alias("place"), F.lit(0).alias("words"), F.lit("").alias("name"), F.lit("").alias("labels")).limit(0)
     longest = found.groupBy("__r", "place").agg(F.max_by(F.struct("words", "name", "labels"), "words").alias("m")).select("__r", F.struct("place", "m.words", "m.name", "m.labels").alias("m"))
@@ -91,7 +91,7 @@ def longest_name(df: DataFrame, catalog: DataFrame, row: str, text: str, name: s
     depth = nodes.agg(F.max("depth")).first()[0] or 0
     tokens = df.select(F.col(row).alias("__r"), _bound(F.col(text)).alias("__w")).select("__r", "__w", F.posexplode("__w").alias("place", "node"))
     rest = F.slice("__w", F.col("place") + 2, F.lit(max(depth - 1, 0)))
-    found = _levels(tokens.select("__r", "place", F.regexp_replace("node", _BEFORE, "").alias("node"), rest.alias("rest")), nodes, depth)
+    found = _levels(tokens.select("__r", "place", F.regexp_replace("node", _BEFORE, "").alias("node"), rest.alias("rest")), nodes, depth, "")
     if found is None:
         return df.select(F.col(row), F.lit("").alias("name")).limit(0)
     best = found.groupBy("__r").agg(F.min(F.struct((-F.length("name")).alias("n"), "name")).alias("b"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import xml_escape
+from ..session import settle
 from ..sources import discovery
 from .frames import table
 from .queries import query
@@ -80,7 +81,7 @@ candidates AS (SELECT base, 'sitemap' AS stage, 1 AS s, path, url FROM maps WHER
 first AS (SELECT c.base, stage, c.url, items, latency AS latency_ms FROM candidates c JOIN feeds f ON f.url = c.url QUALIFY row_number() OVER (PARTITION BY c.base ORDER BY s, path) = 1)
 SELECT base, stage, url, items, latency_ms FROM p LEFT JOIN first USING (base)""")
 def discovered_feeds(spark, d):
-    answers = web(spark, d)
+    answers = settle(web(spark, d), "web")
     sites = table(spark, d, "pages").select(F.concat(F.lit("https://s"), "page_id", F.lit(".example.org")).alias("base"))
     return discovery.discover(sites, discovery.answered_by(answers)).feeds.select("base", "stage", "url", "items", "latency_ms")
 
