@@ -89,11 +89,41 @@ def truncate_text(spark, d):
     return documents(spark, d).select("seq", text.truncate(s, 300, 297).alias("a"), text.truncate(s, 150).alias("b"), text.truncate(s, 400, always=True).alias("c"))
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'Anchorage' WHEN s_suppkey % 5 = 1 THEN 'Unknown' ELSE upper(substring(s_name,1,1))||lower(substring(s_name,2)) END AS place FROM supplier""")
+_PLAIN = "regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')"
+
+
+def _plain_documents(spark, d):
+    """doc_id and the whole text, characters beyond ASCII as x, so that both sides agree on words and cases."""
+    return table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^\\x00-\\x7F]", "x").alias("t"))
+
+
+def _points_sql(points) -> str:
+    return ", ".join(f"({i}, '{n}', {p[0]!r}::DOUBLE)" for i, (n, p) in enumerate(points))
+
+
+def _nth(values, k):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (k + 1).cast("int"))
+
+
+def _nth_sql(values, k: str) -> str:
+    return "([" + ", ".join(f"'{v}'" for v in values) + f"])[({k} + 1)::INT]"
+
+
+def _agency_sql(c: str) -> str:
+    for part in C.AGENCY_NOISE:
+        c = f"replace({c}, '{part}', '')"
+    return c
+
+
+@query(f"""SELECT doc_id, md5(CASE WHEN a = '' THEN '{C.AGENCY_UNKNOWN}' WHEN {" OR ".join(f"contains(u, '{w}')" for w in C.AGENCY_CITY_WORDS)} THEN '{C.AGENCY_CITY}' WHEN trim(u) = '' THEN '{C.AGENCY_UNKNOWN}'
+  ELSE array_to_string(list_transform(string_split(lower(trim(u)), ' '), lambda w: upper(w[1])||w[2:]), ' ') END) AS place FROM (
+  SELECT doc_id, a, {_agency_sql("upper(a)")} AS u FROM (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 11 = 1 THEN 'AST dps' ELSE regexp_replace({_PLAIN}, '[^A-Za-z]+', ' ', 'g')||{_nth_sql(["", " Borough", " police department", " AST Enforcement"], "doc_id % 4")} END AS a FROM documents))""")
 def clean_agency(spark, d):
-    k = F.col("s_suppkey") % 5
-    name = F.when(k == 0, F.concat(F.lit("anch "), "s_name")).when(k == 1, "AST dps").otherwise(F.concat("s_name", F.lit(" Borough")))
-    return table(spark, d, "supplier").select("s_suppkey", text.clean_agency(name).alias("place"))
+    """Whole texts as names, with parts that are cut out; a text may have them within its words."""
+    k = F.col("doc_id")
+    name = F.concat(F.regexp_replace("t", "[^A-Za-z]+", " "), _nth(["", " Borough", " police department", " AST Enforcement"], k % 4))
+    name = F.when(k % 11 == 0, "").when(k % 11 == 1, "AST dps").otherwise(name)
+    return _plain_documents(spark, d).select("doc_id", F.md5(text.clean_agency(name).cast("binary")).alias("place"))
 
 
 @query("""SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, 'https://'||regexp_extract(url, '^https?://([^/:?#]+)', 1)||'/favicon.ico' AS icon,
@@ -250,11 +280,13 @@ def url_category(spark, d):
 _NOTE = ["the committee met", "signed by the governor", "read the first time", "sonar count today", "closed until May", "opener for king salmon", "amended", ""]
 
 
-@query(f"""SELECT event_id, {_cases("n", C.FISHERIES_TYPES, "update")} AS fish, {_cases("n", C.LEGISLATIVE_ACTIONS, "general")} AS act FROM (
-  SELECT event_id, CASE event_id % 8 {" ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_NOTE))} END AS n FROM events)""")
+@query(f"""SELECT doc_id, {_cases("n", C.FISHERIES_TYPES, "update")} AS fish, {_cases("n", C.LEGISLATIVE_ACTIONS, "general")} AS act FROM (
+  SELECT doc_id, lower({_PLAIN})||' '||{_nth_sql(_NOTE, "doc_id % 8")}||' '||{_nth_sql(_NOTE, "(doc_id // 8) % 8")} AS n FROM documents)""")
 def notice_types(spark, d):
-    n = F.get(F.array(*[F.lit(x) for x in _NOTE]), (F.col("event_id") % 8).cast("int"))
-    return table(spark, d, "events").select("event_id", n.alias("n")).select("event_id", filters.fisheries_type(F.col("n")).alias("fish"), filters.legislative_action(F.col("n")).alias("act"))
+    """Whole texts, each with two notes behind it: the first rule with a word anywhere wins."""
+    k = F.col("doc_id")
+    n = F.concat_ws(" ", F.lower("t"), _nth(_NOTE, k % 8), _nth(_NOTE, F.floor(k / 8) % 8))
+    return _plain_documents(spark, d).select("doc_id", n.alias("n")).select("doc_id", filters.fisheries_type(F.col("n")).alias("fish"), filters.legislative_action(F.col("n")).alias("act"))
 
 
 _SEVERITY, _COLOR, _ROAD = ["Extreme", "Severe", "Moderate", "Minor", "Unknown", "Odd"], ["RED", "ORANGE", "YELLOW", "GREEN", "NONE"], ["closures", "roadwork", "incident", "other"]
@@ -293,11 +325,16 @@ def dispatch_entities(spark, d):
     )
 
 
-@query("""SELECT c_custkey, c_name AS location, 'Theft '||c_nationkey AS type, 'Body '||c_custkey AS body, 'X'||c_custkey AS officer FROM customer""")
+@query(f"""SELECT doc_id, trim(location, ' ') AS location, trim(type, ' ') AS type, md5(trim(regexp_replace(body, '[\\s\\x0B]+', ' ', 'g'), ' ')) AS body, regexp_extract(posted, '(?i)by\\s+DPS\\\\+(.+?)$', 1) AS officer FROM (
+  SELECT doc_id, regexp_extract(b, '(?i)Location[:\\s]+([^\\n]+)', 1) AS location, regexp_extract(b, '(?i)Type[:\\s]+([^\\n]+)', 1) AS type, nullif(regexp_extract(b, '(?i)Dispatch Text[:\\s]+([\\s\\S]+?)(?:Posted on|$)', 1), '') AS body, regexp_extract(b, '(?i)Posted on ([^\\n]+)', 1) AS posted
+  FROM (SELECT doc_id, 'Location: '||source||', '||lang||chr(10)||'Type:  '||md5(text)||' '||chr(10)||'Dispatch Text: '||{_PLAIN}||' Posted on 1/2/2021 3:04:05 PM by DPS\\X'||doc_id AS b FROM documents))""")
 def dispatch_fields(spark, d):
-    block = F.concat(F.lit("Location: "), "c_name", F.lit("\nType: Theft "), F.col("c_nationkey"), F.lit("\nDispatch Text: Body  \n "), F.col("c_custkey"), F.lit(" Posted on 1/2/2021 3:04:05 PM by DPS\\\\X"), F.col("c_custkey"))
-    f = X.dispatch_fields(block)
-    return table(spark, d, "customer").select("c_custkey", f["location"].alias("location"), f["type"].alias("type"), f["text"].alias("body"), f["officer"].alias("officer"))
+    """Blocks whose text is a whole document."""
+    t = F.regexp_replace("text", "[^\\x00-\\x7F]", "x")
+    block = F.concat(F.lit("Location: "), "source", F.lit(", "), "lang", F.lit("\nType:  "), F.md5(F.col("text").cast("binary")), F.lit(" \nDispatch Text: "), t, F.lit(" Posted on 1/2/2021 3:04:05 PM by DPS\\X"), "doc_id")
+    rows = table(spark, d, "documents").select("doc_id", block.alias("b"))
+    f = X.dispatch_fields(F.col("b"))
+    return rows.select("doc_id", f["location"].alias("location"), f["type"].alias("type"), F.md5(f["text"].cast("binary")).alias("body"), f["officer"].alias("officer"))
 
 
 # ---- merges
@@ -576,13 +613,30 @@ def cluster_signals(spark, d):
 # ---- geography
 
 
-@query(f"""SELECT c_custkey, CASE c_custkey % 5 {" ".join(f"WHEN {i} THEN {p[0]!r}::DOUBLE" for i, p in enumerate([C.PLACES["north pole"], C.PLACES["delta junction"], C.PLACES["delta"]]))} END AS lat,
-  CASE c_custkey % 3 WHEN 0 THEN 'george parks highway' WHEN 1 THEN 'old highway' ELSE 'richardson highway' END AS road, {C.REGION_CENTERS["Interior"][0]!r}::DOUBLE AS center FROM customer""")
+def _named_places(k, names):
+    """Two names, or none, behind a text; every fifth last one isn't a word of its own."""
+    name = lambda n: F.when(n < len(names), F.initcap(_nth(names, F.least(n, F.lit(len(names) - 1))))).otherwise("")
+    return F.concat(F.lit(" "), name((k * 7) % 97), F.lit(", "), name((k * 11) % 89), F.when(k % 5 == 0, "s").otherwise(""))
+
+
+def _named_sql(names) -> str:
+    return f"' '||coalesce({_nth_sql(names, '(doc_id * 7) % 97')}, '')||', '||coalesce({_nth_sql(names, '(doc_id * 11) % 89')}, '')||CASE WHEN doc_id % 5 = 0 THEN 's' ELSE '' END"
+
+
+_ROADS = [f"{a}{end}" for a in C.HIGHWAY_ALIASES for end in ("", " Hwy", " road")] + ["old hwy", "nowhere"]
+
+
+@query(f"""WITH places(o, name, lat) AS (VALUES {_points_sql(C.PLACES.items())}), aliases(o, name, road) AS (VALUES {", ".join(f"({i}, '{a}', '{r}')" for i, (a, r) in enumerate(C.HIGHWAY_ALIASES.items()))}),
+centers(region, lat) AS (VALUES {", ".join(f"('{r}', {p[0]!r}::DOUBLE)" for r, p in C.REGION_CENTERS.items())}),
+docs AS (SELECT doc_id, lower({_PLAIN}||{_named_sql(C.PLACES)}) AS t, lower({_nth_sql(_ROADS, f"doc_id % {len(_ROADS)}")}) AS h, {_nth_sql([*C.REGION_CENTERS, "Elsewhere"], f"doc_id % {len(C.REGION_CENTERS) + 1}")} AS region FROM documents),
+met AS (SELECT doc_id, arg_max(lat, length(name) * 1000 - o) AS lat FROM docs JOIN places ON contains(t, name) AND regexp_matches(t, '\\b'||regexp_escape(name)||'\\b') GROUP BY doc_id),
+roads AS (SELECT doc_id, arg_min(road, CASE WHEN h = name THEN -1 ELSE o END) AS road FROM docs JOIN aliases ON contains(h, name) GROUP BY doc_id)
+SELECT doc_id, met.lat AS lat, coalesce(road, replace(h, ' hwy', ' highway')) AS road, centers.lat AS center FROM docs LEFT JOIN met USING (doc_id) LEFT JOIN roads USING (doc_id) LEFT JOIN centers USING (region)""")
 def place_lookup(spark, d):
-    k = F.col("c_custkey")
-    t = F.when(k % 5 == 0, "near North Pole").when(k % 5 == 1, "at Delta Junction, today").when(k % 5 == 2, "the delta").otherwise("deltas everywhere")
-    road = F.when(k % 3 == 0, "Parks Hwy").when(k % 3 == 1, "Old Hwy").otherwise("Richardson Highway")
-    return table(spark, d, "customer").select("c_custkey", geo.place_of(t)["lat"].alias("lat"), geo.highway_name(road).alias("road"), geo.region_center(F.lit("Interior"))["lat"].alias("center"))
+    """The longest place of the catalog in whole texts, the highways of all aliases, the centers of all regions."""
+    k, regions = F.col("doc_id"), [*C.REGION_CENTERS, "Elsewhere"]
+    rows = _plain_documents(spark, d).select("doc_id", F.concat("t", _named_places(k, list(C.PLACES))).alias("t"))
+    return rows.select("doc_id", geo.place_of(F.col("t"))["lat"].alias("lat"), geo.highway_name(_nth(_ROADS, k % len(_ROADS))).alias("road"), geo.region_center(_nth(regions, k % len(regions)))["lat"].alias("center"))
 
 
 # ---- windows of time and state
@@ -638,9 +692,12 @@ def url_blocks(spark, d):
     return documents(spark, d).select("seq", F.md5(b.cast("binary")).alias("block"))
 
 
-@query("""SELECT '/archive/'||y||'/'||lpad(m::VARCHAR,2,'0') AS path, CASE WHEN 2026-y <= 0 THEN '0.8' WHEN 2026-y <= 2 THEN '0.6' ELSE '0.4' END AS priority FROM range(2010,2031) t(y), range(1,13) u(m) UNION ALL SELECT '/', '1.0' UNION ALL SELECT '/map', '0.9'""")
+@query("""WITH years AS (SELECT year(min(o_orderdate)) AS a, year(max(o_orderdate)) AS b FROM orders), y AS (SELECT unnest(range(a, b + 1)) AS y, b FROM years), m AS (SELECT unnest(range(1, 13)) AS m)
+SELECT '/archive/'||y||'/'||lpad(m::VARCHAR,2,'0') AS path, CASE WHEN b-y <= 0 THEN '0.8' WHEN b-y <= 2 THEN '0.6' ELSE '0.4' END AS priority FROM y, m UNION ALL SELECT '/', '1.0' UNION ALL SELECT '/map', '0.9'""")
 def static_sitemap(spark, d):
-    return publish.static_sitemap(spark, [("/", "1.0"), ("/map", "0.9")], 2010, 2030, 2026)
+    """The months of the years that the orders cover."""
+    first, last = table(spark, d, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return publish.static_sitemap(spark, [("/", "1.0"), ("/map", "0.9")], first, last, last)
 
 
 @query(f"""SELECT key, count(*) AS n, md5(string_agg('{{"seq":'||seq||',"sector":"'||sector||'"}}', chr(10) ORDER BY seq)) AS lines FROM (SELECT strftime(ts, '%Y/%m/%d')||'.jsonl' AS key, seq, sector FROM {EVENTS}) GROUP BY key""")
@@ -874,25 +931,29 @@ def adapted_producers(spark, d):
     return union([adapt(a, "a"), adapt(b, "b")]).select("hash", "link", F.md5(F.col("summary").cast("binary")).alias("summary"), F.col("ts_has_offset").alias("ts_has"))
 
 
-@query("""SELECT s_suppkey AS code, CASE WHEN s_suppkey % 4 = 0 THEN 'delayed' WHEN s_suppkey % 4 = 1 THEN 'unknown' ELSE 'normal' END AS status FROM supplier""")
+@query("""SELECT s_suppkey AS code, CASE WHEN s_nationkey % 5 = 4 THEN 'normal' WHEN s_acctbal > 7000 THEN 'unknown' WHEN s_nationkey % 3 > 0 AND s_acctbal < 2000 THEN 'delayed' ELSE 'normal' END AS status FROM supplier""")
 def airport_status(spark, d):
+    """Answers for four fifths of the nations; a third of them with an error's status."""
     from ..sources.signals import airport_status as status
 
-    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("code"))
-    k = F.col("code") % 4
-    answers = s.filter(k < 3).select("code", F.when(k == 0, 200).when(k == 2, 500).alias("http"), F.lit(True).alias("delay"), (k == 1).alias("failed"))
-    return status(s, answers).select("code", "status")
+    s = table(spark, d, "supplier").withColumnRenamed("s_suppkey", "code")
+    answers = s.filter("s_nationkey % 5 <> 4").select("code", F.when(F.col("s_nationkey") % 3 > 0, 200).otherwise(500).alias("http"), (F.col("s_acctbal") < 2000).alias("delay"), (F.col("s_acctbal") > 7000).alias("failed"))
+    return status(s.select("code"), answers).select("code", "status")
 
 
-@query(f"""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN {C.PLACES["palmer"][0]!r} WHEN 1 THEN {dict(C.AGENCY_PLACES)["KENAI"][0]!r} WHEN 2 THEN 5.0 ELSE -1.0 END::DOUBLE AS lat FROM customer""")
+@query(f"""WITH places(o, name, lat) AS (VALUES {_points_sql(C.PLACES.items())}), agencies(o, name, lat) AS (VALUES {_points_sql(C.AGENCY_PLACES)}),
+docs AS (SELECT doc_id, {_PLAIN}||{_named_sql([n.lower() for n, _ in C.AGENCY_PLACES])} AS t FROM documents),
+met AS (SELECT doc_id, arg_max(lat, length(name) * 1000 - o) AS lat FROM docs JOIN places ON contains(lower(t), name) AND regexp_matches(lower(t), '\\b'||regexp_escape(name)||'\\b') GROUP BY doc_id),
+named AS (SELECT doc_id, arg_min(lat, o) AS agency FROM docs JOIN agencies ON contains(upper(t), name) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN doc_id % 4 = 2 THEN 5.0 ELSE lat END AS lat, agency FROM docs LEFT JOIN met USING (doc_id) LEFT JOIN named USING (doc_id)""")
 def agency_points(spark, d):
+    """Places of whole texts where a row has none, and the first agency place in them."""
     from ..operators.places import fill_places
 
-    k = F.col("c_custkey") % 4
-    name = F.when(k == 0, "Palmer PD").when(k == 1, "Kenai Police").when(k == 2, "Nome PD").otherwise("FBI")
-    df = table(spark, d, "customer").select("c_custkey", name.alias("n"), F.when(k == 2, 5.0).alias("lat"), F.when(k == 2, 6.0).alias("lng"))
-    filled = fill_places(df, F.col("n")).withColumn("p", geo.agency_point(F.col("n")))
-    return filled.select("c_custkey", F.coalesce(F.when(k == 1, F.col("p.lat")), F.col("lat"), F.lit(-1.0)).alias("lat"))
+    k = F.col("doc_id")
+    df = _plain_documents(spark, d).select("doc_id", F.concat("t", _named_places(k, [n.lower() for n, _ in C.AGENCY_PLACES])).alias("n"))
+    df = df.withColumns({"lat": F.when(k % 4 == 2, 5.0), "lng": F.when(k % 4 == 2, 6.0)})
+    return fill_places(df, F.col("n")).select("doc_id", "lat", geo.agency_point(F.col("n"))["lat"].alias("agency"))
 
 
 @query("""SELECT count(*) AS airports, count(*) FILTER (WHERE s_acctbal < 0) AS delayed FROM supplier""")
@@ -925,10 +986,25 @@ def severity_counts(spark, d):
     return aggregates.histogram(alerts(_features(e, F.struct(p.alias("properties")), F.floor(k / 200))), "severity")
 
 
-@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'M' ELSE 'N' END AS title, CASE page_id % 3 WHEN 0 THEN 'cell' WHEN 1 THEN 'body' ELSE 'text' END AS body FROM pages""")
+def _picked(pattern: str) -> str:
+    return f"""nullif({_clean_sql(f"regexp_extract(h, '{pattern}', 1)")}, '')"""
+
+
+_OG = "CASE WHEN page_id % 3 = 0 THEN '<meta property=\"og:title\" content=\"'||replace(title, '\"', '')||'\">' ELSE '' END"
+_LD = "CASE WHEN page_id % 5 < 2 THEN '<script type=\"application/ld+json\">'||to_json({'headline': 'new '||title, 'description': url})||'</script>' ELSE '' END"
+
+
+@query(f"""SELECT page_id, title, md5(body) AS body FROM (SELECT page_id, CASE WHEN y < 2010 THEN coalesce(t0, t2, t1) WHEN y < 2020 THEN coalesce(t1, t2, t0) ELSE coalesce(t2, t1, t0) END AS title, CASE WHEN y < 2010 THEN coalesce(b0, b2, b1) WHEN y < 2020 THEN coalesce(b1, b2, b0) ELSE coalesce(b2, b1, b0) END AS body
+FROM (SELECT page_id, y, {_picked("(?is)<(?:h1|h2|b)(?:\\s[^>]*)?>(.*?)</(?:h1|h2|b)>")} AS t0, {_picked("(?is)<(?:td|div)(?:\\s[^>]*)?>(.*?)</(?:td|div)>")} AS b0, {_picked('(?is)<meta[^>]+property="og:title"[^>]+content="([^"]*)"')} AS t1, {_picked("(?is)<article[^>]*>(.*?)</article>")} AS b1,
+  CASE WHEN ld <> '' THEN json_extract_string(ld, '$.headline') END AS t2, CASE WHEN ld <> '' THEN json_extract_string(ld, '$.description') END AS b2
+  FROM (SELECT page_id, y, h, regexp_extract(h, '(?is)<script[^>]+application/ld\\+json[^>]*>(.*?)</script>', 1) AS ld FROM (SELECT page_id, 1999 + page_id % 26 AS y, {_OG}||{_LD}||html AS h FROM (SELECT *, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)))))""")
 def era_articles(spark, d):
+    """The pages as they are, some with meta and linked data before them, of all three eras."""
     from ..sources.pages import article_of
 
-    html = F.lit('<h1>H</h1><td>cell</td><meta property="og:title" content="M"><article>body</article><script type="application/ld+json">{"headline":"N","articleBody":"text"}</script>')
-    year = F.when(F.col("page_id") % 3 == 0, 2001).when(F.col("page_id") % 3 == 1, 2015).otherwise(2023)
-    return table(spark, d, "pages").select("page_id", article_of(html, year).alias("a")).select("page_id", "a.title", "a.body")
+    k, title = F.col("page_id"), F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    og = F.when(k % 3 == 0, F.concat(F.lit('<meta property="og:title" content="'), F.replace(title, F.lit('"'), F.lit("")), F.lit('">'))).otherwise("")
+    data = F.to_json(F.struct(F.concat(F.lit("new "), title).alias("headline"), F.col("url").alias("description")))
+    ld = F.when(k % 5 < 2, F.concat(F.lit('<script type="application/ld+json">'), data, F.lit("</script>"))).otherwise("")
+    found = table(spark, d, "pages").select("page_id", F.concat(og, ld, "html").alias("h")).select("page_id", article_of(F.col("h"), 1999 + k % 26).alias("a"))
+    return found.select("page_id", F.col("a.title").alias("title"), F.md5(F.col("a.body").cast("binary")).alias("body"))

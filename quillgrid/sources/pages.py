@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as X
 from ..functions.markup import field_of
+from ..functions.rules import contains_any
 from ..functions.text import clean_agency, clean_text, decode_bytes, heal_xml, join_parts
 from ..functions.times import compact_time, posted_time
 from ..functions.urls import article_links, page_links, without_protocol
@@ -162,7 +163,7 @@ def article_of(html: Column, year: Column) -> Column:
     """struct<title, body> by the layout of the page's time: heading and cells, then meta and article, then linked data."""
     pick = lambda p: F.nullif(clean_text(F.regexp_extract(html, p, 1)), F.lit(""))
     row = lambda t, b: F.struct(t.alias("title"), b.alias("body"))
-    old = row(pick(r"(?is)<(?:h1|h2|b)[^>]*>(.*?)</(?:h1|h2|b)>"), pick(r"(?is)<(?:td|div)[^>]*>(.*?)</(?:td|div)>"))
+    old = row(pick(r"(?is)<(?:h1|h2|b)(?:\s[^>]*)?>(.*?)</(?:h1|h2|b)>"), pick(r"(?is)<(?:td|div)(?:\s[^>]*)?>(.*?)</(?:td|div)>"))
     middle = row(pick(r'(?is)<meta[^>]+property="og:title"[^>]+content="([^"]*)"'), pick(r"(?is)<article[^>]*>(.*?)</article>"))
     data = F.regexp_extract(html, r'(?is)<script[^>]+application/ld\+json[^>]*>(.*?)</script>', 1)
     new = row(F.get_json_object(data, "$.headline"), F.coalesce(F.get_json_object(data, "$.articleBody"), F.get_json_object(data, "$.description")))
@@ -212,6 +213,4 @@ def grant_deadline(cells: Column) -> Column:
 
 def frame_flag(ocr: Column, brightness: Column, words: Sequence[str]) -> Column:
     """Whether a video frame is dark or shows one of words."""
-    from ..functions.rules import contains_any
-
     return (brightness < 10) | contains_any(F.lower(ocr), words)

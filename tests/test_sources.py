@@ -129,7 +129,7 @@ def test_dispatch_and_archives(spark):
     assert pages.legacy_blocks(docs(spark, f"{block}\n\nshort\n\n{block}")).count() == 1
     m = [["timestamp", "original"], ["20200102030405", "http://www.x.com/a/"], ["20210102030405", "https://x.com/a"]]
     assert [str(r.ts) for r in pages.archive_manifest(docs(spark, m)).collect()] == ["2020-01-02 03:04:05"]
-    h = '<h1>Old</h1><td>cell</td><meta property="og:title" content="Mid"><article>body</article><script type="application/ld+json">{"headline":"New","description":"d"}</script>'
+    h = '<body class="x"><br><base href="y"><h1>Old</h1><td>cell</td><meta property="og:title" content="Mid"><article>body</article><script type="application/ld+json">{"headline":"New","description":"d"}</script>'
     row = docs(spark, h).select(*[pages.article_of(F.col("value"), F.lit(y)).alias(f"y{y}") for y in (2005, 2015, 2022)]).first()
     assert [(x.title, x.body) for x in row] == [("Old", "cell"), ("Mid", "body"), ("New", "d")]
 
