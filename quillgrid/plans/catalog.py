@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import finds, producers, sites, tables  # noqa: F401  they register their queries
+from . import finds, producers, registers, sites, tables  # noqa: F401  they register their queries
 from . import queries as q
 
 

@@ -13,7 +13,7 @@ from ..functions.rules import contains_any
 from ..functions.text import clean_agency, clean_text, decode_bytes, heal_xml, join_parts
 from ..functions.times import compact_time, posted_time
 from ..functions.urls import article_links, page_links, without_protocol
-from ..operators.merge import keep_first
+from ..operators.merge import keep_first, keep_last
 from ..operators.ranking import pages as number_pages
 
 _MEDIA = "`media:thumbnail`:array<struct<_url:string>>,`media:content`:array<struct<_url:string,_medium:string,_type:string>>"
@@ -172,14 +172,15 @@ def article_of(html: Column, year: Column) -> Column:
 
 
 def _trimmed(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV's columns without padding, and seq, the order of rows over files and their blocks, however these are read."""
     df = spark.read.option("header", True).csv(path)
-    return df.select(*[F.trim(F.col(f"`{c}`")).alias(c.strip()) for c in df.columns])
+    seq = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    return df.select(*[F.trim(F.col(f"`{c}`")).alias(c.strip()) for c in df.columns], seq.alias("seq"))
 
 
 def missing_persons(spark: SparkSession, path: str) -> DataFrame:
     """Cases of a register with padded headers; rows need a name and a case number, the first of each number stays."""
-    raw = _trimmed(spark, path).withColumn("seq", F.monotonically_increasing_id())
-    df = raw.filter((F.coalesce("Last Name", F.lit("")) != "") & (F.coalesce("Case Number", F.lit("")) != ""))
+    df = _trimmed(spark, path).filter((F.coalesce("Last Name", F.lit("")) != "") & (F.coalesce("Case Number", F.lit("")) != ""))
     first = keep_first(df, ["Case Number"])
     return first.select(
         F.concat(F.lit("AK-DPS-"), "Case Number").alias("id"), F.initcap(F.concat_ws(" ", "First Name", "Last Name")).alias("name"), F.col("Sex").alias("sex"), clean_agency(F.col("Investigating Agency")).alias("location"),
@@ -189,7 +190,7 @@ def missing_persons(spark: SparkSession, path: str) -> DataFrame:
 
 def stolen_vehicles(spark: SparkSession, path: str, size: int = 10) -> DataFrame:
     """Vehicles or plates of a register, with their key, title, and page."""
-    df = _trimmed(spark, path).withColumn("seq", F.monotonically_increasing_id())
+    df = _trimmed(spark, path)
     c = lambda n: F.coalesce(F.col(n), F.lit(""))
     plate = (c("Vin") == "") & (c("License") != "")
     what = join_parts(" ", c("PropertyModelYear"), c("MakeModel"))
@@ -200,6 +201,21 @@ def stolen_vehicles(spark: SparkSession, path: str, size: int = 10) -> DataFrame
     return number_pages(rows, [F.col("seq")], size).drop("seq")
 
 
+def bulletins(df: DataFrame, html: str = "html", order: str = "page_id", base: str = "") -> DataFrame:
+    """(name, bulletin, image) of the media links with a picture in pages; of a repeated name, the last by order and place.
+
+    The name is the link's title, else its file without ".pdf", in lower case; base is put before both addresses. Links outside
+    /getmedia/ and those without a picture give none; null and empty pages neither.
+    """
+    attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1)
+    links = df.select(F.col(order).alias("__o"), F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r"(?is)<a\s[^>]*>.*?</a>"), 0)).alias("__p", "__a"))
+    parts = links.select(F.struct("__o", "__p").alias("__at"), F.regexp_extract("__a", "(?is)^<a[^>]*>", 0).alias("__t"), F.regexp_extract("__a", r"(?is)<img\s[^>]*>", 0).alias("__i"))
+    parts = parts.select("__at", F.trim(attribute(F.col("__t"), "title")).alias("__n"), attribute(F.col("__t"), "href").alias("__h"), "__i").filter(F.contains("__h", F.lit("/getmedia/")) & (F.col("__i") != ""))
+    name = F.coalesce(F.nullif("__n", F.lit("")), F.replace(F.element_at(F.split("__h", "/"), -1), F.lit(".pdf"), F.lit("")))
+    rows = parts.select("__at", F.lower(name).alias("name"), F.concat(F.lit(base), "__h").alias("bulletin"), F.concat(F.lit(base), attribute(F.col("__i"), "src")).alias("image"))
+    return keep_last(rows, ["name"], "__at").select("name", "bulletin", "image")
+
+
 def seasonal(as_of: Column) -> Column:
     """A synthetic notice by season; there is no data behind it."""
     m = F.month(as_of)
