@@ -117,18 +117,27 @@ def spill_register(spark, d):
     return got.select("number", "title", F.col("day").cast("string").alias("day"), "hash")
 
 
-@query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'adjourned' WHEN 1 THEN 'special' WHEN 2 THEN 'in_session' ELSE 'unknown' END AS session, ['winter','winter','spring','spring','spring','summer','summer','summer','autumn','autumn','autumn','winter'][(page_id % 12 + 1)::INT] AS season,
-  CASE WHEN page_id % 3 = 0 THEN page_id||'/1' WHEN page_id % 3 = 1 THEN 'due 2024' END AS deadline, page_id % 20 < 10 OR page_id % 7 = 0 AS flag, CASE WHEN page_id % 5 = 0 THEN 'error' WHEN page_id % 5 = 1 THEN 'missing' WHEN page_id % 5 = 2 THEN 'HTTP 500' WHEN page_id % 5 = 3 THEN 'empty' ELSE 'ok' END AS proxy,
-  CASE WHEN page_id % 5 IN (0, 1, 2) THEN 'error' WHEN page_id % 5 = 3 THEN 'warning' ELSE 'ok' END AS feed FROM pages""")
+_SAID = ["The House ADJOURNED its session", "a Special Session is called", "now in Session", "no news"]
+
+
+@query(f"""SELECT page_id, CASE WHEN contains(low, 'adjourned') OR contains(low, 'sine die') THEN 'adjourned' WHEN contains(low, 'special session') THEN 'special' WHEN contains(low, 'session') THEN 'in_session' ELSE 'unknown' END AS session,
+  CASE WHEN page_id % 12 + 1 IN (12, 1, 2) THEN 'winter' WHEN page_id % 12 + 1 <= 5 THEN 'spring' WHEN page_id % 12 + 1 <= 8 THEN 'summer' ELSE 'autumn' END AS season, list_filter(cells, lambda c: contains(c, '/') OR contains(c, '202'))[-1] AS deadline,
+  n % 20 < 10 OR contains(low, 'stand by') OR contains(low, 'news') AS flag, CASE WHEN n % 5 = 0 THEN 'error' WHEN n % 7 = 1 THEN 'missing' WHEN n % 7 = 2 THEN 'HTTP 500' WHEN size = 0 THEN 'empty' ELSE 'ok' END AS proxy,
+  CASE WHEN n % 5 = 0 OR n % 7 IN (1, 2) THEN 'error' WHEN size = 0 THEN 'warning' ELSE 'ok' END AS feed
+FROM (SELECT page_id, lower(html)||' '||lower((['{"', '".join(_SAID)}'])[page_id % 4 + 1]) AS low, length(html) AS n, len(regexp_extract_all(html, '<li>')) % 4 AS size,
+  list_concat(list_transform(regexp_extract_all(html, '<li><a href="/([^"]*)"', 1), lambda x, i: CASE WHEN (i + page_id) % 4 = 0 THEN x||'/'||i WHEN (i + page_id) % 9 = 0 THEN x||' 2024' ELSE x END), ['x']) AS cells FROM pages)""")
 def page_facts(spark, d):
-    k = F.col("page_id")
-    said = F.get(F.array(*map(F.lit, ["The House ADJOURNED its session", "a Special Session is called", "now in Session", "no news"])), (k % 4).cast("int"))
-    cells = F.when(k % 3 == 0, F.array(F.lit("2023"), F.concat(k, F.lit("/1")), F.lit("x"))).when(k % 3 == 1, F.array(F.lit("1/1"), F.lit("due 2024"))).otherwise(F.array(F.lit("none")))
+    """Rules over whole pages: what is said in them, the links as a row's cells, their size as brightness and answer."""
+    k, n = F.col("page_id"), F.length("html")
+    said = F.concat("html", F.lit(" "), F.element_at(F.array(*map(F.lit, _SAID)), (k % 4 + 1).cast("int")))
+    links = F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), 1)
+    cell = lambda x, i: F.when((i + 1 + k) % 4 == 0, F.concat(x, F.lit("/"), i + 1)).when((i + 1 + k) % 9 == 0, F.concat(x, F.lit(" 2024"))).otherwise(x)
+    cells = F.concat(F.transform(links, cell), F.array(F.lit("x")))
     month = F.make_timestamp(F.lit(2024), (k % 12 + 1).cast("int"), F.lit(15), F.lit(0), F.lit(0), F.lit(0))
-    http = F.when(k % 5 == 1, 404).when(k % 5 == 2, 500).otherwise(200)
-    error, size = F.when(k % 5 == 0, "timeout"), F.when(k % 5 == 4, F.length("html"))
+    http = F.when(n % 7 == 1, 404).when(n % 7 == 2, 500).otherwise(200)
+    error, size = F.when(n % 5 == 0, "timeout"), F.size(F.regexp_extract_all("html", F.lit("<li>"), 0)) % 4
     return table(spark, d, "pages").select(
-        "page_id", verticals.session_status(said).alias("session"), pages.seasonal(month).alias("season"), pages.grant_deadline(cells).alias("deadline"), pages.frame_flag(F.when(k % 7 == 0, "STAND BY").otherwise("live"), k % 20, ["stand by"]).alias("flag"),
+        "page_id", verticals.session_status(said).alias("session"), pages.seasonal(month).alias("season"), pages.grant_deadline(cells).alias("deadline"), pages.frame_flag(said, n % 20, ["stand by", "news"]).alias("flag"),
         pages.proxy_status(http, size, error).alias("proxy"), pages.feed_status(http, size, error).alias("feed"),
     )
 

@@ -725,28 +725,44 @@ def ingest_summary(spark, d):
 # ---- places, producers, the whole batch
 
 
-@query("""SELECT id, route, lat FROM (SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'parks highway' WHEN 1 THEN 'old road' END AS route, c_custkey % 200 AS m FROM customer)
-  LEFT JOIN (SELECT r, m2, (m2 / 10)::DOUBLE AS lat FROM (SELECT unnest(range(0, 200, 10)) AS m2), (SELECT unnest(['parks highway', 'old road']) AS r)) ON r = route AND abs(m2 - m) <= 2""")
+@query("""WITH routes AS (SELECT DISTINCT p_name AS route FROM part), posts AS (SELECT route, m AS post, m / 10.0::DOUBLE + length(route) AS lat FROM routes, (SELECT unnest(range(0, 200, 10)) AS m)),
+rows AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_name||' loop' WHEN 2 THEN string_split(p_name, ' ')[1] ELSE 'nowhere '||p_partkey END AS h, round_even(p_partkey % 200 + 0.5, 0) AS m FROM part),
+routed AS (SELECT id, coalesce(max(CASE WHEN h = route THEN route END), min(route)) AS route FROM rows JOIN routes ON contains(h, route) OR contains(route, h) GROUP BY id)
+SELECT id, routed.route AS route, lat FROM rows LEFT JOIN routed USING (id) LEFT JOIN posts ON posts.route = routed.route AND abs(post - m) <= 2""")
 def milepost_geocode(spark, d):
-    k = F.col("c_custkey")
-    df = table(spark, d, "customer").select(k.alias("id"), F.when(k % 3 == 0, "Old Parks Highway").when(k % 3 == 1, "Old Road").otherwise("Nowhere").alias("h"), (k % 200).alias("m"))
-    posts = spark.range(0, 200, 10).select(F.explode(F.array(F.lit("parks highway"), F.lit("old road"))).alias("route"), F.col("id").alias("mile"), (F.col("id") / 10).alias("lat"), F.lit(0.0).alias("lng"))
+    """Parts by the names of parts as routes: the name itself, one around it, one within several, none."""
     from ..operators.places import mileposts
 
-    # The catalog's aliases name other routes, so the loose match is what this binds.
-    return mileposts(df.withColumn("h", F.replace("h", F.lit("Old Parks"), F.lit("the parks"))), posts.withColumn("route", F.replace("route", F.lit("parks highway"), F.lit("george parks highway"))), F.col("h"), F.col("m")).select("id", F.replace("route", F.lit("george "), F.lit("")).alias("route"), "lat")
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    h = F.when(k % 4 == 0, F.col("p_name")).when(k % 4 == 1, F.concat("p_name", F.lit(" loop"))).when(k % 4 == 2, F.split("p_name", " ")[0]).otherwise(F.concat(F.lit("nowhere "), k))
+    posts = p.select(F.col("p_name").alias("route")).distinct().withColumn("mile", F.explode(F.sequence(F.lit(0), F.lit(190), F.lit(10)))).withColumns({"lat": F.col("mile") / 10 + F.length("route"), "lng": F.lit(0.0)})
+    return mileposts(p.select(k.alias("id"), h.alias("h"), (k % 200 + F.lit(0.5)).alias("m")), posts, F.col("h"), F.col("m")).select("id", "route", "lat")
 
 
-@query("""SELECT id, CASE k WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 ELSE -1 END AS tier, CASE k WHEN 0 THEN 60.0 WHEN 1 THEN 65.0 WHEN 2 THEN 10.0 WHEN 3 THEN 64.83 ELSE -1.0 END::DOUBLE AS lat FROM (SELECT c_custkey AS id, c_custkey % 5 AS k FROM customer)""")
+@query(f"""WITH posts AS (SELECT DISTINCT lower(c_mktsegment)||' highway' AS route, m, length(c_mktsegment) + m / 100.0::DOUBLE AS lat FROM customer, (SELECT unnest(range(0, 51, 4)) AS m)),
+mid AS (SELECT route, list(lat ORDER BY m)[len(list(m)) // 2 + 1] AS lat FROM posts GROUP BY route),
+centers(region, lat) AS (VALUES {", ".join(f"('{r}', {p[0]!r}::DOUBLE)" for r, p in C.REGION_CENTERS.items())}),
+rows AS (SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'Mile '||(c_custkey % 71)||' '||c_mktsegment||' Highway' WHEN 1 THEN c_mktsegment||' Hwy, '||c_name WHEN 2 THEN c_name||' / '||n_name ELSE c_name END AS location,
+  {_nth_sql([*C.REGION_CENTERS, "Elsewhere"], f"c_custkey % {len(C.REGION_CENTERS) + 1}")} AS region FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 > 0) ON n_nationkey = c_nationkey),
+parsed AS (SELECT id, region, location, try_cast(nullif(regexp_extract(location, '(?i)mile\\s+(\\d+)', 1), '') AS DOUBLE) AS mile, replace(nullif(trim(regexp_extract(lower(location), '([a-z]+ (?:highway|hwy))', 1)), ''), ' hwy', ' highway') AS route FROM rows),
+one AS (SELECT id, arg_min(lat, abs(m - mile) * 1000 + m) AS lat FROM parsed JOIN posts USING (route) WHERE abs(m - mile) <= 5 GROUP BY id),
+three AS (SELECT id, arg_min(n_nationkey::DOUBLE, i) AS lat FROM (SELECT id, unnest(string_split_regex(lower(location), '[/,]')) AS part, unnest(range(len(string_split_regex(lower(location), '[/,]')))) AS i FROM parsed) JOIN nation ON lower(n_name) = trim(part) GROUP BY id)
+SELECT id, CASE WHEN one.lat IS NOT NULL THEN 1 WHEN mid.lat IS NOT NULL THEN 2 WHEN three.lat IS NOT NULL THEN 3 WHEN centers.lat IS NOT NULL THEN 4 END AS tier, coalesce(one.lat, mid.lat, three.lat, centers.lat) AS lat
+FROM parsed LEFT JOIN one USING (id) LEFT JOIN mid USING (route) LEFT JOIN three USING (id) LEFT JOIN centers USING (region)""")
 def tiered_places(spark, d):
+    """Customers by mile and highway, by highway, by nation as city, by the region of a tag."""
     from ..operators.places import resolve
 
-    k = F.col("c_custkey") % 5
-    where = F.when(k == 0, "mile 3 seward highway").when(k == 1, "Seward Hwy mile 80").when(k == 2, "Nowhere / Town").otherwise("x")
-    df = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), where.alias("location"), F.when(k == 3, "").otherwise(None).alias("region"), F.when(k == 3, "[Region: Interior] [Category: x]").alias("dataTag"))
-    posts = spark.range(0, 11).select(F.lit("seward highway").alias("route"), F.col("id").alias("mile"), F.when(F.col("id") == 3, 60.0).when(F.col("id") == 5, 65.0).otherwise(1.0).alias("lat"), F.lit(0.0).alias("lng"))
-    cities = spark.range(1).select(F.lit("Town").alias("name"), F.lit(10.0).alias("lat"), F.lit(20.0).alias("lng"))
-    return resolve(df, posts, cities).select("id", F.coalesce("tier", F.lit(-1)).alias("tier"), F.coalesce("lat", F.lit(-1.0)).alias("lat"))
+    k, regions = F.col("c_custkey"), [*C.REGION_CENTERS, "Elsewhere"]
+    nation = table(spark, d, "nation")
+    df = table(spark, d, "customer").join(nation.filter("n_nationkey % 5 > 0"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    where = F.when(k % 4 == 0, F.concat(F.lit("Mile "), k % 71, F.lit(" "), "c_mktsegment", F.lit(" Highway"))).when(k % 4 == 1, F.concat("c_mktsegment", F.lit(" Hwy, "), "c_name")).when(k % 4 == 2, F.concat("c_name", F.lit(" / "), "n_name")).otherwise(F.col("c_name"))
+    region = _nth(regions, k % len(regions))
+    df = df.select(k.alias("id"), where.alias("location"), F.when(k % 3 == 0, region).when(k % 3 == 1, "").alias("region"), F.concat(F.lit("[Region: "), region, F.lit("] [Category: x]")).alias("dataTag"))
+    posts = table(spark, d, "customer").select("c_mktsegment").distinct().withColumn("mile", F.explode(F.sequence(F.lit(0), F.lit(48), F.lit(4))))
+    posts = posts.select(F.concat(F.lower("c_mktsegment"), F.lit(" highway")).alias("route"), "mile", (F.length("c_mktsegment") + F.col("mile") / 100).alias("lat"), F.lit(0.0).alias("lng"))
+    cities = nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("double").alias("lat"), F.lit(0.0).alias("lng"))
+    return resolve(df, posts, cities).select("id", "tier", "lat")
 
 
 @query("""SELECT conv_id, turn, chamber, type FROM (SELECT conv_id, turn, role, last_value(CASE WHEN role='user' THEN 'House '||turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS chamber,

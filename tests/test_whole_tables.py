@@ -30,7 +30,7 @@ def test_customer_merges_take_every_key(spark, name):
     assert {r[0] for r in rows} == keys and {r[-1] for r in rows} == {"old", "new"}
 
 
-@pytest.mark.parametrize("name", ["anti_join_new", "set_difference", "case_left_join", "removed_keys", "cluster_signals", "feed_recovery", "delayed_airports", "action_summary", "severity_counts", "clean_agency", "notice_types", "dispatch_fields", "place_lookup", "static_sitemap", "airport_status", "agency_points", "era_articles"])
+@pytest.mark.parametrize("name", ["anti_join_new", "set_difference", "case_left_join", "removed_keys", "cluster_signals", "feed_recovery", "delayed_airports", "action_summary", "severity_counts", "clean_agency", "notice_types", "dispatch_fields", "place_lookup", "static_sitemap", "airport_status", "agency_points", "era_articles", "milepost_geocode", "tiered_places", "page_facts"])
 def test_held_to_sql(spark, name):
     assert held_to_sql(spark, name)
 
