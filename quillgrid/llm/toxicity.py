@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import map_rows, table, texts
+from .shared import map_rows, settle, table, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Rows of each label in the training sample, and code points up to which a text may be in it: the sample's bounds.
@@ -32,6 +32,10 @@ LEAST_DOCS, LEAST_LOG_ODDS = 6, 1.5
 WINDOW, WINDOWED = 24, 8
 #: Runs of tokens without a feature are folded to what is alike but for this share (see Model.edge).
 ALIKE = 2.0**-60
+#: Parts in which the sample comes to the driver.
+PARTS = 16
+#: Training windows that are in floating point at a time.
+BLOCK = 4096
 #: A worker forgets words beyond so many.
 REMEMBERED = 200_000
 
@@ -145,7 +149,17 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
     The document score is fitted on marginals of a field that hasn't seen the document (two folds). Without rows of both
     labels the model scores every text with the label's share.
     """
-    docs = [(words_of(t), y) for t, y in sorted({(t or "", int(y)) for t, y in rows})]
+    return _fit(*encoded(sorted({(t or "", int(y)) for t, y in rows})))
+
+
+def encoded(rows: Iterable[tuple[str, int]]) -> tuple[list[tuple[np.ndarray, int]], list[str]]:
+    """(words as numbers, label) of each row, and the word of each number: four bytes for a token, and no texts are kept."""
+    number: dict[str, int] = {}
+    docs = [(np.fromiter((number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)), np.int32), y) for t, y in rows]
+    return docs, list(number)
+
+
+def _fit(docs: list[tuple[np.ndarray, int]], names: list[str]) -> Model:
     n = Counter(y for _, y in docs)
     if not n[0] or not n[1]:
         share = (n[1] + 0.5) / (n[0] + n[1] + 1)
@@ -153,53 +167,47 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
     folds = [docs[k::2] for k in (0, 1)]
     seen = []
     for train, test in (folds, folds[::-1]):
-        model = _field(train)
+        model = _field(train, names)
+        emission = list(map(model.emission, names))
         for words, label in test:
-            _, expected, largest = model.tag([model.emission(w) for w in words])
-            seen.append((1.0, largest, math.log1p(expected), expected / len(words) if words else 0.0, label))
-    model = _field(docs)
+            _, expected, largest = model.tag([emission[w] for w in words.tolist()])
+            seen.append((1.0, largest, math.log1p(expected), expected / len(words) if len(words) else 0.0, label))
+    model = _field(docs, names)
     return Model(model.weights, model.bias, model.transition, _logistic(np.array(seen)))
 
 
-def _field(docs: list[tuple[list[str], int]]) -> Model:
-    """The random field of (words, label) documents, without a document score."""
+def _field(docs: list[tuple[np.ndarray, int]], names: list[str]) -> Model:
+    """The random field of (numbers of words, label) documents, without a document score."""
     n = Counter(y for _, y in docs)
     held: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    known: dict[str, list[str]] = {}
     for words, y in docs:
-        for w in set(words):
-            if w not in known:
-                known[w] = features(w)
-        held[y].update({f for w in set(words) for f in known[w]})
+        held[y].update({f for w in np.unique(words).tolist() for f in features(names[w])})
 
     def odds(f: str) -> float:
         return math.log((held[1][f] + 0.5) / (n[1] + 1)) - math.log((held[0][f] + 0.5) / (n[0] + 1))
 
     chosen = [f for f, c in held[1].items() if c >= LEAST_DOCS and odds(f) >= LEAST_LOG_ODDS]
     index = {f: i + 1 for i, f in enumerate(sorted(chosen))}
-    theta, bias, trans = _train(*_windows(docs, index), len(index) + 1)
+    theta, bias, trans = _train(*_windows(docs, names, index), len(index) + 1)
     return Model({f: float(theta[i]) for f, i in index.items()}, float(bias), tuple(tuple(map(float, r)) for r in trans))
 
 
-def _windows(docs: list[tuple[list[str], int]], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(docs: list[tuple[np.ndarray, int]], names: list[str], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token kinds (windows, tokens) with 0 for no feature and -1 past the end, token labels, and each kind's features
     (0 for none)."""
     rng = _rng("windows")
     kinds: dict[tuple[int, ...], int] = {(): 0}
-    known: dict[str, int] = {}
+    known = np.array([kinds.setdefault(tuple(index[f] for f in features(w) if f in index), len(kinds)) for w in names], np.int32)
     xs, ys = [], []
     for words, label in docs:
-        for w in set(words):
-            if w not in known:
-                known[w] = kinds.setdefault(tuple(index[f] for f in features(w) if f in index), len(kinds))
-        ids = [known[w] for w in words]
-        at = [i for i, k in enumerate(ids) if k]
+        ids = known[words]
+        at = np.flatnonzero(ids)
         starts = {max(0, i - int(rng.integers(0, WINDOW))) for i in rng.permutation(at)[:WINDOWED].tolist()} or {int(rng.integers(0, max(1, len(words) - WINDOW)))}
         for s in sorted(starts):
             x, y = np.full(WINDOW, -1, np.int32), np.zeros(WINDOW, np.int8)
             part = ids[s : s + WINDOW]
             x[: len(part)] = part
-            y[: len(part)] = [bool(k) and label == 1 for k in part]
+            y[: len(part)] = (part > 0) & (label == 1)
             xs.append(x)
             ys.append(y)
     of = np.zeros((len(kinds), 1 + len(PREFIXES)), np.int32)
@@ -213,42 +221,48 @@ def _train(x: np.ndarray, y: np.ndarray, of: np.ndarray, n_features: int, steps:
     theta = np.zeros(n_features + 5)  # features, bias, transitions 00 01 10 11
     theta[n_features] = -3.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    n, length = x.shape
-    on, label, kind = (x >= 0).T.copy(), y.T.astype(float), np.maximum(x, 0)
-    kind_t = kind.T.ravel()
-    steps_seen = [((label[:-1] == a) & (label[1:] == b) & on[1:]).sum() for a in (0, 1) for b in (0, 1)]
+    n = len(x)
     for step in range(1, steps + 1):
-        w = np.concatenate([[0.0], theta[1:n_features]])
-        score = w[of].sum(1)[kind] + theta[n_features]
-        (t00, t01), (t10, t11) = np.exp(theta[n_features + 1 :].reshape(2, 2))
-        e = np.exp(np.clip(score, -30, 30)).T.copy()  # token by window
-        # Forward and backward passes, scaled to sum 1 at each token; past the end nothing changes.
-        f0, f1, b0, b1 = np.empty_like(e), np.empty_like(e), np.ones_like(e), np.ones_like(e)
-        f0[0], f1[0] = 1 / (1 + e[0]), e[0] / (1 + e[0])
-        for t in range(1, length):
-            x0, x1 = f0[t - 1] * t00 + f1[t - 1] * t10, (f0[t - 1] * t01 + f1[t - 1] * t11) * e[t]
-            z = x0 + x1
-            f0[t], f1[t] = np.where(on[t], x0 / z, f0[t - 1]), np.where(on[t], x1 / z, f1[t - 1])
-        for t in range(length - 2, -1, -1):
-            x0, x1 = t00 * b0[t + 1] + t01 * e[t + 1] * b1[t + 1], t10 * b0[t + 1] + t11 * e[t + 1] * b1[t + 1]
-            z = x0 + x1
-            b0[t], b1[t] = np.where(on[t + 1], x0 / z, b0[t + 1]), np.where(on[t + 1], x1 / z, b1[t + 1])
-        p1 = f1 * b1 / (f0 * b0 + f1 * b1)
-        error = np.where(on, label - p1, 0.0)
-        grad = np.zeros_like(theta)
-        by_kind = np.bincount(kind_t, error.ravel(), len(of))
-        grad[:n_features] = np.bincount(of.ravel(), np.repeat(by_kind, of.shape[1]), n_features)
-        grad[0] = 0.0
-        grad[n_features] = error.sum()
-        pairs = [f0[:-1] * t00 * b0[1:], f0[:-1] * t01 * e[1:] * b1[1:], f1[:-1] * t10 * b0[1:], f1[:-1] * t11 * e[1:] * b1[1:]]
-        z = pairs[0] + pairs[1] + pairs[2] + pairs[3]
-        grad[n_features + 1 :] = [seen - (p / z)[on[1:]].sum() for seen, p in zip(steps_seen, pairs)]
+        grad = sum(_gradient(theta, x[k : k + BLOCK], y[k : k + BLOCK], of, n_features) for k in range(0, n, BLOCK))
         grad = grad / n - decay * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return np.concatenate([[0.0], theta[1:n_features]]), theta[n_features], theta[n_features + 1 :].reshape(2, 2)
 
 
+def _gradient(theta: np.ndarray, x: np.ndarray, y: np.ndarray, of: np.ndarray, n_features: int) -> np.ndarray:
+    """Of the log-likelihood of some windows."""
+    length = x.shape[1]
+    on, label, kind = (x >= 0).T.copy(), y.T.astype(float), np.maximum(x, 0)
+    w = np.concatenate([[0.0], theta[1:n_features]])
+    score = w[of].sum(1)[kind] + theta[n_features]
+    (t00, t01), (t10, t11) = np.exp(theta[n_features + 1 :].reshape(2, 2))
+    e = np.exp(np.clip(score, -30, 30)).T.copy()  # token by window
+    # Forward and backward passes, scaled to sum 1 at each token; past the end nothing changes.
+    f0, f1, b0, b1 = np.empty_like(e), np.empty_like(e), np.ones_like(e), np.ones_like(e)
+    f0[0], f1[0] = 1 / (1 + e[0]), e[0] / (1 + e[0])
+    for t in range(1, length):
+        x0, x1 = f0[t - 1] * t00 + f1[t - 1] * t10, (f0[t - 1] * t01 + f1[t - 1] * t11) * e[t]
+        z = x0 + x1
+        f0[t], f1[t] = np.where(on[t], x0 / z, f0[t - 1]), np.where(on[t], x1 / z, f1[t - 1])
+    for t in range(length - 2, -1, -1):
+        x0, x1 = t00 * b0[t + 1] + t01 * e[t + 1] * b1[t + 1], t10 * b0[t + 1] + t11 * e[t + 1] * b1[t + 1]
+        z = x0 + x1
+        b0[t], b1[t] = np.where(on[t + 1], x0 / z, b0[t + 1]), np.where(on[t + 1], x1 / z, b1[t + 1])
+    p1 = f1 * b1 / (f0 * b0 + f1 * b1)
+    error = np.where(on, label - p1, 0.0)
+    grad = np.zeros_like(theta)
+    by_kind = np.bincount(kind.T.ravel(), error.ravel(), len(of))
+    grad[:n_features] = np.bincount(of.ravel(), np.repeat(by_kind, of.shape[1]), n_features)
+    grad[0] = 0.0
+    grad[n_features] = error.sum()
+    pairs = [f0[:-1] * t00 * b0[1:], f0[:-1] * t01 * e[1:] * b1[1:], f1[:-1] * t10 * b0[1:], f1[:-1] * t11 * e[1:] * b1[1:]]
+    z = pairs[0] + pairs[1] + pairs[2] + pairs[3]
+    seen = [((label[:-1] == a) & (label[1:] == b) & on[1:]).sum() for a in (0, 1) for b in (0, 1)]
+    grad[n_features + 1 :] = [of_labels - (p / z)[on[1:]].sum() for of_labels, p in zip(seen, pairs)]
+    return grad
+
+
 def _logistic(seen: np.ndarray, steps: int = 40, ridge: float = 1e-2) -> tuple[float, ...]:
     x, y = seen[:, :-1], seen[:, -1]
     w = np.zeros(x.shape[1])
@@ -264,7 +278,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """(text, label) of at most rows labelled documents of each label that aren't held out, evenly chosen by a hash. The
+    """The rows of training_frame."""
+    found = training_frame(docs, labels, rows, chars)
+    return [(r.text, int(r.toxic)) for r in found.collect()] if found is not None else []
+
+
+def training_frame(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame | None:
+    """(text, toxic) of at most rows labelled documents of each label that aren't held out, evenly chosen by a hash. The
     choice depends on the rows alone, not on their order.
 
     Rows of one doc_id count as toxic if one of them says so; null labels and ids are left out.
@@ -274,13 +294,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, c
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     some = [usable.filter((F.col("toxic") == y) & (place < math.ceil(1_000_000 * min(1.0, rows / n)))).orderBy(place, "doc_id").limit(rows) for y, n in sorted(counts.items()) if y in (0, 1)]
     if not some:
-        return []
+        return None
     chosen = some[0]
     for other in some[1:]:
         chosen = chosen.unionByName(other)
     # At most 2 * rows ids: bounded, whatever the tables hold.
     found = docs.select("doc_id", "text").filter(F.length("text") <= chars).join(F.broadcast(chosen), "doc_id")
-    return [(r.text, int(r.toxic)) for r in found.orderBy(place, "doc_id", F.xxhash64("text")).select("text", "toxic").limit(2 * rows).collect()]
+    return found.orderBy(place, "doc_id", F.xxhash64("text")).select("text", "toxic").limit(2 * rows)
 
 
 SCHEMA = "score double, predicted int, offsets array<struct<start:int,end:int,p:double>>"
@@ -334,7 +354,13 @@ def _model(parts: tuple) -> Model:
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> Model:
-    return fit(training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    """The model of training_frame's rows, as fit of training_rows gives it. The rows come to the driver part by part, in fit's
+    order, and only numbers of words stay there."""
+    found = training_frame(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    if found is None:
+        return fit([])
+    rows = settle(found.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "sample").distinct()
+    return _fit(*encoded((r.text, r.toxic) for r in rows.repartitionByRange(PARTS, "text", "toxic").sortWithinPartitions("text", "toxic").toLocalIterator()))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

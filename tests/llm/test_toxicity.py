@@ -4,9 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillgrid.llm.toxicity import Model, fit, score_text, toxicity, training_rows, words_of
+from quillgrid.llm.toxicity import Model, fit, fitted, score_text, toxicity, training_rows, words_of
 
-from .common import AWKWARD, docs_frame
+from .common import AWKWARD, as_table, docs_frame
 
 CLEAN = "the house on a hill was old and the river ran by it under trees where birds sing all day".split()
 BAD = ["blorg", "frenkish", "snarlode", "vilkemort"]
@@ -121,3 +121,19 @@ def test_operator_and_sample(spark, model):
     assert 20 <= len(rows) <= 40 and all(int(t[1:]) % 2 == y for t, y in rows)
     assert training_rows(docs, labels.limit(0)) == []
     assert score_text(fit([]), "x")["predicted"] in (0, 1)
+
+
+def test_training_keeps_no_tokens(spark, tmp_path):
+    import tracemalloc
+
+    rows = [(" ".join(f"word{(i * 37 + k * k) % 500}" for k in range(6000)) + (" vile" if i % 2 else ""), i % 2) for i in range(40)]
+    tracemalloc.start()
+    whole = fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * 40 * 6000  # 40 bytes a token; as strings in lists they took over 60
+    docs = docs_frame(spark, [*enumerate(t for t, _ in rows), (50, None), (51, "")])
+    as_table(spark, docs, tmp_path)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)] + [(50, 0), (51, 1)], "doc_id long, toxic int")
+    as_table(spark, labels, tmp_path, "labels")
+    assert fitted(spark, str(tmp_path)) == fit(training_rows(docs, labels)) != whole
