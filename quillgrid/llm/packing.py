@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -66,13 +67,30 @@ def encoding(ranks_file: bytes, pattern: str) -> tiktoken.Encoding:
     return _ENCODINGS[key]
 
 
+#: White space (Unicode's), of which a long run overflows the stack of the library's pattern.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20000,}")
+
+
+def ids_of(own: tiktoken.Encoding, text: str) -> list[int]:
+    """The text's ids. By the pattern a run of white space, but for its last character where more text follows, is one
+    match; long runs are encoded apart as that, and the pattern sees what is left."""
+    out, at = [], 0
+    for m in BLANKS.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        out += own.encode_ordinary(text[at : m.start()])
+        out += own._encode_single_piece(text[m.start() : end])
+        at = end
+    return out + own.encode_ordinary(text[at:]) if at else own.encode_ordinary(text)
+
+
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False, short_first: bool = False) -> DataFrame:
     """A row for each piece of a document's ids (the text's, then end_id), with docs' other columns; the text goes.
 
-    Only documents of more than capacity tokens are cut, every capacity tokens. keep_ids adds ids array<int>. Null and
+    Only documents of more than capacity tokens are cut, every capacity tokens; the last piece may be shorter, or, with
+    short_first, the first one. keep_ids adds ids array<int>. Null and
     empty texts are the one token end_id; repeated rows are each cut; an empty table gives no pieces. Columns of docs
     that clash with the new ones are replaced. The vocabulary file is sent to the executors, under 2 MB.
     """
@@ -91,9 +109,11 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
         for batch in batches:
             row, piece, start, length, crc, ids_out = [], [], [], [], [], []
             for i, text in enumerate(texts(batch.column(batch.num_columns - 1))):
-                ids = np.array([*own.encode_ordinary(text), end_id], "<u4")
-                for k, s in enumerate(range(0, len(ids), capacity)):
-                    part = ids[s : s + capacity]
+                ids = np.array([*ids_of(own, text), end_id], "<u4")
+                over = len(ids) % capacity if short_first else 0
+                bounds = [*([0] if over else []), *range(over, len(ids), capacity), len(ids)]
+                for k, (s, end) in enumerate(zip(bounds, bounds[1:])):
+                    part = ids[s:end]
                     row.append(i)
                     piece.append(k)
                     start.append(s)
@@ -161,14 +181,14 @@ def sequences(packed: DataFrame, ids: str = "ids") -> DataFrame:
 RESULT = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, short_first: bool = False) -> DataFrame:
     import public_tokenizers as tokenizers
 
-    return best_fit(token_pieces(docs.select("doc_id", "text"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)).select(*RESULT)
+    return best_fit(token_pieces(docs.select("doc_id", "text"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, short_first=short_first)).select(*RESULT)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents"), short_first=True)
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,9 +7,9 @@ import pytest
 import public_tokenizers as tokenizers
 from tokenizers import Tokenizer
 
-from quillgrid.llm.packing import BestFit, best_fit, pack_documents, sequences, token_pieces
+from quillgrid.llm.packing import BestFit, best_fit, op4_best_fit_packing, pack_documents, sequences, token_pieces
 
-from .common import AWKWARD, docs_frame
+from .common import AWKWARD, as_table, docs_frame
 
 PATH = tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -94,3 +94,18 @@ def test_sequences_and_empty_table(spark):
 def test_wrong_length_is_an_error(spark):
     with pytest.raises(Exception, match="a piece must have"):
         best_fit(spark.createDataFrame([(0,)], "length long")).collect()
+
+
+def test_only_the_first_piece_is_shorter_and_long_blanks_are_whole(spark, tmp_path):
+    texts = ["x", "a b " * 900, " the" * 1023, " the" * 1024, " the" * 2047, " " * 1_500_000 + "x", "x" + "\n" * 1_500_000, "a" + "\u3000 \t" * 20_000 + "é", "a" + " " * 20_000 + "\x1fb"]
+    as_table(spark, docs_frame(spark, list(enumerate(texts))), tmp_path)
+    library = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    want = []
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        cuts = list(range(len(ids), 0, -1024))[::-1]
+        want += [(i, k, s, e - s, zlib.crc32(ids[s:e].tobytes())) for k, (s, e) in enumerate(zip([0, *cuts], cuts))]
+    got = op4_best_fit_packing(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r[:5]) for r in got) == want
+    whole(got)
