@@ -18,7 +18,8 @@ def enrich(df: DataFrame, other: DataFrame, key: str, overrides: Sequence[str])
 
 
 def nearest(df: DataFrame, points: DataFrame, keys: Sequence[str], value: str, at: str, payload: Sequence[str], reach: float, row: str = "id") -> DataFrame:
-    """Each row of df with the payload of the nearest point of equal keys within reach; ties go to the lower point.
+    """Each row of df with the payload of the nearest point of equal keys within reach; ties go to the lower point,
+    of equal points to the least payload.
 
     Rows meet by key and a cell of reach's size and its neighbours, so a hot key is spread over its cells.
     """
@@ -28,7 +29,7 @@ def nearest(df: DataFrame, points: DataFrame, keys: Sequence[str], value: str, a
     left = df.select(row, *keys, F.col(value).alias("__v")).withColumn("__c", F.explode(F.sequence(cell("__v") - 1, cell("__v") + 1)))
     right = points.select(*keys, F.col(at).alias("__at"), *[F.col(p) for p in payload]).withColumn("__c", cell("__at"))
     both = left.join(right, [*keys, "__c"]).filter(F.abs(F.col("__v") - F.col("__at")) <= reach)
-    best = both.groupBy(row).agg(F.min_by(F.struct(F.col("__at").alias("nearest"), *payload), F.struct(F.abs(F.col("__v") - F.col("__at")), "__at")).alias("__b"))
+    best = both.groupBy(row).agg(F.min_by(F.struct(F.col("__at").alias("nearest"), *payload), F.struct(F.abs(F.col("__v") - F.col("__at")), "__at", *payload)).alias("__b"))
     return df.join(best, row, "left").select(*df.columns, F.col("__b.nearest").alias("nearest"), *[F.col(f"__b.{p}").alias(p) for p in payload])
 
 

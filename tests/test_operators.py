@@ -149,6 +149,8 @@ def test_nearest_and_contains(spark):
     points = spark.createDataFrame([("a", 8.0, "p"), ("a", 12.0, "q"), ("a", 103.0, "r")], "k string, m double, name string")
     got = {r.id: r.name for r in joins.nearest(rows, points, ["k"], "v", "m", ["name"], 2.0).collect()}
     assert got == {1: "p", 2: None, 3: None}
+    copies = spark.createDataFrame([("a", 9.0, f"c{i}") for i in range(40, 9, -1)], "k string, m double, name string").repartition(5)
+    assert joins.nearest(rows, copies, ["k"], "v", "m", ["name"], 2.0).filter("id = 1").first().name == "c10"
     names = spark.createDataFrame([(1, "smith"), (2, "ab"), (3, ""), (4, None), (5, "zz")], "id int, n string")
     words = spark.createDataFrame([("goldsmith", 1, 10), ("smith", 2, 20), ("xaby", 3, 30)], "w string, o int, p int")
     assert {r.id: r.p for r in joins.contains_first(names, words, "n", "w", "o", "id", exact="n").collect()} == {1: 20, 2: 30, 3: None, 4: None, 5: None}
