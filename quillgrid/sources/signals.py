@@ -113,12 +113,17 @@ def alert_signals(rows: DataFrame, quiet_events: Sequence[str] = (), quiet: Sequ
 OBSERVATION = "struct<geometry:struct<coordinates:array<double>>,properties:struct<timestamp:string,textDescription:string,temperature:struct<value:double>,windSpeed:struct<value:double>,windDirection:struct<value:double>,relativeHumidity:struct<value:double>>>"
 
 
+def _half_even(x: Column) -> Column:
+    """To one decimal, by the double's own tenfold: 111.85000000000001 is 1118.5 tenths and goes to the even 1118."""
+    return F.rint(x * 10) / 10
+
+
 def observations(df: DataFrame, text: str = "value", station: str = "station") -> DataFrame:
     """Station readings in Fahrenheit and miles an hour, half-even to one decimal."""
     o = df.select(station, F.from_json(F.col(text), OBSERVATION).alias("o"))
     p = F.col("o.properties")
     return o.select(
-        station, p["timestamp"].alias("timestamp"), p["textDescription"].alias("conditions"), F.bround(p["temperature"]["value"] * 9 / 5 + 32, 1).alias("temp_f"), F.bround(p["windSpeed"]["value"] * 2.237, 1).alias("wind_mph"),
+        station, p["timestamp"].alias("timestamp"), p["textDescription"].alias("conditions"), _half_even(p["temperature"]["value"] * 9 / 5 + 32).alias("temp_f"), _half_even(p["windSpeed"]["value"] * 2.237).alias("wind_mph"),
         p["windDirection"]["value"].alias("wind_direction"), F.bround(p["relativeHumidity"]["value"], 0).alias("humidity"), F.get("o.geometry.coordinates", F.lit(1)).alias("lat"), F.get("o.geometry.coordinates", F.lit(0)).alias("lng"),
     )
 

@@ -55,6 +55,12 @@ def test_other_geojson(spark):
     assert [(r.impactScore, r.summary, r.lat) for r in got] == [(75, "x...", 1.0)]
 
 
+def test_observations_round_half_even_by_tenths(spark):
+    o = {"properties": {"windSpeed": {"value": 50.0}, "temperature": {"value": 0.25}}}  # 111.85000000000001 and 32.45
+    r = signals.observations(docs(spark, o).withColumn("station", F.lit("P"))).first()
+    assert (r.wind_mph, r.temp_f) == (111.8, 32.4)
+
+
 def test_roads_and_skies(spark):
     e = {"id": "1", "eventType": "closure", "road": "Seward Hwy", "description": "x" * 400, "startPoint": {"latitude": 61.0, "longitude": -149.0}}
     for wrapped in ([e], {"events": [e]}, {"features": [{"properties": e}]}):
