@@ -116,6 +116,15 @@ def test_related_in_a_burst(spark):
         assert {r.seq: r.related for r in linking.related(df, seconds=8, hot=hot).collect()} == want
 
 
+def test_related_makes_one_list_for_a_moment(spark, monkeypatch):
+    seen, settled = {}, linking.settled
+    monkeypatch.setattr(linking, "settled", lambda df, name="table": seen.setdefault(name, settled(df, name)))
+    n = 4000
+    df = spark.range(n).select(F.col("id").alias("seq"), F.concat(F.lit("h"), "id").alias("hash"), F.timestamp_seconds(F.col("id") % 40 * 5000).alias("ts"), F.lit("r").alias("region"), F.lit("s").alias("sector"))
+    assert linking.related(df).filter("size(related) = 5").count() == n
+    assert seen["reach"].count() == 40 and seen["heads"].count() == 240  # before, 13 cells for each row and as many pairs
+
+
 def test_related_with_repeated_keys(spark):
     start = datetime(2024, 1, 1)
     keys = ["a"] * 8 + ["b"] * 7 + ["c", "d", "e", "f", "g"]
