@@ -80,6 +80,21 @@ def test_a_hot_cell_is_no_table_of_pairs(spark):
     assert [(r.leader, r["count"]) for r in got] == [("6", n)]
 
 
+def test_cluster_writes_rows_and_no_pairs(spark):
+    n, written = 600, []
+    df = spark.range(n).select(F.col("id").cast("string").alias("hash"), F.col("id").alias("seq"), F.lit(1).alias("impact"), (F.lit(61.0) + F.col("id") % 25 * 0.0004).alias("lat"), (F.lit(-150.0) + F.col("id") % 24 * 0.0008).alias("lng"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 4).alias("ts"))
+
+    def settle(frame, name="table"):
+        out = linking.settled(frame, name)
+        written.append(out.count())
+        return out
+
+    assert linking.cluster(df, settle=settle).count() == n
+    assert max(written) <= n  # before, every row with all candidates near it
+    row = spark.createDataFrame([(0.3, 0.4, 5_000_000)], "y double, x double, t long")
+    assert linking.Cells(1.5, 2700).near(row).count() <= 8  # before, 27
+
+
 def test_cluster_of_nothing(spark):
     df = spark.createDataFrame([], "hash string, seq int, impact int, lat double, lng double, ts timestamp")
     assert linking.cluster(df).count() == 0
