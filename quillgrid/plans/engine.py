@@ -18,6 +18,11 @@ from ..operators.store import Store
 from ..sources.signals import adapt, union
 
 
+def _spread(df: DataFrame, order: str) -> DataFrame:
+    """df dealt evenly: a choice of one row a hash sorts its input first, which for a scan may be a whole file."""
+    return df.repartition("hash", order)
+
+
 @dataclass(frozen=True)
 class SignalEngine:
     """as_of stands for now. days: what the rolling table keeps. Catalogs are the defaults unless given."""
@@ -37,15 +42,16 @@ class SignalEngine:
         df = entries.withColumn("link", resolve_tracker(F.col("title"), F.col("link"))).filter(filters.has_title_and_link(F.col("title"), F.col("link")))
         df = df.filter(~filters.is_bad_item(F.col("title"), F.col("link"), F.col("description"), F.col("source")))
         df = df.withColumn("hash", title_link_key(F.col("title"), F.col("link")))
-        df = merge.only_new(df, seen, ["hash"])
         dated = resolve_published(parse_iso(F.col("published")), url_date(F.col("link")), self.now)
-        df = df.withColumn("ts", dated).filter(filters.young_enough(F.col("ts"), self.now)).withColumn("__t", clean_text(F.col("description")))
+        df = df.withColumn("ts", dated).withColumn("__t", clean_text(F.col("description")))
         df = df.withColumn("summary", snippet_of_clean(F.col("__t")))
         whole, low = F.lower(F.concat_ws(" ", "title", "__t")), F.lower(F.concat_ws(" ", "title", "summary"))
         df = df.withColumns({
             "dataTag": data_tag(filters.region(whole, self.regions), F.col("category")), "sourceAttribution": F.col("source"), "timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
             "impactScore": filters.impact_score(F.col("category"), low), "region": filters.region(low, self.typed), "sector": filters.sector(F.col("category")), "entitySlugs": filters.entity_slugs(low, self.entities),
         })
+        # Whole texts end here: only what is made of them is dealt out and sorted.
+        df = merge.only_new(_spread(df.drop("description", "__t"), "seq"), seen, ["hash"]).filter(filters.young_enough(F.col("ts"), self.now))
         return adapt(df.withColumn("urgency", filters.urgency(F.col("impactScore"))))
 
     def merge(self, old: DataFrame, *new: DataFrame) -> DataFrame:
@@ -53,7 +59,8 @@ class SignalEngine:
         without seq come before those with it, by time and title. Rows without a web link go; related signals are linked."""
         frames = [f.withColumns({"__b": F.lit(k), "seq": F.col("seq") if "seq" in f.columns else F.lit(None).cast("long")}) for k, f in enumerate([old, *new])]
         both = union(frames).filter(filters.is_web_link(F.col("link")))
-        kept = merge.keep_last(both.withColumn("__o", F.struct("__b", "seq", "timestamp", "title")), ["hash"], "__o").drop("__b", "__o", "seq")
+        ordered = _spread(both.withColumn("__o", F.struct("__b", "seq", "timestamp", "title")), "__o")
+        kept = merge.keep_last(ordered, ["hash"], "__o").drop("__b", "__o", "seq")
         kept = linking.settled(kept)  # linking reads it many times over
         ranked = kept.withColumn("seq", F.struct((-F.coalesce(F.unix_micros("ts"), F.lit(0))).alias("t"), "hash"))
         links = linking.related(ranked, entities="entitySlugs").select("hash", F.col("related").alias("__r"))

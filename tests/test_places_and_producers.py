@@ -1,8 +1,9 @@
 from pyspark.sql import functions as F
 
-from quillgrid.operators import places
+from quillgrid.operators import linking, places
 from quillgrid.plans.engine import SignalEngine
 from quillgrid.sources import verticals as v
+from quillgrid.sources.signals import adapt
 
 
 def test_mileposts(spark):
@@ -67,3 +68,27 @@ def test_engine(spark):
     assert {r.title: len(r.relatedSignalIds) for r in merged.collect()} == {"Tsunami warning in Kodiak": 1, "Second report": 1}
     assert engine.rolling(merged).count() == 2 and {r["index"]: r["score"] for r in engine.pulse(merged).collect()}["health"] > 0
     assert [x.count() for x in engine.slices(merged)] == [2, 2]
+
+
+def test_engine_sorts_neither_texts_nor_scans(spark, monkeypatch):
+    entries = spark.range(9).selectExpr("id AS seq", "'Src' AS source", "'News' AS category", "concat('Title ', id) AS title", "concat('http://x/', id) AS link", "repeat('long ', 9) AS description", "'2024-01-29T00:00:00Z' AS published")
+    filed = spark.range(9).selectExpr("cast(id AS string) AS hash", "'Title' AS title", "'http://x/' AS link", "'2024-01-20T00:00:00Z' AS timestamp")
+    written = []
+    monkeypatch.setattr(linking, "settled", lambda df, *a: written.append(df) or df)
+    engine = SignalEngine("2024-01-30 00:00:00")
+    engine.merge(adapt(filed), engine.enrich(entries, spark.createDataFrame([], "hash string")))
+    below = lambda node: [node.children().apply(i) for i in range(node.children().size())]
+    nodes = [written[0]._jdf.queryExecution().executedPlan().initialPlan()]
+    sorts = []
+    while nodes:
+        node = nodes.pop()
+        nodes += below(node)
+        if node.nodeName() == "Sort":
+            sorts.append(node)
+    assert sorts
+    for node in sorts:
+        assert not {"description", "__t"} & {node.output().apply(i).name() for i in range(node.output().size())}
+        inside = [node]
+        while inside:  # down to where the rows were dealt out
+            inside += [n for n in below(inside.pop()) if "Exchange" not in n.nodeName()]
+            assert all(below(n) for n in inside), node.toString()
