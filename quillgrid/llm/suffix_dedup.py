@@ -8,6 +8,9 @@ prefixes that end before it are put in order by deep-shallow sorting; common pre
 are equal. Where an anchor has more different contexts than one task should hold, these contexts are the texts of another
 round, with longer grams: their windows are dealt to more anchors, and much that was different becomes equal. The last
 round's gram is the window itself, where different contexts of one anchor no longer exist.
+
+Two lengths may be asked for at once: each part of a repeated string repeats, so the longer strings are sought only in what
+the shorter ones cover.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import prepare, map_rows, settle, table, utf8
+from .shared import discard, prepare, map_rows, settle, table, utf8
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ class Shape:
 
 #: The query's shape.
 REPEATED = Shape(400, 128)
-#: The pipeline stage's: 50 words of three letters and a blank each, the least that a passage of over 50 words has in
+#: The pipeline stage's, and that of the query's text: 50 words of three letters and a blank each, the least that a passage of over 50 words has in
 #: text of everyday words; it is a third shorter than 50 average words.
 PASSAGE = Shape(200, 64)
 #: Depth at which multikey quicksort hands over to blind tries.
@@ -400,41 +403,56 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     key is doc_id (a hash of the text where that is null) and th a hash of the text: together they name a text.
     """
+    return _rounds(_whole_texts(docs, doc_id, text, shape), group, shape)[0]
+
+
+def _whole_texts(docs: DataFrame, doc_id: str, text: str, shape: Shape) -> DataFrame:
+    """(key, th, base, bytes) of the texts that have room for a string of the shape's length."""
     prepare(docs.sparkSession)
-    rows = docs.filter(F.octet_length(text) >= shape.length).select(*_named(doc_id, text), F.lit(0).cast("long").alias("base"), F.col(text).cast("binary").alias("bytes"))
-    spans, more = _round(rows, group, shape)
+    return docs.filter(F.octet_length(text) >= shape.length).select(*_named(doc_id, text), F.lit(0).cast("long").alias("base"), F.col(text).cast("binary").alias("bytes"))
+
+
+def _rounds(rows: DataFrame, group: int, shape: Shape) -> tuple[DataFrame, list[DataFrame]]:
+    """(spans, the settled tables that they are read from) of (key, th, base, bytes) rows."""
+    tables: list[DataFrame] = []
+    spans, more = _round(rows, group, shape, tables)
     while more is not None:
         shape = shape.longer()
-        found, more = _round(more, group, shape)
+        found, more = _round(more, group, shape, tables)
         spans = spans.unionByName(found)
-    return spans
+    return spans, tables
 
 
-def _round(rows: DataFrame, group: int, shape: Shape) -> tuple[DataFrame, DataFrame | None]:
+def _round(rows: DataFrame, group: int, shape: Shape, tables: list[DataFrame]) -> tuple[DataFrame, DataFrame | None]:
     """(spans, contexts that are the next round's rows; None where there are none) of (key, th, base, bytes) rows.
 
     Each window is in one context, so windows of different contexts are different places.
     """
-    found = settle(rows.mapInArrow(_find_anchors(shape), ANCHORS), "anchors")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        tables.append(settle(df, name))
+        return tables[-1]
+
+    found = kept(rows.mapInArrow(_find_anchors(shape), ANCHORS), "anchors")
     within = found.filter("kh IS NULL").select("key", "th", F.col("lo").alias("start"), (F.col("lo") + F.col("n")).alias("end"))
     once = found.filter("kh IS NOT NULL")
     same = once.groupBy("kh").agg(F.sum("times").alias("c"), *[f(x).alias(f"{name}_{x}") for x in ("c1", "c2") for name, f in (("low", F.min), ("high", F.max))])
     same = same.filter("c > 1").selectExpr("kh", "low_c1 <> high_c1 OR low_c2 <> high_c2 AS mixed")
-    twins = settle(once.join(settle(same, "same"), "kh"), "twins")
+    twins = kept(once.join(kept(same, "same"), "kh"), "twins")
     span = lambda df: df.select("key", "th", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + shape.length).alias("end"))
     plain = span(twins.filter("NOT mixed"))
 
     mixed = twins.filter("mixed").drop("mixed")
     one = F.min(F.struct("key", "th", "base", "lo", "n", "da")).alias("one")
-    entries = settle(mixed.groupBy("kh", "c1", "c2").agg(F.sum("times").alias("times"), one), "entries")
+    entries = kept(mixed.groupBy("kh", "c1", "c2").agg(F.sum("times").alias("times"), one), "entries")
     whole = span(mixed.drop("times").join(entries.filter("times > 1").select("kh", "c1", "c2"), ["kh", "c1", "c2"]))
     # The last round's contexts are windows: there nothing is different but what collides.
     large = F.count("*") > group if shape.rest else F.lit(False)
-    sizes = settle(entries.groupBy("kh").agg(large.alias("many")), "sizes")
+    sizes = kept(entries.groupBy("kh").agg(large.alias("many")), "sizes")
     wanted = entries.join(sizes, "kh").select("one.key", "one.th", "one.base", F.struct("kh", "c1", "c2", "many", "one.lo", "one.n", "one.da").alias("w"))
     wanted = wanted.groupBy("key", "th", "base").agg(F.collect_list("w").alias("wanted"))
     cut = rows.join(wanted.hint("shuffle_hash"), ["key", "th", "base"]).select("key", "th", "base", "bytes", "wanted")
-    contexts = settle(cut.mapInArrow(_cut_contexts(shape), CONTEXTS), "contexts")
+    contexts = kept(cut.mapInArrow(_cut_contexts(shape), CONTEXTS), "contexts")
     few = contexts.filter("NOT many").drop("many").repartition("kh").sortWithinPartitions("kh", "c1", "c2")
     few = few.mapInArrow(_sort_groups(shape), SPANS)
     many = contexts.filter("many").select("key", "th", F.col("lo").alias("base"), "bytes")
@@ -469,6 +487,69 @@ def _cut(raw: bytes, starts: np.ndarray | None, ends: np.ndarray | None, whole:
 
 
 SCHEMA = "n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+PASSAGES = "passages array<struct<start:long,end:long>>, rest binary"
+
+
+def _collected(spans: DataFrame, name: str) -> DataFrame:
+    # A set: repeated rows give the same spans once each.
+    return spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "end")).alias(name))
+
+
+def _each(found: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, ends) of each row's spans; none where the row is null."""
+    flat_s, flat_e = ((found.values.field(k).to_numpy(zero_copy_only=False) if len(found) else np.zeros(0, np.int64)) for k in (0, 1))
+    at = found.offsets.to_numpy()
+    for i in range(len(found)):
+        yield flat_s[at[i] : at[i + 1]], flat_e[at[i] : at[i + 1]]
+
+
+def _inside(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, th, bytes, spans) to (key, th, base, bytes): maximal runs of spans that have room for a longer string."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for key, th, raw, (starts, ends) in zip(*(batch.column(k).to_pylist() for k in (0, 1)), utf8(batch.column(2)), _each(batch.column(3))):
+                for s in _cut(raw, starts, ends)["spans"]:
+                    if s["end"] - s["start"] >= length:
+                        for col, v in zip(out, (key, th, s["start"], raw[s["start"] : s["end"]])):
+                            col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64()] * 3 + [pa.binary()])], ["key", "th", "base", "bytes"])
+
+    return run
+
+
+def suffix_dedup_twice(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, passage: Shape = PASSAGE, shape: Shape = REPEATED) -> DataFrame:
+    """docs with suffix_dedup's columns for the shape, and passages and rest for a shorter one: maximal runs of bytes that
+    its strings cover, and the other bytes without the rest of a character that such a run cuts."""
+    texts = _whole_texts(docs, doc_id, text, passage)
+    spans, tables = _rounds(texts, group, passage)
+    short = settle(_collected(spans, "__passages"), "passages")
+    for t in tables:
+        discard(t)
+    # A repeated string is made of repeated ones of the shorter length, so it lies in a run of their spans.
+    found = texts.filter(F.octet_length("bytes") >= shape.length).join(short.hint("shuffle_hash"), ["key", "th"]).select("key", "th", "bytes", "__passages")
+    runs = settle(found.mapInArrow(_inside(shape.length), "key long, th long, base long, bytes binary"), "runs")
+    spans, tables = _rounds(runs, group, shape)
+    long = settle(_collected(spans, "__spans"), "spans")
+    for t in [runs, *tables]:
+        discard(t)
+    joined = _joined(docs, doc_id, text, short, long)
+
+    def rows(column: pa.Array, found: pa.Array, passages: pa.Array):
+        for raw, own, shorter in zip(utf8(column), _each(found), _each(passages)):
+            made = _cut(raw, *shorter, whole=True)
+            yield _cut(raw, *own) | {"passages": made["spans"], "rest": made["kept"]}
+
+    return map_rows(joined.drop("passages", "rest"), [text, "__spans", "__passages"], f"{SCHEMA}, {PASSAGES}", rows).drop("__spans", "__passages")
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, *found: DataFrame) -> DataFrame:
+    """docs with what was found for each text, null where nothing was."""
+    out = docs.drop("n_bytes", "spans", "kept", "__key", "__th", "__spans").select("*", *[c.alias(n) for c, n in zip(_named(doc_id, text), ("__key", "__th"))])
+    for df in found:
+        out = out.join(df.withColumnsRenamed({"key": "__key", "th": "__th"}).hint("shuffle_hash"), ["__key", "__th"], "left")
+    return out.drop("__key", "__th")
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, whole: bool = False, shape: Shape = REPEATED) -> DataFrame:
@@ -479,25 +560,26 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gr
     different texts, and rows without doc_id are known by their text. whole: kept lacks the rest of a character that a span
     cuts, too. An empty table gives an empty table. Columns named __key, __th and __spans are the operator's own.
     """
-    spans = repeated_spans(docs, doc_id, text, group, shape)
-    # A set: repeated rows give the same spans once each.
-    spans = spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
-    source = docs.drop("n_bytes", "spans", "kept", "__key", "__th", "__spans").select("*", *[c.alias(n) for c, n in zip(_named(doc_id, text), ("__key", "__th"))])
-    joined = source.join(spans.withColumnsRenamed({"key": "__key", "th": "__th"}).hint("shuffle_hash"), ["__key", "__th"], "left").drop("__key", "__th")
+    joined = _joined(docs, doc_id, text, _collected(repeated_spans(docs, doc_id, text, group, shape), "__spans"))
 
     def rows(column: pa.Array, found: pa.Array):
-        flat_s, flat_e = ((found.values.field(k).to_numpy(zero_copy_only=False) if len(found) else np.zeros(0, np.int64)) for k in (0, 1))
-        at = found.offsets.to_numpy()
-        for i, raw in enumerate(utf8(column)):
-            yield _cut(raw, flat_s[at[i] : at[i + 1]], flat_e[at[i] : at[i + 1]], whole)
+        for raw, own in zip(utf8(column), _each(found)):
+            yield _cut(raw, *own, whole)
 
     return map_rows(joined, [text, "__spans"], SCHEMA, rows).drop("__spans")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The contract's columns, for strings of 400 bytes; then n_passages and text, for those of PASSAGE: the text as the
+    pipeline's stage leaves it, without passages that 400 bytes are too long for."""
+    done = suffix_dedup_twice(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    contract = [F.col("doc_id"), F.col("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")]
+    return done.select(*contract, F.size("passages").cast("long").alias("n_passages"), _left("passages", "rest").alias("text"))
+
+
+def _left(spans: str, kept: str) -> Column:
+    return F.when(F.size(spans) == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col(kept).cast("string")))
 
 
 def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -505,8 +587,7 @@ def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     character that a span cuts goes whole."""
     names = docs.columns
     done = suffix_dedup(docs, whole=True, shape=PASSAGE)
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
-    done = done.withColumn("text", text)
+    done = done.withColumn("text", _left("spans", "kept"))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return done.select(names)

@@ -61,6 +61,45 @@ def test_the_stage_s_shape_against_brute_force(spark, seed, group):
     check(sd.suffix_dedup(docs_frame(spark, rows), group=group, shape=sd.PASSAGE).collect(), rows, sd.PASSAGE.length)
 
 
+@pytest.mark.parametrize(("seed", "group"), [(5, sd.GROUP), (6, 2)])
+def test_two_lengths_at_once_against_brute_force(spark, seed, group):
+    rows = [(i, t) for i, t in corpus(seed) if len(t or "") < 40_000]
+    got = sd.suffix_dedup_twice(docs_frame(spark, rows), group=group).collect()
+    check(got, rows)
+    short = {i: w for (i, _), w in zip(rows, brute(rows, sd.PASSAGE.length))}
+    alone = {r.doc_id: bytes(r.kept) for r in sd.suffix_dedup(docs_frame(spark, rows), whole=True, shape=sd.PASSAGE).collect()}
+    for r in got:
+        assert (sum(s.end - s.start for s in r.passages), len(r.passages)) == short[r.doc_id][1:3]
+        assert bytes(r.rest) == alone[r.doc_id]
+
+
+def test_two_lengths_with_repeated_rows_null_ids_and_an_empty_table(spark):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    a, b = prose(700), prose(300)
+    rows = [(1, a), (1, b + prose(200)), (1, prose(400)), (2, b), (2, b), (2, None), (None, a), (None, prose(500)), (3, "")]
+    got = sd.suffix_dedup_twice(docs_frame(spark, rows)).collect()
+    assert sorted((r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got) == sorted(brute(rows))
+    assert sorted((r.n_bytes, sum(s.end - s.start for s in r.passages), len(r.passages), hashlib.sha256(bytes(r.rest)).hexdigest()) for r in got) == sorted(brute(rows, 200))
+    assert sd.suffix_dedup_twice(docs_frame(spark, [])).count() == 0
+
+
+def test_query_s_text_lacks_passages_of_over_fifty_words_and_its_counts_are_of_400_bytes(spark, tmp_path):
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghé", k=rng.randint(2, 7))) for _ in range(n))
+    passage, clean = words(55), words(120)
+    assert 200 < len(passage.encode()) < 400
+    heads, tails = [f"{words(40)} {i}" for i in range(3)], [f"{i} {words(30)}" for i in range(3)]
+    rows = [(i, f"{h}{passage}{t}") for i, (h, t) in enumerate(zip(heads, tails))] + [(7, clean), (8, None)]
+    docs_frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in sd.op7_suffix_dedup(spark, str(tmp_path)).collect()}
+    for i, (h, t) in enumerate(zip(heads, tails)):
+        assert got[i].text == f"{h}{t}" and got[i].n_passages == 1
+    assert (got[7].text, got[7].n_passages, got[8].text, got[8].n_passages) == (clean, 0, None, 0)
+    for (i, _), want in zip(rows, brute(rows)):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == want and got[i].n_removed == 0
+
+
 def test_one_id_with_three_texts(spark):
     rng = random.Random(8)
     prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
