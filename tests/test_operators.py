@@ -95,6 +95,28 @@ def test_cluster_writes_rows_and_no_pairs(spark):
     assert linking.Cells(1.5, 2700).near(row).count() <= 8  # before, 27
 
 
+def test_cluster_decides_rows_of_equal_place_and_time_once(spark):
+    n, written = 400, []
+    at = F.col("id") % 5
+    lat = F.when(at == 4, F.lit(float("nan"))).otherwise(F.lit(61.0) + at * 0.02)
+    df = spark.range(n).select(F.col("id").cast("string").alias("hash"), F.col("id").alias("seq"), (F.col("id") % 3).cast("int").alias("impact"), lat.alias("lat"), F.lit(-150.0).alias("lng"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"))
+
+    def settle(frame, name="table"):
+        out = linking.settled(frame, name)
+        written.append(out.count())
+        return out
+
+    got = {int(r.hash): int(r.leader) for r in linking.cluster(df, settle=settle).collect()}
+    # In order of impact the rows 2, 5, 8, 11 lead or follow: the places are 1.38 miles apart, of which two lead, and no number leads alone.
+    want, leaders = {}, []
+    for i in sorted(range(n), key=lambda i: (-(i % 3), i)):
+        want[i] = next((q for q in leaders if i % 5 != 4 and q % 5 != 4 and abs(i % 5 - q % 5) <= 1), i)
+        if want[i] == i:
+            leaders.append(i)
+    assert got == want
+    assert written[0] == n and max(written[1:]) <= 4  # before, all rows in the first round
+
+
 def test_cluster_of_nothing(spark):
     df = spark.createDataFrame([], "hash string, seq int, impact int, lat double, lng double, ts timestamp")
     assert linking.cluster(df).count() == 0
