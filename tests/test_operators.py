@@ -50,6 +50,23 @@ def test_near_pairs_at_the_seam_and_the_poles(spark, reach):
     assert (0, 1) in want and got == want
 
 
+def test_near_pairs_meet_as_places_before_they_are_spread_out(spark):
+    n = 30_000  # 700 million near pairs: before, each was measured, in the tasks of few cells
+    df = spark.range(n).select(F.col("id").alias("k"), (F.lit(61.0) + F.col("id") % 3 * 0.015).alias("lat"), F.lit(-150.0).alias("lng"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"))
+    places, most = 3, linking.CHUNK
+    points = linking.near_points(df, "k", "lat", "lng", "ts", 1.5, 60)
+    got = points.agg(F.count("*").alias("n"), F.max(F.greatest(F.size("ks"), F.size("oks"))).alias("most"), F.sum(F.size("ks").cast("long") * F.size("oks")).alias("pairs")).first()
+    chunks = -(-n // places // most)
+    near = 7 * (n // places) ** 2  # all but the first place and the third, which are 2.07 miles apart
+    assert (got.n, got.most, got.pairs) == (7 * chunks**2, most, near)
+    few = df.filter("k < 1700")
+    a, b = few.alias("a"), few.alias("b")
+    want = a.join(b, F.expr("a.k <> b.k AND abs(a.k % 3 - b.k % 3) <= 1")).select("a.k", "b.k")
+    got = linking.near_pairs(few, "k", "lat", "lng", "ts", 1.5, 60)
+    h = lambda d: d.toDF("a", "b").agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    assert h(got) == h(want)
+
+
 def test_cluster_takes_the_first_leader_decided_late(spark):
     start = datetime(2024, 1, 1)
     rows = [(k, i, impact, 61 + i * 0.02, -150.0, start) for i, (k, impact) in enumerate([("p", 90), ("x", 50), ("a", 34), ("f", 5), ("l", 10)])]
